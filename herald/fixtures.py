@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from herald import schemas
+from herald.sources.contacts import CONTACT_CSV
 
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -107,6 +108,44 @@ SELECT
 FROM {nation}
 """
 
+# A weekly batch: one market segment re-sent with newer rows, one with rows older than the
+# audience has, and members not seen before.
+CONTACT_BATCH = """
+SELECT
+  c_name AS member_id,
+  concat('w', CAST(c_custkey AS VARCHAR(12)), '@example.org') AS email,
+  concat('Again', CAST(c_custkey AS VARCHAR(12))) AS first_name,
+  concat('O Neil ', c_mktsegment, ', MBA') AS last_name,
+  concat(n_name, ', ', r_name) AS location_raw,
+  0 AS in_segment,
+  concat('https://example.com/in/', CAST(c_custkey AS VARCHAR(12))) AS profile_url,
+  CASE WHEN c_mktsegment = 'MACHINERY' THEN CAST('2024-03-01' AS TIMESTAMP)
+       ELSE CAST('2023-12-01' AS TIMESTAMP) END AS ingested_at
+FROM {customer}
+JOIN {nation} ON c_nationkey = n_nationkey
+JOIN {region} ON n_regionkey = r_regionkey
+WHERE c_mktsegment IN ('MACHINERY', 'BUILDING')
+UNION ALL
+SELECT
+  s_name AS member_id,
+  concat(lower(s_name), '@example.org') AS email,
+  'Newcomer' AS first_name,
+  s_name AS last_name,
+  concat('near Greater ', n_name, ' Area') AS location_raw,
+  0 AS in_segment,
+  CAST(NULL AS VARCHAR(40)) AS profile_url,
+  CAST('2024-03-01' AS TIMESTAMP) AS ingested_at
+FROM {supplier}
+JOIN {nation} ON s_nationkey = n_nationkey
+"""
+
+# Members who asked for the segment's language, stated by the caller.
+SEGMENT_IDS = """
+SELECT DISTINCT c_name AS member_id
+FROM {customer} JOIN {orders} ON o_custkey = c_custkey
+WHERE o_orderpriority = '1-URGENT'
+"""
+
 VIEWS = {
     "metro_areas": (METRO_AREAS, schemas.METRO_AREAS),
     "audience": (AUDIENCE, schemas.AUDIENCE),
@@ -114,6 +153,8 @@ VIEWS = {
     "delivery_sync": (DELIVERY_SYNC, schemas.DELIVERY_SYNC),
     "email_events": (EMAIL_EVENTS, schemas.EMAIL_EVENTS),
     "shops": (SHOPS, schemas.SHOPS),
+    "contact_batch": (CONTACT_BATCH, CONTACT_CSV),
+    "segment_ids": (SEGMENT_IDS, schemas.SEGMENT_IDS),
 }
 
 

@@ -57,8 +57,12 @@ def ab_hash_split(audience: DataFrame, salt: str = "") -> DataFrame:
 
 def region_export(audience: DataFrame, region: str) -> DataFrame:
     """Contacts of a region ready to send, numbered after filtering."""
-    return _labelled(audience.filter(p.exportable(region)), EXPORTED,
-                     ["location_tag"], "member_id")
+    return export_ready(audience.filter(p.exportable(region)))
+
+
+def export_ready(contacts: DataFrame) -> DataFrame:
+    """The export columns and label of contacts that already passed the export's tests."""
+    return _labelled(contacts, EXPORTED, ["location_tag"], "member_id")
 
 
 def ab_results(assigned: DataFrame, events: DataFrame) -> DataFrame:

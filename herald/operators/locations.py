@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +26,9 @@ def _part(n: int) -> Column:
 
 def tag_locations(audience: DataFrame, lookup: DataFrame, multi: str = "all",
                   only_reachable_segment: bool = True, dedupe: bool = True,
+                  keep: Sequence[str] = TAGGED_FROM,
                   small_lookup_names: int = SMALL_LOOKUP_NAMES) -> DataFrame:
-    """Contacts with ``location_tag`` and ``match_tier``.
+    """The ``keep`` columns of contacts with ``location_tag`` and ``match_tier``.
 
     Tiers, first hit wins: city and state equal; the raw text contains a region name
     (case-sensitive); state equal. A tier may hit several regions: ``multi='all'`` keeps a
@@ -37,7 +40,7 @@ def tag_locations(audience: DataFrame, lookup: DataFrame, multi: str = "all",
         raise ValueError(f"unknown multi {multi!r}")
     if only_reachable_segment:
         audience = audience.filter(p.in_segment() & p.reachable())
-    contacts = audience.select(*TAGGED_FROM)
+    contacts = audience.select(*keep)
     if dedupe:
         contacts = contacts.distinct()
     areas = lookup.select("city", "state", "region").filter(F.col("region").isNotNull())
@@ -76,7 +79,7 @@ def _tag_by_row(contacts: DataFrame, areas: DataFrame, regions: list[str],
     found = F.coalesce(*tiers, F.col("_byst"), F.array(none))
     if multi == "first":
         found = F.array(F.array_min(found))
-    return (joined.select(*TAGGED_FROM, F.inline(found))
+    return (joined.select(*contacts.columns, F.inline(found))
             .withColumnsRenamed({"region": "location_tag", "tier": "match_tier"}))
 
 
@@ -107,7 +110,7 @@ def _tag_by_text(contacts: DataFrame, areas: DataFrame, multi: str) -> DataFrame
                                ["state"], "inner"), STATE)
     hits = exact.unionByName(fuzzy).unionByName(state)
     return (keyed_join(contacts, hits, ["location_raw"])
-            .select(*TAGGED_FROM, F.col("region").alias("location_tag"),
+            .select(*contacts.columns, F.col("region").alias("location_tag"),
                     F.coalesce("tier", F.lit(UNMATCHED)).alias("match_tier")))
 
 

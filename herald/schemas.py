@@ -76,6 +76,8 @@ SHOPS = StructType([
     StructField("tag", _TEXT),
 ])
 
+SEGMENT_IDS = StructType([StructField("member_id", _TEXT, False)])
+
 TABLES = {
     "audience": AUDIENCE,
     "inventory": INVENTORY,
