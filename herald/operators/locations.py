@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from herald.functions import predicates as p
@@ -135,7 +135,7 @@ def _texts_containing(texts: DataFrame, regions: DataFrame) -> DataFrame:
         names = regions.filter(size == n)
         pieces = names.select("region", F.explode(_grams(F.col("region"), n)).alias("gram"))
         shared = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
-        index = (pieces.join(shared, "gram")
+        index = (keyed_join(pieces, shared, ["gram"], "inner")
                  .groupBy("region").agg(F.min(F.struct("uses", "gram")).alias("best"))
                  .select("region", F.col("best.gram").alias("gram")))
         index = settle(index, f"grams{n}")
@@ -153,7 +153,7 @@ def _texts_containing(texts: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def tier_stats(tagged: DataFrame) -> DataFrame:
-    """Rows and share per tier; the total is the sum of the per-tier counts."""
+    """Rows and share per tier; the window runs over the four counts only."""
     counts = tagged.groupBy("match_tier").agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counts.agg(F.sum("n_rows")).scalar()
+    total = F.sum("n_rows").over(Window.partitionBy())
     return counts.select("match_tier", "n_rows", pct(F.col("n_rows"), total).alias("share_pct"))

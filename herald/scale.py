@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only after it was counted and found to have at most this many rows.
+# A side is broadcast only after it was measured and found to be within both bounds.
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 # A key is hot if it holds more than one part in this many of all rows, so there are
 # never more hot keys than this.
 HOT_KEYS = 10_000
@@ -47,15 +48,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
+                   max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure up to ``max_rows + 1`` rows, as text. ``take`` reads a few partitions and
+    stops once it has enough, and only the sizes come back, so a large ``df`` costs little."""
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    sizes = [row[0] for row in df.select(size).take(max_rows + 1)]
+    return len(sizes) <= max_rows and sum(sizes) <= max_bytes
 
 
 def keyed_join(fact: DataFrame, side: DataFrame, on: list[str], how: str = "left",
                max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a large, possibly skewed ``fact`` to ``side`` on equal keys.
 
-    ``side`` is counted first. Small: it is broadcast and ``fact`` stays where it is.
+    ``side`` is measured first. Small: it is broadcast and ``fact`` stays where it is.
     Large: both are shuffled, and hot keys are salted. Works for the join types that keep
     or drop whole fact rows (inner, left, left_semi, left_anti).
     """

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Shuffle partitions are sized for a cluster and left to AQE to coalesce; a
-# caller on a laptop passes a smaller number.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -19,7 +17,10 @@ SETTINGS = {
 
 
 def build_session(app_name: str = "herald", master: str | None = None,
-                  **settings: str) -> SparkSession:
+                  shuffle_partitions: int = 4096, **settings: str) -> SparkSession:
+    """``shuffle_partitions`` is where a shuffle starts before AQE merges small partitions:
+    the largest shuffle in bytes over about 200 MB. A laptop wants one per core."""
+    settings = {"spark.sql.shuffle.partitions": str(shuffle_partitions), **settings}
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from herald.scale import fits_broadcast
+from herald.scale import fits_broadcast, settle
 
 SINCE_COLUMNS = ["member_id", "first_name", "last_name", "email", "location_raw", "in_segment"]
 
@@ -78,10 +78,11 @@ def upsert(base: DataFrame, batch: DataFrame, key: str = "member_id",
     """``base`` with the batch merged in: one row per key, the newer one; a tie goes to the
     batch. Rows without a key are ignored.
 
-    A weekly batch is small next to the base: when its keys fit a broadcast, base rows it
-    does not touch pass through without a shuffle.
+    The batch is written down first, as it is read several times. A weekly batch is small
+    next to the base: when its keys fit a broadcast, base rows it does not touch pass through
+    without a shuffle.
     """
-    batch = batch.filter(F.col(key).isNotNull()).select(*base.columns)
+    batch = settle(batch.filter(F.col(key).isNotNull()).select(*base.columns), "batch")
     keys = batch.select(key).distinct()
     rank = [order, "_fresh"]
     incoming = batch.withColumn("_fresh", F.lit(1))

@@ -10,9 +10,8 @@ from herald.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("herald-tests", "local[8]",
-                            **{"spark.sql.shuffle.partitions": "8",
-                               "spark.driver.memory": "8g"})
+    session = build_session("herald-tests", "local[8]", shuffle_partitions=8,
+                            **{"spark.driver.memory": "8g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
