@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from herald.functions.times import moment
+
 ACTIVE_STATUSES = ["onboarding_sent", "weekly_active"]
 ONBOARDING_PREFIX = "onboarding"
 WEEKLY_PREFIX = "weekly"
@@ -61,5 +63,4 @@ def trailing(column: str, as_of: dt.datetime, days: int, periods_back: int = 0)
     end = as_of - dt.timedelta(days=days * periods_back)
     start = end - dt.timedelta(days=days)
     stamp = F.col(column)
-    return ((stamp >= F.lit(start).cast("timestamp_ntz"))
-            & (stamp < F.lit(end).cast("timestamp_ntz")))
+    return (stamp >= moment(start)) & (stamp < moment(end))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from herald.functions import predicates as p
 from herald.functions.rates import change_pct, pct, tenths
+from herald.functions.times import instant, moment
 
 FUNNEL_STAGES = ["01 T1 Ingested", "02 Tagged", "03 Qualified", "04 Entered Flow"]
 LOW_STOCK_BELOW = 20
@@ -213,7 +214,7 @@ def inventory_coverage(inventory: DataFrame, as_of: dt.datetime,
                           F.count("shop_location").alias("locations"),
                           F.max("scraped").alias("last"),
                           _count(F.col("cars") < low_below, "low_shops"))
-    age = F.timestamp_diff("MINUTE", F.col("last"), F.lit(as_of).cast("timestamp_ntz"))
+    age = F.timestamp_diff("MINUTE", instant(F.col("last")), instant(moment(as_of)))
     return totals.select("cars_in_stock", "locations",
                          F.date_format("last", "yyyy-MM-dd HH:mm:ss").alias("last_scrape"),
                          age.alias("minutes_since_scrape"), "low_shops")

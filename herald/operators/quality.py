@@ -13,7 +13,7 @@ from herald.scale import keyed_join
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows that name a parent which does not exist; a NULL reference is allowed."""
-    ids = parent.select(F.col(parent_column).alias(column)).distinct()
+    ids = parent.select(F.col(parent_column).alias(column))
     return keyed_join(child.filter(F.col(column).isNotNull()), ids, [column], "left_anti")
 
 

@@ -23,7 +23,7 @@ class Tables:
     def at_location(self, location: str) -> Tables:
         """Only the contacts of one location, what was sent to them, and its stock."""
         people = self.audience.filter(F.col("location_tag") == location)
-        ids = settle(people.select("member_id").distinct(), "location-members")
+        ids = settle(people.select("member_id"), "location-members")
         return Tables(people,
                       self.inventory.filter(F.col("shop_location") == location),
                       keyed_join(self.sync, ids, ["member_id"], "left_semi"),

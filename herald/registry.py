@@ -37,7 +37,7 @@ from herald.operators.picks import select_picks
 from herald.plans.dashboard import Tables, dashboard
 from herald.plans.ingest import ingest_audience
 from herald.scale import fresh_path
-from herald.sources import listings, tables
+from herald.sources import listings, sinks, tables
 from herald.sources.contacts import read_contacts_csv
 from herald.streaming import streams
 
@@ -488,7 +488,10 @@ def _(spark, sf_dir, audience):
     return spark.sql("SELECT * FROM export_region_audience(:region)", {"region": REGION})
 
 
-@_query("ab_hash_split", "audience")
+@_query("ab_hash_split", "audience", f"""
+SELECT {_CORE}, CASE WHEN right(md5('subject-line' || member_id), 1) IN
+         ('0', '2', '4', '6', '8', 'a', 'c', 'e') THEN 'A' ELSE 'B' END AS ab_group
+FROM audience WHERE location_tag IS NOT NULL""")
 def _(spark, sf_dir, audience):
     return experiments.ab_hash_split(audience, salt="subject-line")
 
@@ -705,6 +708,39 @@ def _(spark, sf_dir, audience, events):
         "journey events": (events, p.campaign_family().isNotNull())})
 
 
+# --- sources and sinks -----------------------------------------------------------------
+
+@_query("apply_defaults", "contact_batch", """
+SELECT member_id, 0::BIGINT AS in_segment, '2024-01-31 00:00:00' AS ingested_at
+FROM contact_batch""")
+def _(spark, sf_dir, batch):
+    bare = schemas.conform(batch.select("member_id", "email", "first_name"), schemas.AUDIENCE)
+    return (schemas.apply_defaults(bare, "audience", now=AS_OF)
+            .select("member_id", "in_segment", "ingested_at"))
+
+
+@_query("replace_inventory", "inventory", """
+SELECT shop_location, count(*) AS n_cars, min(scraped_at)::VARCHAR AS oldest FROM inventory
+WHERE scraped_at >= TIMESTAMP '2024-01-25' GROUP BY 1""")
+def _(spark, sf_dir, inventory):
+    path = fresh_path(spark, "stock-store")
+    tables.replace_inventory(inventory, path)
+    tables.replace_inventory(inventory.filter(F.col("scraped_at") >= "2024-01-25"), path)
+    return tables.current(spark, path).groupBy("shop_location").agg(
+        F.count(F.lit(1)).alias("n_cars"), F.min("scraped_at").alias("oldest"))
+
+
+@_query("read_with_fallback", "inventory", """
+SELECT make, count(*) AS n_cars, sum(price)::DOUBLE AS total_price FROM inventory GROUP BY 1""")
+def _(spark, sf_dir, inventory):
+    missing, empty, last = (fresh_path(spark, f"stock-{n}") for n in ("none", "empty", "last"))
+    inventory.limit(0).write.parquet(empty)
+    inventory.write.parquet(last)
+    stock = tables.read_with_fallback(spark, [missing, empty, last])
+    return stock.groupBy("make").agg(F.count(F.lit(1)).alias("n_cars"),
+                                     F.sum("price").alias("total_price"))
+
+
 # --- stock -----------------------------------------------------------------------------
 
 _CAR = ("car_id, year::BIGINT AS year, make, model, trim, mileage::BIGINT AS mileage, "
@@ -859,6 +895,23 @@ def _(spark, sf_dir, audience):
     return delivery_payload(audience.filter(p.qualified()))
 
 
+@_query("messages_sink", "audience inventory shops", _MESSAGE)
+def _(spark, sf_dir, audience, inventory, shops):
+    path = fresh_path(spark, "messages")
+    sinks.write_messages(
+        render_messages(audience.filter(p.qualified()), inventory, shops, PICKS), path, "json")
+    return spark.read.schema("member_id STRING, subject STRING, html STRING").json(path)
+
+
+@_query("payloads_sink", "audience", f"""
+SELECT email, concat('cac-', location_tag) AS tag FROM audience WHERE {_QUALIFIED}""")
+def _(spark, sf_dir, audience):
+    path = fresh_path(spark, "payloads")
+    sinks.write_payloads(delivery_payload(audience.filter(p.qualified())), path)
+    return spark.read.schema("email_address STRING, tags ARRAY<STRING>").json(path).select(
+        F.col("email_address").alias("email"), F.col("tags")[0].alias("tag"))
+
+
 @_query("journey_stage", "audience delivery_sync", """
 SELECT a.member_id, date_diff('day', synced_at::DATE, DATE '2024-01-20') AS days_in_flow,
        CASE WHEN synced_at IS NULL THEN 'pending_onboarding'

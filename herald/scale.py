@@ -17,6 +17,8 @@ HOT_KEYS = 10_000
 # Tasks a hot key is spread over.
 SALTS = 64
 
+_settled: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
@@ -45,9 +47,22 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    _settled.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_settled(spark: SparkSession) -> int:
+    """Delete what ``settle`` wrote in this process, once results built on it are no longer
+    needed. Returns the number of folders removed."""
+    jvm = spark.sparkContext._jvm
+    removed = 0
+    while _settled:
+        path = jvm.org.apache.hadoop.fs.Path(_settled.pop())
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        removed += fs.delete(path, True)
+    return removed
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
                    max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure up to ``max_rows + 1`` rows, as text. ``take`` reads a few partitions and

@@ -16,6 +16,8 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from herald.functions.times import moment
+
 _TEXT, _INT, _TIME = StringType(), IntegerType(), TimestampNTZType()
 
 AUDIENCE = StructType([
@@ -133,7 +135,7 @@ def apply_defaults(df: DataFrame, table: str,
     if now is None:
         stamp = F.current_timestamp().cast(_TIME)
     else:
-        stamp = (now if isinstance(now, Column) else F.lit(now)).cast(_TIME)
+        stamp = now.cast(_TIME) if isinstance(now, Column) else moment(now)
     filled = {c: F.coalesce(F.col(c), F.lit(0)) for c in ZERO_DEFAULTS.get(table, [])}
     filled |= {c: F.coalesce(F.col(c), stamp) for c in TIME_DEFAULTS.get(table, [])}
     return df.withColumns(filled)

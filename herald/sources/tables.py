@@ -55,7 +55,7 @@ def segment_flag(contacts: DataFrame, member_ids: DataFrame) -> DataFrame:
 
 
 def segment_members(contacts: DataFrame, member_ids: DataFrame) -> DataFrame:
-    listed = member_ids.select("member_id").distinct()
+    listed = member_ids.select("member_id")
     if fits_broadcast(listed):
         listed = F.broadcast(listed)
     return contacts.join(listed, "member_id", "left_semi")
@@ -152,5 +152,5 @@ def read_with_fallback(spark: SparkSession, paths: Sequence[str],
 
 def fill_from_previous(now: DataFrame, previous: DataFrame, key: str) -> DataFrame:
     """For a partial delivery: this run's rows plus earlier rows whose key is absent."""
-    kept = previous.join(now.select(key).distinct(), key, "left_anti")
+    kept = previous.join(now.select(key), key, "left_anti")
     return now.unionByName(kept.select(*now.columns))

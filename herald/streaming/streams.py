@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from herald.functions import predicates as p
 from herald.functions.rates import pct
+from herald.functions.times import instant, zoneless
 from herald.scale import fresh_path
 from herald.sources.tables import current, latest_per_key, publish, upsert
 
@@ -47,36 +48,37 @@ def ingest_contacts(contacts: DataFrame, store_path: str, checkpoint: str,
 
 
 def _with_watermark(events: DataFrame, delay: str) -> DataFrame:
-    """Watermarks need an instant; event times are zoneless and read in the session's zone."""
-    return (events.withColumn("event_at", F.col("event_at").cast("timestamp"))
+    """Watermarks need an instant."""
+    return (events.withColumn("event_at", instant(F.col("event_at")))
             .withWatermark("event_at", delay))
 
 
 def dedupe_events(events: DataFrame, delay: str = "1 day") -> DataFrame:
     """One row per event_id among events up to ``delay`` late; state older than that goes."""
     return (_with_watermark(events, delay).dropDuplicatesWithinWatermark(["event_id"])
-            .withColumn("event_at", F.col("event_at").cast("timestamp_ntz")))
+            .withColumn("event_at", zoneless(F.col("event_at"))))
 
 
-def _rates(windowed: DataFrame) -> DataFrame:
+def _rates(windowed: DataFrame, bound: Callable[[Column], Column]) -> DataFrame:
     counts = windowed.agg(
         F.count_if(p.is_event("delivered")).alias("delivered"),
         F.count_if(p.is_event("open")).alias("opens"),
         F.count_if(p.is_event("click")).alias("clicks"))
     return counts.select(
-        F.col("span.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("span.end").cast("timestamp_ntz").alias("window_end"),
+        bound(F.col("span.start")).alias("window_start"),
+        bound(F.col("span.end")).alias("window_end"),
         "journey", "delivered", "opens", "clicks",
         pct(F.col("opens"), F.col("delivered")).alias("open_rate"),
         pct(F.col("clicks"), F.col("delivered")).alias("ctr"))
 
 
-def _per_journey(events: DataFrame, span: object, delay: str | None) -> DataFrame:
+def _per_journey(events: DataFrame, span: Column, delay: str | None) -> DataFrame:
     if delay:
         events = _with_watermark(events, delay)
-    return _rates(events.withColumn("journey", p.campaign_family())
-                  .filter(F.col("journey").isNotNull())
-                  .groupBy(span.alias("span"), "journey"))
+    grouped = (events.withColumn("journey", p.campaign_family())
+               .filter(F.col("journey").isNotNull())
+               .groupBy(span.alias("span"), "journey"))
+    return _rates(grouped, zoneless if delay else lambda bound: bound)
 
 
 def daily_rates(events: DataFrame, delay: str | None = None) -> DataFrame:

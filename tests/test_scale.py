@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from herald import scale
@@ -56,3 +57,12 @@ def test_settle_reads_back_the_same_rows(spark):
     assert back.schema == df.schema or back.dtypes == df.dtypes
     assert back.exceptAll(df).isEmpty()
     assert scale.shared_folder(spark) in back.inputFiles()[0]
+
+
+def test_settled_tables_can_be_cleared(spark, monkeypatch):
+    monkeypatch.setattr(scale, "_settled", [])
+    scale.settle(spark.range(3), "t")
+    folder = scale._settled[0]
+    assert scale.clear_settled(spark) == 1 and scale._settled == []
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(folder)
