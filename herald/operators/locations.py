@@ -41,14 +41,14 @@ def tag_locations(audience: DataFrame, lookup: DataFrame, multi: str = "all",
     if only_reachable_segment:
         audience = audience.filter(p.in_segment() & p.reachable())
     contacts = audience.select(*keep)
-    if dedupe:
-        contacts = contacts.distinct()
     areas = lookup.select("city", "state", "region").filter(F.col("region").isNotNull())
     regions = [r.region for r in
                areas.select("region").distinct().limit(small_lookup_names + 1).collect()]
     if len(regions) <= small_lookup_names and fits_broadcast(areas):
-        return _tag_by_row(contacts, areas, sorted(regions), multi)
-    return _tag_by_text(contacts, areas, multi)
+        return _tag_by_row(contacts.distinct() if dedupe else contacts, areas,
+                           sorted(regions), multi)
+    return _tag_by_text(settle(contacts.distinct(), "contacts") if dedupe else contacts,
+                        areas, multi)
 
 
 def _tag_by_row(contacts: DataFrame, areas: DataFrame, regions: list[str],

@@ -19,6 +19,9 @@ from herald.sources.sinks import write_messages, write_payloads
 from herald.sources.tables import current, publish, replace_inventory
 
 
+AUDIENCE_LAYOUT = ["location_tag", "in_segment", "member_id"]
+
+
 @dataclass(frozen=True)
 class Store:
     """Where a deployment keeps its tables; any folder all executors can reach."""
@@ -53,9 +56,10 @@ def weekly_run(spark: SparkSession, store: Store, contacts_csv: str, lookup: Dat
     now = now or dt.datetime.now()
     run_id = now.strftime("%Y%m%dT%H%M%S")
     good, rejects = read_contacts_csv(spark, contacts_csv)
-    audience = ingest_audience(good, lookup, current(spark, store.at("audience")),
-                               segment_ids, now)
-    publish(audience, store.at("audience"))
+    known = current(spark, store.at("audience"))
+    audience = ingest_audience(good, lookup, known, segment_ids, now)
+    # The history load is laid out by location; a weekly merge leaves most rows where they are.
+    publish(audience, store.at("audience"), cluster_by=AUDIENCE_LAYOUT if known is None else ())
     audience = current(spark, store.at("audience"))
     stock = take_in_stock(spark, store, pages, shops)
     ready = audience.filter(p.qualified())

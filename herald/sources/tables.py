@@ -110,10 +110,16 @@ def _folders(spark: SparkSession, path: str) -> dict[str, bool]:
             for n in names if n.startswith("version=")}
 
 
-def publish(df: DataFrame, path: str) -> str:
+def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> str:
     """Write the next full version. Readers see it once it is complete; the version being
-    read is never overwritten, so a run may replace the table it reads from."""
+    read is never overwritten, so a run may replace the table it reads from.
+
+    ``cluster_by`` sorts the files by these columns, so that filters on them skip most row
+    groups. End with the key: a hot leading value then spans many files.
+    """
     spark = df.sparkSession
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     used = [int(n.split("=")[1]) for n in _folders(spark, path)]
     target = f"{path}/version={max(used, default=0) + 1:06d}"
     df.write.parquet(target)
@@ -128,13 +134,21 @@ def current(spark: SparkSession, path: str) -> DataFrame | None:
 
 def replace_inventory(df: DataFrame, path: str) -> str:
     """Stock is replaced as a whole on every run."""
-    return publish(df, path)
+    return publish(df, path, cluster_by=["shop_location", "car_id"])
 
 
 def replace_table(df: DataFrame, table: str) -> None:
     df.write.insertInto(table, overwrite=True)
 
 
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Store a table hashed by its unique key, so that joins and groupings on the key read it
+    without a shuffle. Take as many buckets as the session has shuffle partitions. Not for
+    events: a bucket is read by one task, and a busy member would fill one."""
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+
+
 def read_with_fallback(spark: SparkSession, paths: Sequence[str],
                        read: Callable[[str], DataFrame] | None = None) -> DataFrame:
     """The first input that exists and has a row; later ones are older."""

@@ -152,10 +152,45 @@ def test_snapshots(spark, tmp_path):
     # A version that was not written to the end is not read, and its number is not reused.
     (tmp_path / "store" / "version=000003").mkdir()
     assert upserted(tables.current(spark, path)) == [("a", "2")]
-    assert tables.replace_inventory(member(spark, [("z", "9", JAN)]), path).endswith("version=000004")
+    assert tables.publish(member(spark, [("z", "9", JAN)]), path).endswith("version=000004")
     assert upserted(tables.current(spark, path)) == [("z", "9")]
 
 
+def test_clustered_files_hold_ranges(spark, tmp_path):
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("member_id"),
+                                    F.when(F.col("id") % 3 == 0, "hot").otherwise(
+                                        F.concat(F.lit("t"), F.col("id") % 9)).alias("location_tag"))
+    path = str(tmp_path / "store")
+    tables.publish(rows.repartition(5), path, cluster_by=["location_tag", "member_id"])
+    back = tables.current(spark, path)
+    assert back.exceptAll(rows).isEmpty() and back.count() == 2000
+    spans = (back.groupBy(F.input_file_name().alias("f"))
+             .agg(F.min(F.struct("location_tag", "member_id")).alias("lo"),
+                  F.max(F.struct("location_tag", "member_id")).alias("hi")).orderBy("lo").collect())
+    assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    from herald.operators import metrics
+    from plans import physical
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS buckets LOCATION '{tmp_path}/buckets'")
+    people = spark.range(500).select(
+        F.col("id").cast("string").alias("member_id"), F.lit("e").alias("email"), F.lit("f").alias("first_name"),
+        F.lit("x").alias("location_tag"), F.lit(1).alias("in_segment"), F.lit("s").alias("journey_status"))
+    tables.save_bucketed(people, "buckets.audience", "member_id", 8)
+    tables.save_bucketed(people, "buckets.sync", "member_id", 8)
+    events = people.select("member_id", F.lit("open").alias("event_type"))
+    stock = spark.createDataFrame([("c", "x")], "car_id STRING, shop_location STRING")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = metrics.location_breakdown(spark.table("buckets.audience"), spark.table("buckets.sync"), events, stock)
+        assert physical(df).count("Exchange hashpartitioning(member_id") == 1
+        assert tuple(df.first()) == ("x", 500, 500, 100.0, 1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    spark.sql("DROP DATABASE buckets CASCADE")
+
+
 def test_fallback(spark, tmp_path):
     empty, last = str(tmp_path / "empty"), str(tmp_path / "last")
     member(spark, []).write.parquet(empty)
