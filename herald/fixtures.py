@@ -5,6 +5,8 @@ Each text is plain SQL that Spark and DuckDB both read; ``{name}`` stands for a
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from herald import schemas
@@ -188,7 +190,9 @@ def over(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql, **used)
 
 
+@functools.lru_cache(maxsize=256)
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A view's plan; it is built once per session and folder, and holds no data."""
     sql, schema = VIEWS[name]
     return schemas.conform(over(spark, sf_dir, sql), schema)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from herald.functions import predicates as p
 from herald.functions.rates import pct
-from herald.scale import fits_broadcast, keyed_join, settle
+from herald.scale import BROADCAST_BYTES, BROADCAST_ROWS, keyed_join, settle
 
 EXACT, FUZZY, STATE, UNMATCHED = "exact_match", "fuzzy_like", "state_fallback", "unmatched"
 TAGGED_FROM = ["member_id", "first_name", "last_name", "email", "location_raw"]
@@ -42,15 +42,22 @@ def tag_locations(audience: DataFrame, lookup: DataFrame, multi: str = "all",
         audience = audience.filter(p.in_segment() & p.reachable())
     contacts = audience.select(*keep)
     areas = lookup.select("city", "state", "region").filter(F.col("region").isNotNull())
-    regions = [r.region for r in
-               areas.select("region").distinct().limit(small_lookup_names + 1).collect()]
-    if len(regions) <= small_lookup_names and fits_broadcast(areas):
-        return _tag_by_row(contacts.distinct() if dedupe else contacts, areas,
-                           sorted(regions), multi)
+    names = _names_if_few(areas, small_lookup_names)
+    if names is not None:
+        return _tag_by_row(contacts.distinct() if dedupe else contacts, areas, names, multi)
     return _tag_by_text(settle(contacts.distinct(), "contacts") if dedupe else contacts,
                         areas, multi)
 
 
+def _names_if_few(areas: DataFrame, most: int) -> list[str] | None:
+    """The region names, if there are at most ``most`` and the lookup fits a broadcast."""
+    rows = areas.take(BROADCAST_ROWS + 1)
+    names = {r.region for r in rows}
+    size = sum(len(str(v)) for r in rows for v in r)
+    fits = len(rows) <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+    return sorted(names) if fits and len(names) <= most else None
+
+
 def _tag_by_row(contacts: DataFrame, areas: DataFrame, regions: list[str],
                 multi: str) -> DataFrame:
     """Two broadcast lookups that return one list each, and a scan of the few names.

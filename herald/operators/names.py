@@ -19,7 +19,7 @@ def clean_last_name(df: DataFrame, column: str = "last_name", keep_steps: bool =
     trimmed of spaces, and its last space-separated word is kept. ``strip_titles`` also
     drops those words from the end, which the plain rule does not do. One narrow projection.
     """
-    no_comma = F.split_part(F.col(column), F.lit(","), F.lit(1))
+    no_comma = F.substring_index(F.col(column), ",", 1)
     no_parens = F.regexp_replace(no_comma, PARENTHESES, "")
     lowered = F.trim(F.lower(no_parens))
     bare = lowered

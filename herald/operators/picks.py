@@ -64,7 +64,7 @@ def select_picks(audience: DataFrame, inventory: DataFrame, k: int = 3,
     """
     lists, pool = pick_lists(inventory, k, fill)
     contacts = audience.select("member_id", "location_tag")
-    joined = keyed_join(contacts, settle(lists, "picks"), ["location_tag"])
+    joined = keyed_join(contacts, lists, ["location_tag"])
     cards = F.coalesce("cards", pool) if fill else F.col("cards")
     return (joined.select("member_id", "location_tag", F.posexplode(cards).alias("_at", "card"))
             .select("member_id", "location_tag", (F.col("_at") + 1).alias("position"), "card.*"))
