@@ -225,10 +225,10 @@ def picks_coverage(picks: DataFrame, k: int) -> DataFrame:
     per_member = picks.groupBy("member_id").agg(F.count(F.lit(1)).alias("n"))
     totals = per_member.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("recommended"),
                             F.count(F.lit(1)).alias("messages"))
-    # pct() of n per 10 * messages is the average with one decimal.
-    return totals.select("recommended", "messages",
-                         (pct(F.col("recommended"), F.col("messages") * 10) / 10)
-                         .alias("avg_cars_per_message"), F.lit(k).alias("slots"))
+    # The average in tenths: 1000 * n / (100 * messages).
+    average = tenths(F.col("recommended"), F.col("messages") * 100) / F.lit(10.0)
+    return totals.select("recommended", "messages", average.alias("avg_cars_per_message"),
+                         F.lit(k).alias("slots"))
 
 
 # --- period deltas ---------------------------------------------------------------------

@@ -77,6 +77,8 @@ def test_shop_ranking_prunes_before_the_shuffle(spark):
 def test_coverage(spark):
     picks = select_picks(people(spark, [("p", "A"), ("q", "B"), ("r", "B")]), cars(spark, STOCK), k=5, fill=False)
     assert tuple(picks_coverage(picks, 5).first()) == (6, 3, 2.0, 5)
+    picks = spark.createDataFrame([("a",)] * 14 + [("b",)] * 9 + [("c",)] * 3, "member_id STRING")
+    assert tuple(picks_coverage(picks, 5).first()) == (26, 3, 8.7, 5)
 
 
 def audience(spark, rows):
