@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from herald.functions.times import moment
 
+# Journey states that count as active, and how campaign ids begin.
 ACTIVE_STATUSES = ["onboarding_sent", "weekly_active"]
 ONBOARDING_PREFIX = "onboarding"
 WEEKLY_PREFIX = "weekly"

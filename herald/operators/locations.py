@@ -11,6 +11,7 @@ from herald.functions import predicates as p
 from herald.functions.rates import pct
 from herald.scale import BROADCAST_BYTES, BROADCAST_ROWS, keyed_join, settle
 
+# The tier labels.
 EXACT, FUZZY, STATE, UNMATCHED = "exact_match", "fuzzy_like", "state_fallback", "unmatched"
 TAGGED_FROM = ["member_id", "first_name", "last_name", "email", "location_raw"]
 

@@ -15,6 +15,7 @@ from herald.functions import predicates as p
 from herald.functions.rates import change_pct, pct, tenths
 from herald.functions.times import instant, moment
 
+# Stage labels of the funnel, and the stock below which a location is low.
 FUNNEL_STAGES = ["01 T1 Ingested", "02 Tagged", "03 Qualified", "04 Entered Flow"]
 LOW_STOCK_BELOW = 20
 

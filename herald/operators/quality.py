@@ -8,13 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from herald import schemas
-from herald.scale import keyed_join
+from herald.scale import keyed_join, settle
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows that name a parent which does not exist; a NULL reference is allowed."""
-    ids = parent.select(F.col(parent_column).alias(column))
-    return keyed_join(child.filter(F.col(column).isNotNull()), ids, [column], "left_anti")
+    """Child rows that name a parent which does not exist; a NULL reference is allowed.
+
+    The distinct references are checked first, which reads one column and keeps a busy parent
+    to one row per task. What is missing is usually little, so the child rows are then found
+    by a broadcast.
+    """
+    used = child.select(column).filter(F.col(column).isNotNull()).distinct()
+    known = parent.select(F.col(parent_column).alias(column))
+    missing = settle(used.join(known, column, "left_anti"), "missing-parents")
+    return keyed_join(child, missing, [column], "left_semi")
 
 
 def orphan_events(events: DataFrame, audience: DataFrame) -> DataFrame:

@@ -56,3 +56,10 @@ def dashboard(tables: Tables, as_of: dt.datetime, days: int = 30,
         "low_engagement": alerts.low_engagement(here.audience, here.events),
         "untagged": alerts.untagged_alert(tables.audience),
     }
+
+
+def register_views(panels: dict[str, DataFrame], prefix: str = "board_") -> list[str]:
+    """Offer the panels to SQL users as temporary views."""
+    for name, panel in panels.items():
+        panel.createOrReplaceTempView(prefix + name)
+    return [prefix + name for name in panels]

@@ -3,17 +3,9 @@ import random
 import pytest
 
 from herald.operators.locations import tag_locations, tier_stats
+from herald.sources.lookups import AREAS as METRO
+from herald.sources.lookups import metro_areas
 
-# The areas the tagger is used with.
-METRO = [
-    ("Dallas", "TX", "Dallas-Fort Worth Metroplex"),
-    ("Atlanta", "GA", "Atlanta Metropolitan Area"),
-    ("Boston", "MA", "Greater Boston"),
-    ("Chicago", "IL", "Chicago Metropolitan Area"),
-    ("Indianapolis", "IN", "Indianapolis Metropolitan Area"),
-    ("San Francisco", "CA", "San Francisco Bay Area"),
-    ("New York", "NY", "New York Metropolitan Area"),
-]
 CASES = [
     ("Dallas, TX", "Dallas-Fort Worth Metroplex", "exact_match"),
     (" Dallas ,  TX, US", "Dallas-Fort Worth Metroplex", "exact_match"),
@@ -129,6 +121,6 @@ def test_small_lookup_plan_shuffles_only_to_dedupe(spark):
 
 
 def test_tier_stats(spark):
-    df = tier_stats(tag_locations(contacts(spark, [c[0] for c in CASES]), lookup(spark, METRO)))
+    df = tier_stats(tag_locations(contacts(spark, [c[0] for c in CASES]), metro_areas(spark)))
     got = {r.match_tier: (r.n_rows, r.share_pct) for r in df.collect()}
     assert got["exact_match"] == (2, 15.4) and sum(n for n, _ in got.values()) == len(CASES)

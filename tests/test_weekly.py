@@ -86,3 +86,21 @@ def test_ingest_takes_the_segment_from_a_list(spark, lookup):
     rows = ingest_audience(raw, lookup, segment_ids=ids, now=dt.datetime(2024, 1, 1)).orderBy("member_id").collect()
     assert [(r.in_segment, r.location_tag, r.full_name) for r in rows] == [
         (1, "Dallas Area", "A Lee"), (0, None, "B")]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from herald.run import main
+    (tmp_path / "w.csv").write_text(HEADER + 'm1,a@x,Ann,Lee,"Dallas, TX",0,,\n')
+    (tmp_path / "shops.csv").write_text("shop_location,address,phone,hours,tag\n"
+                                        "Dallas-Fort Worth Metroplex,1 Main,555,9-5,dallas\n")
+    (tmp_path / "ids.csv").write_text("member_id\nm1\n")
+    pages(spark, "c1").write.parquet(str(tmp_path / "pages"))
+    common = ["--csv", str(tmp_path / "w.csv"), "--store", str(tmp_path / "store"),
+              "--shops", str(tmp_path / "shops.csv"), "--segment-ids", str(tmp_path / "ids.csv"),
+              "--shuffle-partitions", "8"]
+    main([*common, "--pages", str(tmp_path / "pages"), "--now", "2024-01-07T09:00:00"])
+    assert "20240107T090000" in capsys.readouterr().out
+    sent = spark.read.parquet(str(tmp_path / "store" / "messages")).collect()
+    assert [r.member_id for r in sent] == ["m1"] and "2021 Lexus RX" in sent[0].html
+    main([*common, "--skip-scrape", "--dry-run", "--now", "2024-01-14T09:00:00"])
+    assert spark.read.parquet(str(tmp_path / "store" / "messages")).count() == 1
