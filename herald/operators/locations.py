@@ -134,11 +134,12 @@ def _texts_containing(texts: DataFrame, regions: DataFrame) -> DataFrame:
 
     A text containing a region contains every piece of it, so any single piece finds the
     pair; the piece fewest regions share keeps wrong candidates rare. ``contains`` decides.
-    Names of different lengths need pieces of different sizes, each handled on its own.
+    Names of different lengths need pieces of different sizes, each handled on its own;
+    there are at most nine sizes.
     """
     size = F.least(F.length("region"), F.lit(GRAM_LENGTH))
-    sizes = range(1, GRAM_LENGTH + 1)
-    found = None
+    sizes = [r.n for r in regions.select(size.alias("n")).distinct().collect()]
+    found = texts.select("location_raw", F.lit("").alias("region")).filter(F.lit(False))
     for n in sizes:
         names = regions.filter(size == n)
         pieces = names.select("region", F.explode(_grams(F.col("region"), n)).alias("gram"))
@@ -147,16 +148,12 @@ def _texts_containing(texts: DataFrame, regions: DataFrame) -> DataFrame:
                  .groupBy("region").agg(F.min(F.struct("uses", "gram")).alias("best"))
                  .select("region", F.col("best.gram").alias("gram")))
         index = settle(index, f"grams{n}")
-        if index.isEmpty():
-            continue
         cut = texts.select("location_raw",
                            F.explode(_grams(F.col("location_raw"), n)).alias("gram"))
-        pairs = (keyed_join(cut, index, ["gram"], "inner")
-                 .filter(F.contains("location_raw", F.col("region")))
-                 .select("location_raw", "region"))
-        found = pairs if found is None else found.unionByName(pairs)
-    if found is None:
-        return texts.select("location_raw", F.lit("").alias("region")).filter(F.lit(False))
+        found = found.unionByName(
+            keyed_join(cut, index, ["gram"], "inner")
+            .filter(F.contains("location_raw", F.col("region")))
+            .select("location_raw", "region"))
     return found
 
 

@@ -100,6 +100,16 @@ def test_empty_lookup(spark, path):
     assert [t[2] for t in tagged(df)] == ["unmatched", "unmatched"]
 
 
+@pytest.mark.parametrize("path", [SMALL, LARGE])
+def test_odd_names(spark, path):
+    odd = [("a", "b", ""), ("c", "d", "x"), ("e", "f", None), ("e", "f", "long enough name")]
+    texts = ["", "x", None, "yxy", "e, f", "a long enough name", "e"]
+    df = tag_locations(contacts(spark, texts), lookup(spark, odd), small_lookup_names=path)
+    known = [o for o in odd if o[2] is not None]
+    want = [(f"m{i:04d}", *h) for i, t in enumerate(texts) for h in by_hand(t, known)]
+    assert tagged(df) == sorted(want)
+
+
 def test_copies_collapse_unless_told_otherwise(spark):
     twice = contacts(spark, ["Dallas, TX"]).unionByName(contacts(spark, ["Dallas, TX"]))
     assert tag_locations(twice, lookup(spark, METRO)).count() == 1
