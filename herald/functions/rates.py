@@ -25,7 +25,8 @@ def pct(num: Column, den: Column) -> Column:
 def change_pct(now: Column, before: Column) -> Column:
     """Relative change in percent; rounds half away from zero on both sides."""
     diff = now.cast("bigint") - before.cast("bigint")
-    return F.signum(diff.cast("double")) * pct(F.abs(diff), before)
+    sign = F.signum(diff.cast("double")).cast("bigint")
+    return sign * tenths(F.abs(diff), before) / F.lit(10.0)
 
 
 def below(num: Column, den: Column, threshold: float) -> Column:

@@ -13,7 +13,7 @@ from herald.functions import predicates as p
 from herald.operators.messages import delivery_payload, render_messages
 from herald.operators.quality import append_run_stats, run_stats
 from herald.plans.ingest import ingest_audience
-from herald.sources.contacts import read_contacts_csv
+from herald.sources.contacts import checked_contacts, split_contacts
 from herald.sources.listings import normalize_shops, parse_listings
 from herald.sources.sinks import write_messages, write_payloads
 from herald.sources.tables import current, publish, replace_inventory
@@ -55,7 +55,8 @@ def weekly_run(spark: SparkSession, store: Store, contacts_csv: str, lookup: Dat
     messages and payloads unwritten and returns them."""
     now = now or dt.datetime.now()
     run_id = now.strftime("%Y%m%dT%H%M%S")
-    good, rejects = read_contacts_csv(spark, contacts_csv)
+    lines = checked_contacts(spark, contacts_csv)
+    good, rejects = split_contacts(lines)
     known = current(spark, store.at("audience"))
     audience = ingest_audience(good, lookup, known, segment_ids, now)
     # The history load is laid out by location; a weekly merge leaves most rows where they are.
@@ -66,9 +67,7 @@ def weekly_run(spark: SparkSession, store: Store, contacts_csv: str, lookup: Dat
     messages = render_messages(ready, stock, shops, k)
     payloads = delivery_payload(ready)
     stats = run_stats(run_id, {
-        "contacts": (good.select("member_id").unionByName(
-            rejects.select(F.lit(None).cast("string").alias("member_id"))),
-            F.col("member_id").isNotNull()),
+        "contacts": (lines, F.col("reject_reason").isNull()),
         "qualified": (audience, p.qualified()),
     })
     if not dry_run:

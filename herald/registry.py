@@ -84,9 +84,13 @@ def _query(name: str, views: str = "", oracle: str | None = None):
     return add
 
 
-def _pct(num: str, den: str) -> str:
+def _tenths(num: str, den: str) -> str:
     return (f"CASE WHEN ({den}) = 0 THEN NULL ELSE CAST((2000 * ({num}) + ({den})) "
-            f"// (2 * ({den})) AS BIGINT) / 10.0::DOUBLE END")
+            f"// (2 * ({den})) AS BIGINT) END")
+
+
+def _pct(num: str, den: str) -> str:
+    return f"({_tenths(num, den)}) / 10.0::DOUBLE"
 
 
 def _n(kind: str, prefix: str = "") -> str:
@@ -277,7 +281,8 @@ def _delta_sql() -> str:
             for name, w in (("c", now), ("b", before)))
 
     active = "journey_status IN ('onboarding_sent', 'weekly_active')"
-    change = f"(CASE WHEN c < b THEN -1.0 ELSE 1.0 END)::DOUBLE * {_pct('abs(c - b)', 'b')}"
+    change = (f"(CASE WHEN c < b THEN -1 ELSE 1 END) * ({_tenths('abs(c - b)', 'b')}) "
+              "/ 10.0::DOUBLE")
     lines = [
         ("ingested", counted("audience", "ingested_at", "true"), change, "percent"),
         ("qualified", counted("audience", "ingested_at", _QUALIFIED), change, "percent"),

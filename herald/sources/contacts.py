@@ -19,32 +19,40 @@ CONTACT_CSV = StructType([
     StructField("ingested_at", TimestampNTZType()),
 ])
 REQUIRED = ("member_id", "email", "first_name")
-_BAD_LINE = "_bad_line"
 
 
-def read_contacts_csv(spark: SparkSession, path: str | list[str],
-                      schema: StructType = CONTACT_CSV,
-                      required: Sequence[str] = REQUIRED) -> tuple[DataFrame, DataFrame]:
-    """(good, rejects). Good rows are typed; a reject keeps its values as text, the raw line
-    if it does not split into the right number of fields, and a reason.
+def checked_contacts(spark: SparkSession, path: str | list[str],
+                     schema: StructType = CONTACT_CSV,
+                     required: Sequence[str] = REQUIRED) -> DataFrame:
+    """Every line as text, with ``raw_line`` if it does not split into the right number of
+    fields, and ``reject_reason`` unless it is good.
 
     Values are read as text and cast here. A typed reader converts only the columns a query
     selects, so whether a line counts as bad would depend on the query.
     """
     text = StructType([*[StructField(n, StringType()) for n in schema.names],
-                       StructField(_BAD_LINE, StringType())])
+                       StructField("raw_line", StringType())])
     rows = (spark.read.schema(text)
             .option("header", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", _BAD_LINE).option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", "raw_line").option("columnPruning", False)
             .option("quote", '"').option("escape", '"').csv(path))
-    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
-    reason = F.when(F.col(_BAD_LINE).isNotNull(), "malformed line")
+    reason = F.when(F.col("raw_line").isNotNull(), "malformed line")
     for column in required:
         reason = reason.when(F.col(column).isNull(), f"missing {column}")
-    for column, value in typed.items():
-        reason = reason.when(F.col(column).isNotNull() & value.isNull(), f"unreadable {column}")
-    rows = rows.withColumn("reject_reason", reason)
-    good = rows.filter(F.col("reject_reason").isNull())
-    rejects = rows.filter(F.col("reject_reason").isNotNull())
-    return (good.select(*[v.alias(c) for c, v in typed.items()]),
-            rejects.withColumnRenamed(_BAD_LINE, "raw_line"))
+    for f in schema.fields:
+        unreadable = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+        reason = reason.when(unreadable, f"unreadable {f.name}")
+    return rows.withColumn("reject_reason", reason)
+
+
+def split_contacts(checked: DataFrame, schema: StructType = CONTACT_CSV) -> tuple[DataFrame, DataFrame]:
+    """(good, rejects): good lines typed, rejects as text."""
+    good = checked.filter(F.col("reject_reason").isNull())
+    return (good.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]),
+            checked.filter(F.col("reject_reason").isNotNull()))
+
+
+def read_contacts_csv(spark: SparkSession, path: str | list[str],
+                      schema: StructType = CONTACT_CSV,
+                      required: Sequence[str] = REQUIRED) -> tuple[DataFrame, DataFrame]:
+    return split_contacts(checked_contacts(spark, path, schema, required), schema)

@@ -45,10 +45,11 @@ def test_pct_is_exact(spark):
 
 
 def test_change_pct(spark):
-    rows = [(1082, 1000), (918, 1000), (1000, 1000), (5, 0), (995, 1000), (9995, 10000), (0, 7)]
+    rows = [(1082, 1000), (918, 1000), (1000, 1000), (5, 0), (995, 1000), (9995, 10000), (0, 7), (99999, 100000)]
     df = spark.createDataFrame(rows, "a BIGINT, b BIGINT")
     got = [r[0] for r in df.select(change_pct(F.col("a"), F.col("b"))).collect()]
-    assert got == [8.2, -8.2, 0.0, None, -0.5, -0.1, -100.0]
+    assert got == [8.2, -8.2, 0.0, None, -0.5, -0.1, -100.0, 0.0]
+    assert str(got[-1]) == "0.0"
 
 
 def test_thresholds_compare_whole_numbers(spark):
