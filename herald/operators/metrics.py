@@ -113,10 +113,13 @@ def events_per_member(events: DataFrame) -> DataFrame:
                  _count(p.is_event("click"), "n_clicks")))
 
 
-def cars_per_location(inventory: DataFrame) -> DataFrame:
+def cars_per_location(inventory: DataFrame, exact: bool = True) -> DataFrame:
+    """Rows and distinct cars per shop. ``exact=False`` estimates the latter (2% deviation)
+    and saves the shuffle of all car ids."""
+    cars = (F.count_distinct("car_id") if exact
+            else F.approx_count_distinct("car_id", 0.02))
     return (inventory.groupBy(F.col("shop_location").alias("location_tag"))
-            .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.count_distinct("car_id").alias("inventory_count")))
+            .agg(F.count(F.lit(1)).alias("n_rows"), cars.alias("inventory_count")))
 
 
 def _member_facts(contacts: DataFrame, sync: DataFrame, events: DataFrame) -> DataFrame:
@@ -129,7 +132,8 @@ def _member_facts(contacts: DataFrame, sync: DataFrame, events: DataFrame) -> Da
 
 
 def location_breakdown(audience: DataFrame, sync: DataFrame, events: DataFrame,
-                       inventory: DataFrame, mode: str = "literal") -> DataFrame:
+                       inventory: DataFrame, mode: str = "literal",
+                       exact_stock: bool = True) -> DataFrame:
     """Audience, flow, opens and stock per location.
 
     ``literal`` gives the numbers of joining contacts to sync rows, events and cars and
@@ -137,10 +141,11 @@ def location_breakdown(audience: DataFrame, sync: DataFrame, events: DataFrame,
     at a location with c cars stands for max(1,s) * max(1,e) * max(1,c) joined rows, so
     sums of those products are enough. ``members`` counts each contact once.
     """
-    if mode == "members":
-        return _breakdown_members(audience, sync, events, inventory)
-    if mode != "literal":
+    if mode not in ("literal", "members"):
         raise ValueError(f"unknown mode {mode!r}")
+    cars = cars_per_location(inventory, exact_stock)
+    if mode == "members":
+        return _breakdown_members(audience, sync, events, cars)
     one = F.lit(1)
     members = (_member_facts(audience.filter(p.segment_tagged()), sync, events)
                .withColumn("weight", F.greatest("n_sync", one) * F.greatest("n_events", one)))
@@ -149,7 +154,7 @@ def location_breakdown(audience: DataFrame, sync: DataFrame, events: DataFrame,
         F.sum(F.when(F.col("n_sync") > 0, F.col("weight")).otherwise(0)).alias("flow_weight"),
         F.sum(F.greatest("n_sync", one) * F.col("n_opens")).alias("open_weight"))
     fan = F.greatest(F.coalesce("n_rows", F.lit(0)), one)
-    return (per_location.join(cars_per_location(inventory), "location_tag", "left")
+    return (per_location.join(cars, "location_tag", "left")
             .select("location_tag",
                     (F.col("weight") * fan).alias("qualified"),
                     (F.col("flow_weight") * fan).alias("in_flow"),
@@ -168,9 +173,9 @@ def _members_by_location(audience: DataFrame, sync: DataFrame, events: DataFrame
 
 
 def _breakdown_members(audience: DataFrame, sync: DataFrame, events: DataFrame,
-                       inventory: DataFrame) -> DataFrame:
+                       cars: DataFrame) -> DataFrame:
     return (_members_by_location(audience, sync, events)
-            .join(cars_per_location(inventory), "location_tag", "left")
+            .join(cars, "location_tag", "left")
             .select("location_tag", "qualified", "in_flow", "open_rate",
                     F.coalesce("inventory_count", F.lit(0)).alias("inventory_count"))
             .orderBy(F.desc("qualified"), "location_tag"))

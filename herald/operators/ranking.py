@@ -15,7 +15,8 @@ _PARTITION_BITS = 33
 
 def number_rows(df: DataFrame, strata: Sequence[str], key: str,
                 name: str = "row_num") -> DataFrame:
-    """ROW_NUMBER() OVER (PARTITION BY strata ORDER BY key), with ``key`` unique.
+    """ROW_NUMBER() OVER (PARTITION BY strata ORDER BY key). ``key`` is meant to be unique;
+    rows that share it are ordered by a hash of the whole row.
 
     A plain window gives each stratum to one task, and a location may hold a third of all
     contacts. Here the rows are range-partitioned by (strata, key), so a large stratum spans
@@ -24,7 +25,7 @@ def number_rows(df: DataFrame, strata: Sequence[str], key: str,
     earlier partitions are a running total over those runs, which number at most
     partitions + strata. The result is one shuffle of the rows and a narrow lookup.
     """
-    order = [*strata, key]
+    order = [*strata, key, F.xxhash64(*df.columns)]
     placed = settle(
         df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_pos", F.monotonically_increasing_id()), "positions")

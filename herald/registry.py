@@ -20,6 +20,7 @@ from herald import fixtures as fx
 from herald import schemas
 from herald.functions import predicates as p
 from herald.functions.sql import register_last_day, register_region_functions
+from herald.functions.times import moment
 from herald.operators import alerts, experiments, metrics, quality
 from herald.operators.locations import tag_locations, tier_stats
 from herald.operators.messages import (
@@ -927,6 +928,83 @@ def _(spark, sf_dir, audience, sync):
     return journey_stage(audience, sync, dt.date(2024, 1, 20))
 
 
+# --- elementary operators over whole tables --------------------------------------------
+
+@_query("scalar_text", "audience", r"""
+SELECT member_id, split_part(location_raw, ',', 1) AS part1, split_part(location_raw, ',', 2) AS part2,
+       split_part(location_raw, ',', 3) AS part3, trim(split_part(location_raw, ',', 2)) AS trimmed,
+       lower(last_name) AS lowered, reverse(member_id) AS reversed,
+       strpos(last_name, ' ') AS first_space, split_part(last_name, ' ', -1) AS last_word,
+       regexp_replace(last_name, '\(.*\)', '', 'gs') AS no_parens,
+       concat('%', coalesce(location_tag, ''), '%') AS pattern,
+       coalesce(location_tag, std_location, 'none') AS first_known,
+       nullif(location_raw, 'Remote') AS not_remote
+FROM audience""")
+def _(spark, sf_dir, audience):
+    raw, last = F.col("location_raw"), F.col("last_name")
+    part = [F.split_part(raw, F.lit(","), F.lit(n)) for n in (1, 2, 3)]
+    return audience.select(
+        "member_id", part[0].alias("part1"), part[1].alias("part2"), part[2].alias("part3"),
+        F.trim(part[1]).alias("trimmed"), F.lower(last).alias("lowered"),
+        F.reverse("member_id").alias("reversed"), F.instr(last, " ").alias("first_space"),
+        F.substring_index(last, " ", -1).alias("last_word"),
+        F.regexp_replace(last, r"(?s)\(.*\)", "").alias("no_parens"),
+        F.concat(F.lit("%"), F.coalesce("location_tag", F.lit("")), F.lit("%")).alias("pattern"),
+        F.coalesce("location_tag", "std_location", F.lit("none")).alias("first_known"),
+        F.nullif(raw, F.lit("Remote")).alias("not_remote"))
+
+
+@_query("scalar_dates", "", """
+SELECT o_orderkey, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS month_start,
+       strftime(date_trunc('month', o_orderdate) + INTERVAL '1' MONTH - INTERVAL '1' DAY,
+                '%Y-%m-%d') AS month_end,
+       strftime(o_orderdate::DATE, '%Y-%m-%d') AS day,
+       (o_orderdate > TIMESTAMP '1998-01-01')::BIGINT AS after_new_year
+FROM orders""")
+def _(spark, sf_dir):
+    day = F.col("o_orderdate").cast("date")
+    start = F.trunc(day, "MM")
+    return fx.base(spark, sf_dir, "orders").select(
+        "o_orderkey", start.alias("month_start"),
+        F.date_sub(F.add_months(start, 1), 1).alias("month_end"), day.alias("day"),
+        (F.col("o_orderdate") > moment(dt.datetime(1998, 1, 1))).cast("bigint")
+        .alias("after_new_year"))
+
+
+@_query("scalar_numbers", "", """
+SELECT l_orderkey, l_linenumber, l_orderkey % 2 AS parity, round(100.0 * l_discount, 1)::DOUBLE AS pct,
+       l_quantity / nullif(l_linenumber - 1, 0) AS per_earlier_line,
+       CASE WHEN l_quantity < 20 THEN 'low' WHEN l_quantity < 50 THEN 'middle' END AS level
+FROM lineitem""")
+def _(spark, sf_dir):
+    quantity = F.col("l_quantity")
+    earlier = F.nullif(F.col("l_linenumber") - 1, F.lit(0))
+    return fx.base(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_orderkey") % 2).alias("parity"),
+        F.round(F.lit(100.0) * F.col("l_discount"), 1).alias("pct"),
+        (quantity / earlier).alias("per_earlier_line"),
+        F.when(quantity < 20, "low").when(quantity < 50, "middle").alias("level"))
+
+
+@_query("row_predicates", "email_events", """
+SELECT event_type, count(*) AS events, count(DISTINCT member_id) AS members,
+       count(*) FILTER (WHERE campaign_id LIKE 'weekly%') AS weekly,
+       count(*) FILTER (WHERE contains(campaign_id, 'day')) AS day_campaigns,
+       count(*) FILTER (WHERE event_at > TIMESTAMP '2024-01-15') AS later
+FROM email_events WHERE event_type IN ('open', 'click', 'delivered') AND member_id IS NOT NULL
+GROUP BY event_type HAVING count(*) > 10""")
+def _(spark, sf_dir, events):
+    campaign = F.col("campaign_id")
+    return (events.filter(F.col("event_type").isin("open", "click", "delivered")
+                          & F.col("member_id").isNotNull())
+            .groupBy("event_type")
+            .agg(F.count(F.lit(1)).alias("events"), F.count_distinct("member_id").alias("members"),
+                 F.count_if(campaign.like("weekly%")).alias("weekly"),
+                 F.count_if(campaign.contains("day")).alias("day_campaigns"),
+                 F.count_if(F.col("event_at") > moment(dt.datetime(2024, 1, 15))).alias("later"))
+            .filter(F.col("events") > 10))
+
+
 # --- windows and streams ---------------------------------------------------------------
 
 def _rates_sql(source: str, start: str, days: int, extra: str = "") -> str:

@@ -160,6 +160,13 @@ def test_location_board_adds_up(spark):
     assert metrics.kpi_qualified(aud).first()[0] == 3217
 
 
+def test_stock_can_be_estimated(spark):
+    inv = stock(spark, [(f"c{i % 40}", "x") for i in range(100)])
+    exact, rough = (metrics.cars_per_location(inv, exact=e).first() for e in (True, False))
+    assert exact.inventory_count == 40 and abs(rough.inventory_count - 40) <= 3
+    assert exact.n_rows == rough.n_rows == 100
+
+
 def test_breakdown_mode_is_checked(spark):
     with pytest.raises(ValueError):
         metrics.location_breakdown(None, None, None, None, mode="other")

@@ -45,6 +45,15 @@ def test_a_stratum_spans_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_repeated_keys_still_get_each_number_once(spark):
+    df = skewed(spark, 3000).withColumn("member_id", F.substring("member_id", 1, 7))
+    got = number_rows(df, ["tag"], "member_id")
+    numbers = [c.select("tag", "row_num") for c in (got, by_window(df, ["tag"]))]
+    assert numbers[0].exceptAll(numbers[1]).isEmpty() and got.count() == 3000
+    again = number_rows(df.repartition(3), ["tag"], "member_id")
+    assert got.exceptAll(again).isEmpty()
+
+
 def test_empty(spark):
     assert number_rows(skewed(spark).limit(0), ["tag"], "member_id").count() == 0
 
