@@ -14,7 +14,7 @@ from herald.operators.messages import delivery_payload, render_messages
 from herald.operators.quality import append_run_stats, run_stats
 from herald.plans.ingest import ingest_audience
 from herald.sources.contacts import checked_contacts, split_contacts
-from herald.sources.listings import normalize_shops, parse_listings
+from herald.sources.listings import normalize_shops, parse_fetched
 from herald.sources.sinks import write_messages, write_payloads
 from herald.sources.tables import current, publish, replace_inventory
 
@@ -32,13 +32,14 @@ class Store:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def take_in_stock(spark: SparkSession, store: Store, pages: DataFrame | None,
-                  shops: DataFrame) -> DataFrame:
-    """Replace the stock from listing pages. Without pages, or if they hold no known car,
-    the previous stock stays."""
-    if pages is not None:
-        known, _ = normalize_shops(parse_listings(pages), shops)
-        known = schemas.apply_defaults(known, "inventory")
+def take_in_stock(spark: SparkSession, store: Store, fetched: DataFrame | None,
+                  shops: DataFrame, run_id: str, now: dt.datetime) -> DataFrame:
+    """Replace the stock from what was fetched, and keep cars of unknown shops aside. If
+    nothing was fetched, or no known car is in it, the previous stock stays."""
+    if fetched is not None:
+        known, rejects = normalize_shops(parse_fetched(fetched), shops)
+        rejects.write.parquet(store.at(f"rejects/stock/run={run_id}"))
+        known = schemas.apply_defaults(known, "inventory", now)
         if not known.isEmpty():
             replace_inventory(known, store.at("inventory"))
     stock = current(spark, store.at("inventory"))
@@ -62,7 +63,8 @@ def weekly_run(spark: SparkSession, store: Store, contacts_csv: str, lookup: Dat
     # The history load is laid out by location; a weekly merge leaves most rows where they are.
     publish(audience, store.at("audience"), cluster_by=AUDIENCE_LAYOUT if known is None else ())
     audience = current(spark, store.at("audience"))
-    stock = take_in_stock(spark, store, pages, shops)
+    rejects.write.parquet(store.at(f"rejects/contacts/run={run_id}"))
+    stock = take_in_stock(spark, store, pages, shops, run_id, now)
     ready = audience.filter(p.qualified())
     messages = render_messages(ready, stock, shops, k)
     payloads = delivery_payload(ready)

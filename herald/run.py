@@ -17,7 +17,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--csv", required=True, help="contact list, a file or a folder")
     parser.add_argument("--store", required=True, help="folder of the deployment's tables")
     parser.add_argument("--shops", required=True, help="shop records as CSV with a header")
-    parser.add_argument("--pages", help="fetched listing pages as Parquet with an html column")
+    parser.add_argument("--pages", help="fetched listings as Parquet: html or record column")
     parser.add_argument("--segment-ids", help="member ids of the segment as CSV with a header")
     parser.add_argument("--skip-scrape", action="store_true", help="keep the previous stock")
     parser.add_argument("--dry-run", action="store_true", help="write no messages or payloads")

@@ -69,6 +69,12 @@ def parse_listing_records(records: DataFrame, column: str = "record") -> DataFra
         F.col("r.shop").alias("shop_location"), *passthrough))
 
 
+def parse_fetched(fetched: DataFrame) -> DataFrame:
+    """Stock rows from whichever was fetched: JSON in ``record`` or pages in ``html``."""
+    return (parse_listing_records(fetched) if "record" in fetched.columns
+            else parse_listings(fetched))
+
+
 def page_fields(pages: DataFrame) -> DataFrame:
     """Title and link count of any fetched page."""
     return pages.select(

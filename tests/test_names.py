@@ -54,7 +54,7 @@ def by_hand(name):
     return cut.split(" ")[-1]
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, database=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet="aB ,()\n-'é", max_size=20), min_size=30, max_size=60))
 def test_random_names(spark, values):
     df = clean_last_name(names_frame(spark, values)).orderBy("id")

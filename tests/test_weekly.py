@@ -35,8 +35,12 @@ def test_two_weeks(spark, tmp_path, lookup, shops):
                      "m3,,Cy,Li,,1,,\n")
     second.write_text(HEADER + 'm1,new@x,Ann,"van Lee","Boston, MA",1,,2024-01-08 00:00:00\n'
                       "m4,d@x,Di,Oh,near Greater Boston,1,,\n")
-    one = weekly_run(spark, store, str(first), lookup, shops, pages(spark, "c1", "c2"),
-                     now=dt.datetime(2024, 1, 7, 9))
+    fetched = pages(spark, "c1", "c2").unionByName(
+        pages(spark, "c3").replace(PAGE.format(id="c3"), PAGE.format(id="c3").replace("dallas", "moon")))
+    one = weekly_run(spark, store, str(first), lookup, shops, fetched, now=dt.datetime(2024, 1, 7, 9))
+    assert [r.reject_reason for r in spark.read.parquet(store.at("rejects/contacts")).collect()] == ["missing email"]
+    assert [r.car_id for r in spark.read.parquet(store.at("rejects/stock")).collect()] == ["c3"]
+    assert {r.scraped_at for r in one["inventory"].collect()} == {dt.datetime(2024, 1, 7, 9)}
     assert {(r.member_id, r.last_name, r.location_tag, r.std_location) for r in one["audience"].collect()} == {
         ("m1", "lee", "Dallas Area", "Dallas"), ("m2", "kim", "Dallas Area", "Dallas Area")}
     assert [(r.car_id, r.shop_location) for r in one["inventory"].orderBy("car_id").collect()] == [
@@ -58,6 +62,16 @@ def test_two_weeks(spark, tmp_path, lookup, shops):
     assert two["messages"].filter("html LIKE '%2021 Lexus RX%'").count() == 2
 
 
+def test_stock_from_records(spark, tmp_path, lookup, shops):
+    store = Store(str(tmp_path / "store"))
+    csv = tmp_path / "w.csv"
+    csv.write_text(HEADER + 'm1,a@x,Ann,Lee,"Dallas, TX",1,,\n')
+    records = spark.createDataFrame(
+        [('{"id":"r1","title":"2020 Tesla Model 3","price":"$24,800","shop":"Dallas"}',)], "record STRING")
+    run = weekly_run(spark, store, str(csv), lookup, shops, records, now=dt.datetime(2024, 1, 7))
+    assert "2020 Tesla Model 3" in run["messages"].first().html
+
+
 def test_dry_run_writes_no_messages(spark, tmp_path, lookup, shops):
     store = Store(str(tmp_path / "store"))
     csv = tmp_path / "w.csv"
