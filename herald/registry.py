@@ -1069,5 +1069,5 @@ def _(spark, sf_dir, audience, batch):
     for arrivals in (audience, batch):
         arrivals.coalesce(1).write.mode("append").parquet(inbox)
     stream = streams.file_stream(spark, inbox, schemas.AUDIENCE, files_per_batch=1)
-    streams.ingest_contacts(stream, store, fresh_path(spark, "contact-state")).awaitTermination()
-    return tables.current(spark, store).select(*_CONTACT_COLUMNS)
+    merged = streams.ingest_contacts(stream, store, fresh_path(spark, "contact-state"))
+    return merged.select(*_CONTACT_COLUMNS)

@@ -98,16 +98,33 @@ def upsert(base: DataFrame, batch: DataFrame, key: str = "member_id",
 
 # --- snapshots -------------------------------------------------------------------------
 
-def _folders(spark: SparkSession, path: str) -> dict[str, bool]:
-    """Version folders below ``path`` and whether each was written to the end."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _open(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, location = _open(spark, path)
+    return fs.exists(location)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    fs, root = _open(spark, path)
     if not fs.exists(root):
-        return {}
+        return []
     names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-    return {n: fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
-            for n in names if n.startswith("version=")}
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("version="))
+
+
+def _version_path(path: str, version: int) -> str:
+    return f"{path}/version={version:06d}"
+
+
+def latest_version(spark: SparkSession, path: str) -> int:
+    """The newest version that was written to the end; 0 if there is none."""
+    done = [v for v in _versions(spark, path)
+            if exists(spark, f"{_version_path(path, v)}/_SUCCESS")]
+    return done[-1] if done else 0
 
 
 def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> str:
@@ -120,16 +137,15 @@ def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> str:
     spark = df.sparkSession
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    used = [int(n.split("=")[1]) for n in _folders(spark, path)]
-    target = f"{path}/version={max(used, default=0) + 1:06d}"
+    target = _version_path(path, max(_versions(spark, path), default=0) + 1)
     df.write.parquet(target)
     return target
 
 
 def current(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest complete version, or None."""
-    done = sorted(n for n, complete in _folders(spark, path).items() if complete)
-    return spark.read.parquet(f"{path}/{done[-1]}") if done else None
+    version = latest_version(spark, path)
+    return spark.read.parquet(_version_path(path, version)) if version else None
 
 
 def replace_inventory(df: DataFrame, path: str) -> str:

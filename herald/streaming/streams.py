@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from herald.functions import predicates as p
 from herald.functions.rates import pct
 from herald.functions.times import instant, zoneless
 from herald.scale import fresh_path
-from herald.sources.tables import current, latest_per_key, publish, upsert
+from herald.sources.tables import current, exists, latest_per_key, latest_version, publish, upsert
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str | None = None,
@@ -27,24 +24,31 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: s
     return reader.load(folder)
 
 
-def upsert_into(spark: SparkSession, store_path: str, key: str,
-                order: str) -> Callable[[DataFrame, int], None]:
-    """A batch handler that merges into the snapshot store. Replaying a batch changes
-    nothing, so at-least-once delivery is enough."""
-    def merge(batch: DataFrame, _: int) -> None:
-        base = current(spark, store_path)
-        merged = (latest_per_key(batch.filter(F.col(key).isNotNull()), key, [order])
-                  if base is None else upsert(base, batch, key, order))
-        publish(merged, store_path)
-    return merge
-
-
 def ingest_contacts(contacts: DataFrame, store_path: str, checkpoint: str,
-                    key: str = "member_id", order: str = "ingested_at") -> StreamingQuery:
-    """Take in everything that has arrived, then stop."""
-    handler = upsert_into(contacts.sparkSession, store_path, key, order)
-    return (contacts.writeStream.foreachBatch(handler)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+                    key: str = "member_id", order: str = "ingested_at") -> DataFrame | None:
+    """Take in every contact that has arrived, then merge them into the store once.
+
+    Batches are only set aside as they come, one row per key each, under a folder named after
+    the version they follow: rewriting a large base per batch would cost the base each time. A
+    replayed batch overwrites itself. If a run dies before the merge, the version has not
+    moved on, so the next run merges what was set aside together with its own.
+    """
+    spark = contacts.sparkSession
+    pending = f"{store_path}/pending/after={latest_version(spark, store_path)}"
+
+    def set_aside(batch: DataFrame, batch_id: int) -> None:
+        rows = latest_per_key(batch.filter(F.col(key).isNotNull()), key, [order])
+        rows.write.mode("overwrite").parquet(f"{pending}/batch={batch_id}")
+
+    (contacts.writeStream.foreachBatch(set_aside).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+    if exists(spark, pending):
+        schema = StructType([*contacts.schema.fields, StructField("batch", LongType())])
+        arrived = spark.read.schema(schema).parquet(pending)
+        fresh = latest_per_key(arrived, key, [order, "batch"]).drop("batch")
+        base = current(spark, store_path)
+        publish(fresh if base is None else upsert(base, fresh, key, order), store_path)
+    return current(spark, store_path)
 
 
 def _with_watermark(events: DataFrame, delay: str) -> DataFrame:
@@ -59,53 +63,44 @@ def dedupe_events(events: DataFrame, delay: str = "1 day") -> DataFrame:
             .withColumn("event_at", zoneless(F.col("event_at"))))
 
 
-def _rates(windowed: DataFrame, bound: Callable[[Column], Column]) -> DataFrame:
-    counts = windowed.agg(
-        F.count_if(p.is_event("delivered")).alias("delivered"),
-        F.count_if(p.is_event("open")).alias("opens"),
-        F.count_if(p.is_event("click")).alias("clicks"))
-    return counts.select(
-        bound(F.col("span.start")).alias("window_start"),
-        bound(F.col("span.end")).alias("window_end"),
-        "journey", "delivered", "opens", "clicks",
-        pct(F.col("opens"), F.col("delivered")).alias("open_rate"),
-        pct(F.col("clicks"), F.col("delivered")).alias("ctr"))
+# Counted event kinds under the names they are shown by.
+COUNTED = {"delivered": "delivered", "opens": "open", "clicks": "click"}
 
 
-def _per_journey(events: DataFrame, span: Column, delay: str | None) -> DataFrame:
+def _daily(events: DataFrame, delay: str | None) -> DataFrame:
     if delay:
         events = _with_watermark(events, delay)
-    grouped = (events.withColumn("journey", p.campaign_family())
-               .filter(F.col("journey").isNotNull())
-               .groupBy(span.alias("span"), "journey"))
-    return _rates(grouped, zoneless if delay else lambda bound: bound)
+    return (events.withColumn("journey", p.campaign_family())
+            .filter(F.col("journey").isNotNull())
+            .groupBy(F.window("event_at", "1 day").alias("span"), "journey")
+            .agg(*[F.count_if(p.is_event(kind)).alias(name) for name, kind in COUNTED.items()]))
+
+
+def _with_rates(counts: DataFrame, delay: str | None) -> DataFrame:
+    start, end = F.col("span.start"), F.col("span.end")
+    return counts.select(
+        (zoneless(start) if delay else start).alias("window_start"),
+        (zoneless(end) if delay else end).alias("window_end"),
+        "journey", *COUNTED,
+        pct(F.col("opens"), F.col("delivered")).alias("open_rate"),
+        pct(F.col("clicks"), F.col("delivered")).alias("ctr"))
 
 
 def daily_rates(events: DataFrame, delay: str | None = None) -> DataFrame:
     """Rates per day and journey. Works on a table and, with ``delay``, on a stream."""
-    return _per_journey(events, F.window("event_at", "1 day"), delay)
+    return _with_rates(_daily(events, delay), delay)
 
 
 def sliding_rates(events: DataFrame, days: int = 7, delay: str | None = None) -> DataFrame:
-    """Rates over ``days`` days, one window starting each day.
+    """Rates over ``days`` days, one window starting each day, for a table or a stream.
 
-    A table is first counted per day and journey, then each of those few rows goes to its
-    ``days`` windows; a stream assigns each event to its windows, as Spark requires.
+    Events are counted per day and journey first, so that those few rows, not the events,
+    are repeated for the windows they belong to.
     """
-    if delay or events.isStreaming:
-        return _per_journey(events, F.window("event_at", f"{days} days", "1 day"), delay)
-    daily = daily_rates(events)
-    starts = F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(days - 1)),
-        lambda i: F.col("window_start") - F.make_dt_interval(days=i)))
-    counts = (daily.select(starts.alias("window_start"), "journey", "delivered", "opens", "clicks")
-              .groupBy("window_start", "journey")
-              .agg(*[F.sum(c).alias(c) for c in ("delivered", "opens", "clicks")]))
-    return counts.select(
-        "window_start", (F.col("window_start") + F.make_dt_interval(days=F.lit(days))).alias("window_end"),
-        "journey", "delivered", "opens", "clicks",
-        pct(F.col("opens"), F.col("delivered")).alias("open_rate"),
-        pct(F.col("clicks"), F.col("delivered")).alias("ctr"))
+    windows = F.window(F.window_time("span"), f"{days} days", "1 day")
+    counts = (_daily(events, delay).groupBy(windows.alias("span"), "journey")
+              .agg(*[F.sum(name).alias(name) for name in COUNTED]))
+    return _with_rates(counts, delay)
 
 
 def drain(stream: DataFrame, name: str) -> DataFrame:

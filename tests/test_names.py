@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from herald.operators.names import clean_last_name
 
 STEPS = ["step1_remove_titles", "step2_remove_parens", "step3_normalized", "clean_last_name"]
+# Names and what each stage makes of them.
 CASES = [
     ("Harries, MA", "Harries", "Harries", "harries", "harries"),
     ("Smith PhD", "Smith PhD", "Smith PhD", "smith phd", "phd"),
