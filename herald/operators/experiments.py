@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,9 +37,11 @@ def ab_simple(audience: DataFrame, region: str, ordered: bool = False) -> DataFr
 
 
 def ab_stratified(audience: DataFrame, strata: str = "location_tag", key: str = "member_id",
-                  keep_row_number: bool = False, ordered: bool = False) -> DataFrame:
-    """Alternate within every stratum; rows without a stratum are left out."""
-    columns = list(dict.fromkeys([*ASSIGNED, strata, key]))
+                  keep_row_number: bool = False, ordered: bool = False,
+                  keep: Sequence[str] = ASSIGNED) -> DataFrame:
+    """Alternate within every stratum; rows without a stratum are left out. With all audience
+    columns in ``keep``, the result is the audience with its ab_group filled in."""
+    columns = list(dict.fromkeys([*keep, strata, key]))
     rows = audience.filter(F.col(strata).isNotNull())
     return _labelled(rows, columns, [strata], key, keep_row_number, ordered)
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from herald import schemas
 from herald.operators import experiments as ex
 from herald.operators.ranking import number_rows
 
@@ -75,6 +76,14 @@ def test_strata_are_balanced_and_start_with_b(spark):
     assert df.filter("location_tag IS NULL").count() == 0
 
 
+def test_groups_can_be_stored_with_the_audience(spark):
+    people = schemas.conform(audience(spark), schemas.AUDIENCE)
+    stored = ex.ab_stratified(people, keep=people.columns)
+    assert stored.columns == people.columns
+    labels = stored.select("member_id", "ab_group")
+    assert labels.exceptAll(ex.ab_stratified(people).select("member_id", "ab_group")).isEmpty()
+
+
 def test_ordered_output(spark):
     rows = ex.ab_stratified(audience(spark), ordered=True).collect()
     keys = [(r.location_tag, r.member_id) for r in rows]
