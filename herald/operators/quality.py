@@ -33,18 +33,22 @@ def _finding(table: str, constraint: str, violations: Column) -> list[Column]:
             F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations")]
 
 
-def _duplicate_keys(table: str, df: DataFrame) -> DataFrame:
+def _keys_and_values(table: str, df: DataFrame) -> DataFrame:
+    """Repeated keys and missing values of a table, in one pass: counts per key, then sums."""
     key = schemas.PRIMARY_KEYS[table]
-    extra = df.groupBy(key).count().filter((F.col("count") > 1) & F.col(key).isNotNull())
-    return extra.agg(*_finding(table, f"primary key {key}", F.count(F.lit(1))))
-
-
-def _missing_values(table: str, df: DataFrame) -> DataFrame:
-    """All NOT NULL columns of a table in one pass."""
-    columns = schemas.required_columns(table)
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return row.select(F.inline(F.array(*[
-        F.struct(*_finding(table, f"not null {c}", F.col(c))) for c in columns])))
+    values = [c for c in schemas.required_columns(table) if c != key]
+    per_key = df.groupBy(F.col(key).alias("key")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"no_{c}") for c in values])
+    has_key = F.col("key").isNotNull()
+    totals = per_key.agg(
+        F.count_if(has_key & (F.col("rows") > 1)).alias("repeated"),
+        F.sum(F.when(~has_key, F.col("rows"))).alias("no_key"),
+        *[F.sum(f"no_{c}").alias(f"no_{c}") for c in values])
+    return totals.select(F.inline(F.array(
+        F.struct(*_finding(table, f"primary key {key}", F.col("repeated"))),
+        F.struct(*_finding(table, f"not null {key}", F.col("no_key"))),
+        *[F.struct(*_finding(table, f"not null {c}", F.col(f"no_{c}"))) for c in values])))
 
 
 def _broken_references(fk: schemas.ForeignKey, child: DataFrame, parent: DataFrame) -> DataFrame:
@@ -57,9 +61,7 @@ def _broken_references(fk: schemas.ForeignKey, child: DataFrame, parent: DataFra
 
 def audit(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, constraint_name, violations) for every declared constraint."""
-    findings = []
-    for name, df in tables.items():
-        findings += [_duplicate_keys(name, df), _missing_values(name, df)]
+    findings = [_keys_and_values(name, df) for name, df in tables.items()]
     for fk in schemas.FOREIGN_KEYS:
         if fk.table in tables and fk.parent in tables:
             findings.append(_broken_references(fk, tables[fk.table], tables[fk.parent]))
