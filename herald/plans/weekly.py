@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from herald import schemas
 from herald.functions import predicates as p
 from herald.operators.messages import delivery_payload, render_messages
-from herald.operators.quality import append_run_stats, run_stats
+from herald.operators.quality import run_stats
 from herald.plans.ingest import ingest_audience
 from herald.sources.contacts import checked_contacts, split_contacts
 from herald.sources.listings import normalize_shops, parse_fetched
@@ -38,7 +38,7 @@ def take_in_stock(spark: SparkSession, store: Store, fetched: DataFrame | None,
     nothing was fetched, or no known car is in it, the previous stock stays."""
     if fetched is not None:
         known, rejects = normalize_shops(parse_fetched(fetched), shops)
-        rejects.write.parquet(store.at(f"rejects/stock/run={run_id}"))
+        rejects.write.mode("overwrite").parquet(store.at(f"rejects/stock/run={run_id}"))
         known = schemas.apply_defaults(known, "inventory", now)
         if not known.isEmpty():
             replace_inventory(known, store.at("inventory"))
@@ -52,8 +52,9 @@ def weekly_run(spark: SparkSession, store: Store, contacts_csv: str, lookup: Dat
                shops: DataFrame, pages: DataFrame | None = None,
                segment_ids: DataFrame | None = None, now: dt.datetime | None = None,
                k: int = 3, dry_run: bool = False) -> dict[str, DataFrame]:
-    """A failing step ends the run, so nothing after it is written. ``dry_run`` leaves the
-    messages and payloads unwritten and returns them."""
+    """A failing step ends the run, so nothing after it is written; repeating the run with
+    the same ``now`` replaces what it wrote. ``dry_run`` leaves the messages and payloads
+    unwritten and returns them."""
     now = now or dt.datetime.now()
     run_id = now.strftime("%Y%m%dT%H%M%S")
     lines = checked_contacts(spark, contacts_csv)
@@ -63,7 +64,7 @@ def weekly_run(spark: SparkSession, store: Store, contacts_csv: str, lookup: Dat
     # The history load is laid out by location; a weekly merge leaves most rows where they are.
     publish(audience, store.at("audience"), cluster_by=AUDIENCE_LAYOUT if known is None else ())
     audience = current(spark, store.at("audience"))
-    rejects.write.parquet(store.at(f"rejects/contacts/run={run_id}"))
+    rejects.write.mode("overwrite").parquet(store.at(f"rejects/contacts/run={run_id}"))
     stock = take_in_stock(spark, store, pages, shops, run_id, now)
     ready = audience.filter(p.qualified())
     messages = render_messages(ready, stock, shops, k)
@@ -73,8 +74,8 @@ def weekly_run(spark: SparkSession, store: Store, contacts_csv: str, lookup: Dat
         "qualified": (audience, p.qualified()),
     })
     if not dry_run:
-        write_messages(messages, store.at(f"messages/run={run_id}"))
-        write_payloads(payloads, store.at(f"payloads/run={run_id}"))
-        append_run_stats(stats, store.at("run_stats"))
+        write_messages(messages, store.at(f"messages/run={run_id}"), mode="overwrite")
+        write_payloads(payloads, store.at(f"payloads/run={run_id}"), mode="overwrite")
+        stats.write.mode("overwrite").parquet(store.at(f"run_stats/run={run_id}"))
     return {"audience": audience, "inventory": stock, "rejects": rejects,
             "messages": messages, "payloads": payloads, "stats": stats}

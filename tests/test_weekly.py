@@ -58,6 +58,11 @@ def test_two_weeks(spark, tmp_path, lookup, shops):
     assert two["inventory"].count() == 2
     assert spark.read.parquet(store.at("run_stats")).count() == 4
     assert spark.read.text(store.at("payloads")).count() == 3
+    # Repeating the run replaces its output and leaves the audience as it is.
+    again = weekly_run(spark, store, str(second), lookup, shops, now=dt.datetime(2024, 1, 14, 9))
+    assert again["audience"].exceptAll(two["audience"]).isEmpty() and again["audience"].count() == 3
+    assert spark.read.text(store.at("payloads")).count() == 3
+    assert spark.read.parquet(store.at("run_stats")).count() == 4
     # A location without a shop gets cars from the pool.
     assert two["messages"].filter("html LIKE '%2021 Lexus RX%'").count() == 2
 
