@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from herald import schemas
+from herald import scale, schemas
 from herald.operators import experiments as ex
 from herald.operators.ranking import number_rows
 
@@ -41,6 +41,10 @@ def test_a_stratum_spans_partitions(spark):
         df = skewed(spark)
         got = number_rows(df, ["tag"], "member_id")
         assert got.exceptAll(by_window(df, ["tag"])).count() == 0
+        placed = spark.read.parquet(next(f for f in reversed(scale._settled) if "positions" in f))
+        per_task = placed.groupBy("tag", F.shiftright("_pos", 33).alias("part")).count()
+        hot = per_task.filter("tag = 'hot'").agg(F.count("part").alias("parts"), F.max("count").alias("most")).first()
+        assert hot.parts >= 10 and hot.most < 20_000 / 15
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -29,6 +29,27 @@ def test_salted_join_equals_plain_join(spark, how, hot_keys):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def largest_task(df):
+    tasks = df.groupBy(F.spark_partition_id().alias("t")).count()
+    return tasks.agg(F.max("count") / F.sum("count")).first()[0]
+
+
+def test_hot_keys_spread_over_tasks(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        salted = scale._salted_join(fact(spark), side(spark).filter("k <> '0'"), ["k"], "left", hot_keys=20)
+        unsalted = fact(spark).join(side(spark).filter("k <> '0'"), ["k"], "left")
+        assert largest_task(unsalted) > 0.3
+        assert largest_task(salted) < 0.2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_two_keys(spark):
     left = fact(spark).withColumn("j", F.col("id") % 2)
     right = side(spark).withColumn("j", F.col("w") % 2)
