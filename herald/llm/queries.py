@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm import bpe, quality
+from herald.llm import bpe, line_dedup, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +30,69 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op5_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM d),
+keyed AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+again AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10
+          GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+marked AS (SELECT k.doc_id, i, line, coalesce(k.doc_id > first, false) AS gone
+           FROM keyed k LEFT JOIN again a ON k.key = a.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_mixing"] = r"""
+WITH d AS (SELECT doc_id, coalesce('a' || source, 'b') AS src,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                  (('0x' || substr(md5(doc_id || ':mix-1'), 1, 13))::BIGINT::DOUBLE + 0.5)
+                  / 4503599627370496.0::DOUBLE AS u
+           FROM documents),
+c AS (SELECT *, length(bin(size))::INT AS class FROM d),
+s AS (SELECT src, sum(size)::BIGINT AS source_size, (3 * sum(size))::DOUBLE AS lim,
+             [5, 2, 1][((row_number() OVER (ORDER BY src COLLATE "C") - 1) % 3 + 1)::INT]::DOUBLE AS w
+      FROM c GROUP BY src),
+f AS (SELECT *, (sum(source_size) OVER ())::DOUBLE AS total,
+             sum(lim) OVER (o ROWS UNBOUNDED PRECEDING) - lim AS full_,
+             sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+      FROM s WINDOW o AS (ORDER BY lim / w, src COLLATE "C")),
+sh AS (SELECT (total - full_) / rest AS share FROM f WHERE (total - full_) / rest * w <= lim
+       ORDER BY lim / w, src COLLATE "C" LIMIT 1),
+t AS (SELECT src, source_size, least(lim, coalesce(share * w, lim)) AS target FROM f LEFT JOIN sh ON true),
+k AS (SELECT src, class, sum(size)::BIGINT AS words, (class + 4)::DOUBLE AS w FROM c GROUP BY ALL),
+r AS (SELECT k.*, source_size, target,
+             (target - 3 * (sum(words) OVER (v ROWS UNBOUNDED PRECEDING) - words))
+             / nullif(sum(words * w) OVER (v ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS rate
+      FROM k JOIN t USING (src) WINDOW v AS (PARTITION BY src ORDER BY w DESC)),
+r2 AS (SELECT *, max_by(rate, w) FILTER (WHERE rate * w <= 3) OVER (PARTITION BY src) AS chosen FROM r),
+r3 AS (SELECT *, least(3.0::DOUBLE, coalesce(chosen * w, 3.0::DOUBLE)) AS raw FROM r2),
+r4 AS (SELECT *, CASE WHEN abs(raw - round(raw)) < 1e-9 THEN round(raw) ELSE raw END AS n FROM r3),
+r5 AS (SELECT *, floor(n) AS certain, n - floor(n) AS p,
+              target - sum(words * floor(n)) OVER (PARTITION BY src) AS left_ FROM r4),
+q AS (SELECT c.*, source_size, target, certain, p, left_,
+             CASE WHEN p > 0 THEN (u / (1 - u)) * ((1 - p) / p) END AS q
+      FROM c JOIN r5 USING (src, class)),
+z AS (SELECT *, CASE WHEN p > 0 THEN sum(size) OVER (PARTITION BY src, p > 0 ORDER BY q, doc_id, size
+                                                     ROWS UNBOUNDED PRECEDING) - size / 2 <= left_
+                ELSE false END AS extra FROM q)
+SELECT doc_id, size, source_size, target, (size * (certain + extra::INT))::BIGINT AS taken FROM z
+"""
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.ledger(table(spark, sf_dir, "documents"))
