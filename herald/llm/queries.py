@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm import bpe, line_dedup, mixing, quality
+from herald.llm import bpe, line_dedup, mixing, quality, token_store
+from herald.llm.common import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +31,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-store")
+    token_store.write_tokens(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("word_bpe_49k.json"), folder)
+    rows = token_store.read_documents(spark, folder)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
