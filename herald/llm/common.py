@@ -273,6 +273,26 @@ def runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups, many at a time, from batches sorted by ``key``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = batch.column(key)
+        start = int(np.argmax((column.to_numpy(zero_copy_only=False) == column[-1].as_py())))
+        if held and (start or held[-1].column(key)[-1] != column[0]):
+            if start:
+                held.append(batch.slice(0, start))
+            yield pa.Table.from_batches(held)
+            held = []
+        elif start:
+            yield pa.Table.from_batches([batch.slice(0, start)])
+        held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def by_key(df: DataFrame, n: int, key: str, *order: str) -> DataFrame:
     """Rows of a key in one partition, one after the other."""
     return df.repartition(n, key).sortWithinPartitions(key, *order)

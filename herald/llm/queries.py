@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm import bpe, line_dedup, mixing, quality, token_store
+from herald.llm import bpe, jaccard, line_dedup, mixing, quality, token_store
 from herald.llm.common import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +144,8 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
        n_repeat_words::BIGINT AS n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept,
        failed::BIGINT AS failed_rules FROM f
 """
+
+
+@query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
