@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,10 @@ from pyspark.sql import functions as F
 from herald.llm.common import pieces, texts, utf8
 
 #: Fragments that a worker remembers, and the longest of them in bytes.
-REMEMBERED, LONGEST = 150_000, 64
+REMEMBERED, LONGEST = 250_000, 64
+#: How byte-level BPE splits a text into pre-tokens (a fixed value).
+PRE_TOKENS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+              r"|\s+(?!\S)|\s+")
 
 
 def byte_letters() -> dict[str, int]:
@@ -40,6 +44,7 @@ class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.spec = spec
         letter = byte_letters()
         self.special = {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
         by_id = {i: bytes(map(letter.__getitem__, t)) for t, i in spec["model"]["vocab"].items()
@@ -76,10 +81,32 @@ def fragments(text: bytes, table: np.ndarray) -> list[bytes]:
     return [text[i:j] for i, j in zip([0, *ends], ends)]
 
 
+def ranked(vocabulary: Vocabulary):
+    """The same vocabulary for the tiktoken library, which merges short fragments several times
+    faster; None if the file asks for more than plain byte-level BPE whose merges are in the
+    order of their ids."""
+    spec, model = vocabulary.spec, vocabulary.spec["model"]
+    split = spec["pre_tokenizer"] or {}
+    merges = [m if isinstance(m, str) else "".join(m) for m in model["merges"]]
+    ids = [model["vocab"][m.replace(" ", "")] for m in merges]
+    plain = (spec["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex")
+             and not split.get("add_prefix_space") and not model.get("dropout")
+             and not model.get("end_of_word_suffix") and not model.get("ignore_merges"))
+    if not plain or any(b <= a for a, b in zip(ids, ids[1:])):
+        return None
+    import tiktoken
+
+    ranks = {t: i for i, t in enumerate(vocabulary.tokens) if t and i not in vocabulary.special}
+    return tiktoken.Encoding("fragments", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+
+
 class FragmentEncoder:
-    """Encodes fragments with the tokenizers library, each distinct one once per batch."""
+    """Encodes fragments, each distinct one once per batch. Fragments with a special token, and
+    vocabularies that need it, go through the tokenizers library itself."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, vocabulary: Vocabulary):
+        self.fast = ranked(vocabulary)
+        self.special = list(vocabulary.special.values())
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -94,12 +121,18 @@ class FragmentEncoder:
             self.known.clear()
         known = self.known
         new = list(set().union(*parts).difference(known.keys()))
-        for start in range(0, len(new), 4096):
-            some = new[start:start + 4096]
+        rest = new
+        if self.fast:
+            rest = [f for f in new if any(s in f for s in self.special)]
+            fast = self.fast.encode_ordinary
+            for fragment in set(new).difference(rest) if rest else new:
+                known[fragment] = pack(fast(fragment.decode()))
+        for start in range(0, len(rest), 4096):
+            some = rest[start:start + 4096]
             found = self.tokenizer.encode_batch_fast([b.decode() for b in some],
                                                      add_special_tokens=False)
             for fragment, encoding in zip(some, found):
-                known[fragment] = np.array(encoding.ids, "<i4").tobytes()
+                known[fragment] = pack(encoding.ids)
         ids = [np.frombuffer(b"".join(map(known.__getitem__, p)), "<i4") for p in parts]
         for fragment in new:
             if len(fragment) > LONGEST:
@@ -107,13 +140,17 @@ class FragmentEncoder:
         return ids
 
 
+def pack(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 _encoders: dict[str, tuple] = {}
 
 
 def _tools(path: str) -> tuple[Vocabulary, np.ndarray, FragmentEncoder]:
     if path not in _encoders:
         vocabulary = Vocabulary(path)
-        _encoders[path] = (vocabulary, vocabulary.cuts(), FragmentEncoder(path))
+        _encoders[path] = (vocabulary, vocabulary.cuts(), FragmentEncoder(path, vocabulary))
     return _encoders[path]
 
 
