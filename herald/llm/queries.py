@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm import bpe, jaccard, line_dedup, mixing, quality, token_store
+from herald.llm import bpe, jaccard, line_dedup, mixing, ngram_lm, quality, token_store
 from herald.llm.common import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ngram_lm.score(docs, ngram_lm.train(docs))
+
+
 @query
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-store")
