@@ -41,6 +41,10 @@ def long_keys(keys: list[bytes], least: int) -> set[bytes]:
     return {k for k in keys if len(k) >= 4 * least or len(k) >= least and len(k.decode()) >= least}
 
 
+def digest(key: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(key)
+
+
 def hashes(keys) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64)
 
@@ -134,7 +138,8 @@ def suspects_filter(rows: DataFrame, least: int) -> Suspects:
 
 
 def repeated(rows: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc_id, key) of every line key that the document has to give up. ``rows`` has no NULL."""
+    """(doc_id, digest) of every line that the document has to give up: its key's 128-bit hash,
+    so that keys themselves are shuffled once only. ``rows`` has no NULL."""
     found = suspects_filter(rows, least)
 
     def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,13 +154,17 @@ def repeated(rows: DataFrame, least: int = LEAST) -> DataFrame:
             hit = order[found.holds(h[order])].tolist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids[i] for i in hit], pa.int64()),
-                 pa.array([keys[i].decode() for i in hit], pa.string())], ["doc_id", "key"])
+                 pa.array([keys[i] for i in hit], pa.binary()),
+                 pa.array([digest(keys[i]) for i in hit], pa.binary())], ["doc_id", "key", "digest"])
 
-    lines = settle(rows.mapInArrow(suspect, "doc_id bigint, key string"), "suspected-lines")
-    first = (lines.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-             .filter(F.col("first") < F.col("last")).select("key", "first"))
-    held = keyed_join(lines, settle(first, "repeated-lines"), ["key"], "inner")
-    return held.filter(F.col("doc_id") > F.col("first")).select("doc_id", "key").distinct()
+    lines = settle(rows.mapInArrow(suspect, "doc_id bigint, key binary, digest binary"),
+                   "suspected-lines")
+    first = (lines.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
+                                      F.first("digest").alias("digest"))
+             .filter(F.col("first") < F.col("last")).select("digest", "first"))
+    held = keyed_join(lines.select("doc_id", "digest"), settle(first, "repeated-lines"),
+                      ["digest"], "inner")
+    return held.filter(F.col("doc_id") > F.col("first")).select("doc_id", "digest")
 
 
 def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -166,7 +175,7 @@ def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     drops = repeated(rows.select("doc_id", "text"), least)
-    per_doc = drops.groupBy("doc_id").agg(F.collect_list("key").alias("drop"))
+    per_doc = drops.groupBy("doc_id").agg(F.collect_set("digest").alias("drop"))
     joined = rows.join(per_doc, "doc_id", "left").select("row", "text", "drop")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,8 +184,8 @@ def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
             for text, drop in zip(utf8(batch), batch.column("drop").to_pylist()):
                 own = text.split(b"\n")
                 if drop:
-                    drop = {k.encode() for k in drop}
-                    left = [x for x in own if x.strip().lower() not in drop]
+                    drop = set(drop)
+                    left = [x for x in own if digest(x.strip().lower()) not in drop]
                     text = b"\n".join(left)
                 lines.append(len(own))
                 gone.append(len(own) - len(left) if drop else 0)
