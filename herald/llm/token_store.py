@@ -19,7 +19,10 @@ share an id are ordered by the hash of their text and each keep their own entry.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from herald.llm.bpe import byte_letters
 from herald.llm.common import pieces, texts, utf8
 from herald.scale import keyed_join
 
 END_ID = 2
 BLOCK_IDS = 2_000_000
-#: Pairs replaced per round at most, how often a pair has to occur, and rounds at most.
-PAIRS, FREQUENT, ROUNDS = 4096, 32, 8
-REMEMBERED, LONGEST = 150_000, 64
+#: Pairs replaced per round at most, how often a pair has to occur, and rounds at most. A round
+#: that shortens the block by less than one part in ``WORTH`` is the last.
+PAIRS, FREQUENT, ROUNDS, WORTH = 4096, 32, 8, 25
+REMEMBERED, LONGEST = 250_000, 64
 
 BLOCKS = ("part int, block int, n_ids bigint, doc_ids array<bigint>, doc_ids_count array<int>, "
           "doc_symbols array<int>, first_rule int, rules binary, rounds array<int>, lengths binary, "
@@ -44,13 +49,53 @@ _NAMES = [c.split()[0] for c in BLOCKS.split(", ")]
 
 # --- encoding --------------------------------------------------------------------------
 
+#: Words that need no Unicode rules: Latin letters up to U+012F, ASCII digits and signs.
+PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+")
+#: The parts of a lower-cased plain word (the tokenizer's fixed pattern on those characters).
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u012f]+|[0-9]|[!-/:-@\[-`{-~]+")
+
+
+class PlainWords:
+    """The merges of a vocabulary with word ends, on the tiktoken library: it merges short words
+    several times faster. The end of a word is a mark whose bytes are joined to the last byte
+    before any other merge, as the vocabulary's own symbols with ``</w>`` start out."""
+
+    def __init__(self, spec: dict):
+        import tiktoken
+
+        model = spec["model"]
+        letter, vocab = byte_letters(), model["vocab"]
+        parts = {}  # bytes and whether a word ends here, in the order of the merges
+        for merge in model["merges"]:
+            token = "".join(merge if isinstance(merge, list) else merge.split(" "))
+            word = token.removesuffix("</w>")
+            parts.setdefault((bytes(map(letter.__getitem__, word)), word != token), vocab[token])
+        # a private-use character for the end of a word, none of whose beginnings is a token
+        self.mark = next(c for c in map(chr, range(0xE000, 0xF8FF))
+                         if not any((c.encode()[:n], False) in parts for n in (2, 3)))
+        mark = self.mark.encode()
+        order = ([(bytes([b]) + mark, vocab[c + "</w>"]) for c, b in letter.items()]
+                 + [(mark[:2], -1), (mark, -1)] + [(bytes([b]), vocab[c]) for c, b in letter.items()]
+                 + [(raw + mark if end else raw, i) for (raw, end), i in parts.items()])
+        self.ids = [i for _, i in order]
+        self.tool = tiktoken.Encoding("words", pat_str=f"[^{self.mark}]*{self.mark}", special_tokens={},
+                                      mergeable_ranks={raw: i for i, (raw, _) in enumerate(order)})
+
+    def encode(self, word: str) -> list[int]:
+        marked = self.mark.join([*PARTS.findall(word.lower()), ""])
+        return list(map(self.ids.__getitem__, self.tool.encode_ordinary(marked)))
+
+
 class WordEncoder:
-    """Encodes words with the tokenizers library, each distinct one once per batch."""
+    """Encodes words, each distinct one once per batch: plain ones by their merges, all others,
+    and those that could hold a special token, with the tokenizers library itself."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            self.plain = PlainWords(json.load(f))
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -64,8 +109,15 @@ class WordEncoder:
             self.known.clear()
         known, words = self.known, [t.split() for t in texts_]
         new = list(set().union(*words).difference(known.keys()))
-        for start in range(0, len(new), 4096):
-            some = new[start:start + 4096]
+        rest, plain = [], PLAIN.fullmatch
+        for word in new:
+            text = word.decode()
+            if plain(text) and "<|" not in text:
+                known[word] = array("I", self.plain.encode(text)).tobytes()
+            else:
+                rest.append(word)
+        for start in range(0, len(rest), 4096):
+            some = rest[start:start + 4096]
             found = self.tokenizer.encode_batch_fast([b.decode() for b in some],
                                                      add_special_tokens=False)
             for word, encoding in zip(some, found):
@@ -119,6 +171,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int):
         rules = np.concatenate([rules, np.stack([chosen >> np.uint64(32),
                                                  chosen & np.uint64(0xFFFFFFFF)], 1)])
         rounds.append(len(rules))
+        if len(hits) * WORTH < len(keep):
+            break
     return (seq.astype("<u4"), np.diff(np.flatnonzero(last), prepend=-1), rules.astype("<u4"),
             rounds, rule_lengths(rules, rounds, first_rule))
 
