@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm import bpe, jaccard, line_dedup, mixing, ngram_lm, quality, token_store
+from herald.llm import bpe, chat, fingerprints, jaccard, line_dedup, mixing, ngram_lm, quality, token_store
 from herald.llm.common import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,30 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.render_maximal(table(spark, sf_dir, "conversations"))
+    return rows.select("conv_id", "n_turns", "position", "start", "rendered")
+
+
+ORACLES["op4_chat"] = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role) AS position
+           FROM conversations WHERE conv_id IS NOT NULL),
+r AS (SELECT *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered FROM t),
+p AS (SELECT *, sha256(string_agg(md5(role || chr(0) || text), ',') OVER (
+                PARTITION BY conv_id ORDER BY position ROWS UNBOUNDED PRECEDING)) AS h,
+             count(*) OVER (PARTITION BY conv_id) AS n_turns,
+             sum(length(rendered)) OVER (PARTITION BY conv_id ORDER BY position
+                                         ROWS UNBOUNDED PRECEDING) - length(rendered) AS start FROM r),
+w AS (SELECT conv_id, n_turns, h FROM p WHERE position = n_turns),
+kept AS (SELECT min(conv_id) AS conv_id FROM w GROUP BY n_turns, h
+         HAVING NOT EXISTS (SELECT 1 FROM p WHERE p.position < p.n_turns
+                            AND p.position = w.n_turns AND p.h = w.h))
+SELECT p.conv_id, n_turns, position, start::BIGINT AS start, rendered FROM p JOIN kept USING (conv_id)
+"""
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -155,3 +179,8 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
 @query
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
