@@ -1,32 +1,54 @@
 """From raw documents to token ids: rules, line dedup, near duplicates, mixing, BPE.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each stage's
-rows to the shared folder and reads them back as the next one's ``docs``.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each stage's rows
+to the shared folder and reads them back as the next one's ``docs``. All stages but the last
+return the columns of ``documents``. What each does with NULL or empty texts, repeated rows,
+empty tables and extra columns is said in its operator.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from herald.llm import bpe, quality
+from herald.llm import bpe, jaccard, line_dedup, mixing, quality
 from herald.scale import settle
 
+POLICY = "v2"
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass every quality rule."""
-    return quality.kept_documents(docs)
+    """Documents that pass every rule of the policy."""
+    return quality.kept_documents(docs, POLICY)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that an earlier document holds."""
+    return line_dedup.without_repeated_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each class of near duplicates."""
+    return jaccard.without_near_duplicates(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources: each document as often as it is taken, which may be never."""
+    return mixing.mix(docs)
 
 
-def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the text that they decode to."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.decode(bpe.encode(docs, path), path)
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, round_trip): ids of every row's text, and whether they decode to
+    it. A document taken twice has two rows."""
+    return bpe.tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("quality rules", quality_rules), ("BPE encoding and decoding", bpe_tokens)]
+STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup_stage),
+          ("n-gram Jaccard join", near_duplicates), ("mixing to target weights", mixing_stage),
+          ("BPE encoding and decoding", bpe_stage)]
 
-#: Mixing draws are not plain SQL; tests compare the stages with brute force.
+#: The near-duplicate and tokenizer stages are no SQL; tests compare each stage with brute force.
 ORACLE_SQL = None
 
 

@@ -213,3 +213,21 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                        ids_digest(F.col("ids")).alias("ids_sha256"),
                        F.sha2(F.col("text"), 256).alias("decoded_sha256"))
+
+
+def tokens(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, round_trip) of every row: its ids, and whether decoding them gives
+    the text again. Encoded and decoded in one pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, table, encoder = _tools(path)
+        for batch in pieces(batches):
+            raw = utf8(batch)
+            ids = encoder.encode([fragments(t, table) for t in raw])
+            same = [b"".join(map(vocabulary.tokens.__getitem__, i.tolist())) == t
+                    for i, t in zip(ids, raw)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(list(map(len, ids)), pa.int64()), list_array(ids),
+                 pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids", "round_trip"])
+
+    return texts(docs).mapInArrow(
+        run, "doc_id bigint, n_tokens bigint, ids array<int>, round_trip boolean")

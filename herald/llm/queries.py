@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm import bpe, chat, fingerprints, jaccard, line_dedup, mixing, ngram_lm, quality, token_store
+from herald.llm import bpe, chat, fingerprints, jaccard, line_dedup, mixing, ngram_lm, pii, quality, token_store
 from herald.llm.common import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,11 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
