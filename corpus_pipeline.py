@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from herald.llm import bpe, jaccard, line_dedup, mixing, quality
+from herald.llm.common import ship
 from herald.scale import settle
 
 POLICY = "v2"
@@ -53,6 +53,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())

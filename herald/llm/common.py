@@ -28,6 +28,19 @@ SPACES = " \t\n\x0b\x0c\r"
 PIECE_BYTES = 4 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package where neither the path nor the working folder
+    leads to it: as a zip file that Spark hands out."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    context = spark.sparkContext
+    if root in map(os.path.abspath, filter(None, paths)) or getattr(context, "_herald_shipped", False):
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="herald-"), "herald")
+    context.addPyFile(shutil.make_archive(base, "zip", root, "herald"))
+    context._herald_shipped = True
+
+
 # --- texts -----------------------------------------------------------------------------
 
 def texts(docs: DataFrame) -> DataFrame:

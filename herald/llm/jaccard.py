@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from herald.llm import common
@@ -117,7 +117,7 @@ def shared_ngrams(rows: DataFrame, width: int) -> SortedTable:
 
 # --- 2: profiles -----------------------------------------------------------------------
 
-PROFILE = ("doc_id bigint, print binary, n_shingles bigint, prefix array<bigint>, "
+PROFILE = ("doc_id bigint, tie bigint, print binary, n_shingles bigint, prefix array<bigint>, "
            "histogram binary, grams binary")
 _PROFILE = [c.split()[0] for c in PROFILE.split(", ")]
 
@@ -144,7 +144,8 @@ def profiles(rows: DataFrame, shared: SortedTable, width: int, percent: int) ->
             docs = np.empty(len(flat), np.uint8)
             docs[order] = shared.find(flat[order] >> np.uint64(16) << np.uint64(16), "docs", 1)
             out = []
-            for i, (doc, grams) in enumerate(zip(batch.column("doc_id").to_pylist(), found)):
+            ids = zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist())
+            for i, ((doc, tie), grams) in enumerate(zip(ids, found)):
                 df, n, prefix = docs[ends[i]:ends[i + 1]], len(grams), []
                 if n:
                     length = prefix_length(n, percent)
@@ -154,12 +155,13 @@ def profiles(rows: DataFrame, shared: SortedTable, width: int, percent: int) ->
                         rest = rest[np.argsort(df[rest], kind="stable")][:length - unique]
                         prefix = grams[rest].view(np.int64).tolist()
                 # the set's hash; the empty set needs none, as it meets no other
-                out.append((doc, xxhash.xxh3_128_digest(grams.tobytes()) if n else None, n, prefix,
+                out.append((doc, tie, xxhash.xxh3_128_digest(grams.tobytes()) if n else None, n, prefix,
                             histogram(grams).astype("<u2").tobytes() if prefix else None,
                             pack(grams) if prefix else None))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out), (
-                    pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()))],
+                    pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary(),
+                    pa.binary()))],
                 _PROFILE)
 
     return settle(rows.mapInArrow(run, PROFILE), "ngram-profiles")
@@ -395,31 +397,42 @@ def keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("place", F.to_json(F.struct("place")))
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
-    rows = texts(docs)
+def classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, tie, n_shingles, component_id) for every row of ``docs``; ``tie`` is a hash of
+    the text, which tells rows with the same id apart."""
+    rows = texts(docs).withColumn("tie", F.xxhash64("text"))
     profile = profiles(rows, shared_ngrams(rows, width), width, percent)
     edges = candidate_edges(profile, percent)
-    classes = exact_classes(profile, components(edges), percent)
+    linked = exact_classes(profile, components(edges), percent)
     first = profile.groupBy("print").agg(F.min("doc_id").alias("first"))
-    first = first.join(classes.select(F.col("node").alias("print"), "label"), "print", "left")
+    first = first.join(linked.select(F.col("node").alias("print"), "label"), "print", "left")
     first = settle(first.withColumn("label", F.coalesce("label", "print")), "ngram-classes")
     smallest = first.groupBy("label").agg(F.min("first").alias("component_id"))
     of = first.join(smallest, "label").select("print", "component_id")
-    rows = profile.select("doc_id", "print", "n_shingles")
+    rows = profile.select("doc_id", "tie", "print", "n_shingles")
     met = keyed_join(rows.filter(F.col("print").isNotNull()), of, ["print"], "inner")
-    return met.select("doc_id", "n_shingles", "component_id").unionByName(
-        rows.filter(F.col("print").isNull())
-        .select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return met.drop("print").unionByName(
+        rows.filter(F.col("print").isNull()).drop("print").withColumn("component_id", F.col("doc_id")))
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    return classes(docs, width, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def without_near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One document of each class, the one with the smallest id, with all its columns. Rows that
-    share an id all stay if that id is chosen and differ in text; exact repeats of a row's id
-    are the same document. Documents without words all stay."""
-    found = near_duplicates(docs, width, percent)
-    kept = settle(found.filter((F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull())
-                  .select("doc_id").distinct(), "ngram-kept")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("id"))
-    ids = kept.select(F.col("doc_id").alias("kept_id"))
-    return rows.join(ids, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
+    """One document of each class, the one with the smallest id, with all its columns. Repeated
+    rows (same id and text) are one document; different texts under the class's smallest id all
+    stay. Documents without words all stay, repeated or not."""
+    kept = settle(classes(docs, width, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                  .select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"),
+                          "tie").distinct(), "ngram-kept")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    doc = F.col("doc_id").cast("bigint")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(doc, F.lit(0)).alias("id"),
+                       doc.isNull().alias("none"), F.xxhash64(text).alias("tie"),
+                       text.rlike(r"[^\x20\x09-\x0D]").alias("words"))
+    key = ["id", "none", "tie"]
+    rows = rows.join(kept, key, "left_semi")
+    copy = F.row_number().over(Window.partitionBy(*key).orderBy("words"))
+    return rows.withColumn("copy", copy).filter((F.col("copy") == 1) | ~F.col("words")).select("row.*")
