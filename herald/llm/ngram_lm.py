@@ -160,7 +160,7 @@ class Words:
 def count_words(rows: DataFrame) -> tuple[Words, int]:
     """The words of the training texts, and the number of tokens."""
     spark = rows.sparkSession
-    n, folder = common.shards(spark), common.new_folder(spark, "lm-words")
+    n, folder = common.shards(spark, 1), common.new_folder(spark, "lm-words")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
@@ -187,7 +187,7 @@ def count_words(rows: DataFrame) -> tuple[Words, int]:
                 [pa.array([shard], pa.int32()), pa.array([len(keys)], pa.int64()),
                  pa.array([int(counts.sum())], pa.int64())], ["shard", "words", "tokens"])
 
-    built = by_key(rows.mapInArrow(send, SENT), max(1, n // 4), "shard").mapInArrow(
+    built = by_key(rows.mapInArrow(send, SENT), n, "shard").mapInArrow(
         merge, "shard int, words bigint, tokens bigint").collect()  # a row per shard
     sizes = [0] * n
     for row in built:
@@ -257,13 +257,13 @@ def count_of(words: Words, tokens_as_start: int, numbers: np.ndarray, name="coun
     return got[back]
 
 
-STATS = "place int, kind int, keys binary, counts binary"
+STATS = "place int, kind array<int>, keys array<binary>, counts array<binary>"
 
 
 def count_pairs(rows: DataFrame, words: Words, tokens: int, docs: int) -> tuple[Pairs, DataFrame]:
     """The pairs, and per word range what pairs say about words (to be added up)."""
     spark = rows.sparkSession
-    n, folder = common.shards(spark), common.new_folder(spark, "lm-pairs")
+    n, folder = common.shards(spark, 1), common.new_folder(spark, "lm-pairs")
     pairs = Pairs(folder, n, words.size, tokens)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,13 +303,17 @@ def count_pairs(rows: DataFrame, words: Words, tokens: int, docs: int) -> tuple[
             for kind, (numbers, total) in sides:
                 place = np.searchsorted(words.starts, numbers.astype(np.int64), "right") - 1
                 out += [(kind, s, numbers[at], total[at]) for s, at in cut(place)]
+            by_place: dict[int, list] = {}
+            for kind, place, numbers, total in out:  # one row per word range, or one for the shard
+                by_place.setdefault(-1 - place if kind < 0 else place, []).append(
+                    (kind, pack(numbers), pack_counts(total)))
+            columns = [[[o[i] for o in own] for own in by_place.values()] for i in range(3)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([o[1] for o in out], pa.int32()), pa.array([o[0] for o in out], pa.int32()),
-                 pa.array([pack(o[2]) for o in out], pa.binary()),
-                 pa.array([pack_counts(o[3]) for o in out], pa.binary())],
-                ["place", "kind", "keys", "counts"])
+                [pa.array(by_place, pa.int32()), pa.array(columns[0], pa.list_(pa.int32())),
+                 pa.array(columns[1], pa.list_(pa.binary())),
+                 pa.array(columns[2], pa.list_(pa.binary()))], ["place", "kind", "keys", "counts"])
 
-    built = by_key(rows.mapInArrow(send, SENT), max(1, n // 4), "shard").mapInArrow(merge, STATS)
+    built = by_key(rows.mapInArrow(send, SENT), n, "shard").mapInArrow(merge, STATS)
     return pairs, built
 
 
@@ -380,27 +384,25 @@ def train(docs: DataFrame) -> Model:
     number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     n_docs = rows.filter(F.pmod(number, F.lit(FOLDS)) != HELD_OUT).count()
     pairs, stats = count_pairs(rows, words, tokens, n_docs)
-    spark = docs.sparkSession
-    built = []
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, "at"):
-            place, kinds = group.column("place")[0].as_py(), group.column("kind").to_numpy()
-            if kinds[0] == -1:  # counts of counts, and the shard's presence
-                _, counts = received(group)
-                yield _report(place, 0, counts, True)
+        for group in runs(batches, "place"):
+            place = group.column("place")[0].as_py()
+            entries: dict[int, list] = {}
+            for kinds, keys, counts in zip(*(group.column(c).to_pylist() for c in ("kind", "keys", "counts"))):
+                for kind, k, c in zip(kinds, keys, counts):
+                    entries.setdefault(kind, []).append((unpack(k), unpack_counts(c)))
+            if place < 0:  # counts of counts, and the shard's presence
+                yield _report(-1 - place, 0, entries[-1][0][1], True)
                 continue
-            base, size = int(words.starts[place]), int(words.starts[place + 1] - words.starts[place]) \
-                if place < words.n else 1
+            inside = place < words.n
+            base, size = (int(words.starts[place]), words.sizes[place]) if inside else (words.size, 1)
             columns = {}
             for kind, name in ((0, "before"), (1, "after1"), (2, "after2"), (3, "after3")):
-                dense = np.zeros(size, np.uint64)
-                some = group.filter(pa.array(kinds == kind))
-                if some.num_rows:
-                    numbers, total = received(some)
-                    dense[numbers.astype(np.int64) - base] = total
-                columns[name] = dense
-            if place >= words.n:  # the start is no word
+                columns[name] = np.zeros(size, np.uint64)
+                for numbers, total in entries.get(kind, ()):  # distinct numbers each
+                    columns[name][numbers.astype(np.int64) - base] += total
+            if not inside:  # the start is no word
                 yield _report(place, 1, [0, *(int(columns[f"after{k}"][0]) for k in (1, 2, 3))], False)
                 continue
             write_shard(words.folder, place, **{k: v.astype("<u8") for k, v in columns.items()})
@@ -408,11 +410,8 @@ def train(docs: DataFrame) -> Model:
             yield _report(place, 2, [int((before == k).sum()) for k in range(1, 5)]
                           + [int((before > 2).sum()), int(before.sum())], False)
 
-    at = F.when(F.col("kind") < 0, -F.col("place") - 1).otherwise(F.col("place"))
-    parts = max(1, words.n // 4)
-    for row in by_key(stats.withColumn("at", at), parts, "at").mapInArrow(
-            add, "place int, kind int, counts array<bigint>, pairs boolean").collect():
-        built.append(row)
+    built = by_key(stats, words.n, "place").mapInArrow(
+        add, "place int, kind int, counts array<bigint>, pairs boolean").collect()  # a row per shard
     _zeros(words, {r.place for r in built if r.kind == 2})
     pairs.present = frozenset(r.place for r in built if r.pairs)
     total = lambda kind, n: [sum(r.counts[i] for r in built if r.kind == kind) for i in range(n)]
