@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from herald.functions import predicates as p
 from herald.functions.rates import pct
-from herald.scale import BROADCAST_BYTES, BROADCAST_ROWS, keyed_join, settle
+from herald.scale import fits_broadcast, keyed_join, settle
 
 # The tier labels.
 EXACT, FUZZY, STATE, UNMATCHED = "exact_match", "fuzzy_like", "state_fallback", "unmatched"
@@ -52,11 +52,10 @@ def tag_locations(audience: DataFrame, lookup: DataFrame, multi: str = "all",
 
 def _names_if_few(areas: DataFrame, most: int) -> list[str] | None:
     """The region names, if there are at most ``most`` and the lookup fits a broadcast."""
-    rows = areas.take(BROADCAST_ROWS + 1)
-    names = {r.region for r in rows}
-    size = sum(len(str(v)) for r in rows for v in r)
-    fits = len(rows) <= BROADCAST_ROWS and size <= BROADCAST_BYTES
-    return sorted(names) if fits and len(names) <= most else None
+    if not fits_broadcast(areas):
+        return None
+    names = [r.region for r in areas.select("region").distinct().limit(most + 1).collect()]
+    return sorted(names) if len(names) <= most else None
 
 
 def _tag_by_row(contacts: DataFrame, areas: DataFrame, regions: list[str],
