@@ -123,7 +123,7 @@ FROM {events}
 SHOPS = """
 SELECT
   concat('Greater ', n_name, ' Area') AS shop_location,
-  concat(CAST(100 + n_nationkey AS VARCHAR(6)), ' Main Street') AS address,
+  concat(CAST(100 + n_nationkey AS VARCHAR(6)), ' Main & Side Street') AS address,
   concat('(555) 010-', lpad(CAST(n_nationkey AS VARCHAR(4)), 4, '0')) AS phone,
   'Mon - Sat 10:00 AM - 6:00 PM' AS hours,
   lower(n_name) AS tag
@@ -161,6 +161,18 @@ FROM {supplier}
 JOIN {nation} ON s_nationkey = n_nationkey
 """
 
+# An audience as it may come from elsewhere: some ids repeated, some rows without one.
+DIRTY_AUDIENCE = """
+SELECT c_name AS member_id, concat('a', CAST(c_custkey AS VARCHAR(12)), '@example.com') AS email,
+       'First' AS first_name, c_mktsegment AS last_name,
+       CAST('2024-01-01' AS TIMESTAMP) AS ingested_at FROM {customer}
+UNION ALL
+SELECT CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE NULL END AS member_id,
+       concat('b', CAST(c_custkey AS VARCHAR(12)), '@example.com') AS email,
+       'Second' AS first_name, c_mktsegment AS last_name,
+       CAST('2024-01-05' AS TIMESTAMP) AS ingested_at FROM {customer} WHERE c_custkey % 5 = 0
+"""
+
 # Members who asked for the segment's language, stated by the caller.
 SEGMENT_IDS = """
 SELECT DISTINCT c_name AS member_id
@@ -176,6 +188,7 @@ VIEWS = {
     "email_events": (EMAIL_EVENTS, schemas.EMAIL_EVENTS),
     "shops": (SHOPS, schemas.SHOPS),
     "contact_batch": (CONTACT_BATCH, CONTACT_CSV),
+    "dirty_audience": (DIRTY_AUDIENCE, schemas.AUDIENCE),
     "segment_ids": (SEGMENT_IDS, schemas.SEGMENT_IDS),
 }
 

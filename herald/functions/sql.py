@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from herald.functions import predicates as p
-from herald.operators.experiments import ASSIGNED, EXPORTED, ab_stratified, export_ready
-from herald.scale import settle
+from herald.operators.experiments import ASSIGNED, EXPORTED
 
 
 def register_last_day(spark: SparkSession) -> None:
@@ -14,23 +14,26 @@ def register_last_day(spark: SparkSession) -> None:
               "RETURNS DATE RETURN last_day(input_date)")
 
 
-def _table_function(spark: SparkSession, name: str, rows: DataFrame, columns: list[str]) -> None:
-    view = f"{name}_rows"
-    rows.createOrReplaceTempView(view)
-    typed = ", ".join(f"{c} STRING" for c in columns)
-    picked = ", ".join(f"t.{c}" for c in columns)
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(region_name STRING) "
-              f"RETURNS TABLE({typed}) "
-              f"RETURN SELECT {picked} FROM {view} AS t WHERE t.location_tag = region_name")
-
+def _table_function(spark: SparkSession, name: str, source: str, test: str, columns: list[str]) -> None:
+    typed = ", ".join(f"{c} STRING" for c in [*columns, "ab_group"])
+    picked = ", ".join(f"r.{c}" for c in columns)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(region_name STRING) RETURNS TABLE({typed}) "
+              f"RETURN SELECT {picked}, CASE WHEN r.row_num % 2 = 0 THEN 'A' ELSE 'B' END FROM ("
+              f"SELECT *, row_number() OVER (PARTITION BY location_tag ORDER BY member_id) AS row_num "
+              f"FROM {source} WHERE location_tag = region_name{test}) AS r")
 
-def register_region_functions(spark: SparkSession, audience: DataFrame) -> None:
-    """assign_ab_groups(region) and export_region_audience(region).
 
-    Numbering restarts in every location, so all locations are labelled once, in parallel,
-    and a call is a filter on the written result, which is ordered by location.
+def register_region_functions(spark: SparkSession, audience: DataFrame | str, prefix: str = "") -> None:
+    """assign_ab_groups(region) and export_region_audience(region) over a table, by its name, or
+    over a DataFrame. A call reads the table as it is then, and only its region, which it filters
+    before numbering. That is one task per call; ``experiments.ab_region`` splits a huge region.
+    ``prefix`` tells the functions of several audiences in one session apart.
     """
-    assigned = settle(ab_stratified(audience), "assigned")
-    _table_function(spark, "assign_ab_groups", assigned, [*ASSIGNED, "ab_group"])
-    exported = settle(export_ready(audience.filter(p.qualified())), "exported")
-    _table_function(spark, "export_region_audience", exported, [*EXPORTED, "ab_group"])
+    if isinstance(audience, str):
+        source = "`" + audience.replace("`", "``") + "`"
+    else:
+        source = f"audience_{uuid.uuid4().hex}"
+        audience.createOrReplaceTempView(source)
+    _table_function(spark, f"{prefix}assign_ab_groups", source, "", ASSIGNED)
+    ready = " AND in_segment = 1 AND email IS NOT NULL AND first_name IS NOT NULL"
+    _table_function(spark, f"{prefix}export_region_audience", source, ready, EXPORTED)

@@ -61,6 +61,15 @@ def ab_hash_split(audience: DataFrame, salt: str = "") -> DataFrame:
             .withColumn("ab_group", F.when(even, "A").otherwise("B")))
 
 
+def fill_groups(audience: DataFrame, salt: str = "") -> DataFrame:
+    """The audience with an A/B group for every contact of a location that has none yet. A group
+    once given stays; new ones come from the salted hash of the id."""
+    digest = F.md5(F.concat(F.lit(salt), F.col("member_id")))
+    new = F.when(F.substring(digest, 32, 1).isin(*"02468ace"), "A").otherwise("B")
+    group = F.coalesce("ab_group", F.when(p.tagged(), new))
+    return audience.select(*[group.alias(c) if c == "ab_group" else c for c in audience.columns])
+
+
 def region_export(audience: DataFrame, region: str) -> DataFrame:
     """Contacts of a region ready to send, numbered after filtering."""
     return export_ready(audience.filter(p.exportable(region)))

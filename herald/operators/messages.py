@@ -46,11 +46,12 @@ def _card_html(card: Column, index: Column) -> Column:
 
 
 def _parts(cards: Column, shop: Column) -> list[Column]:
-    """Everything in a message that does not depend on who reads it."""
-    shop = escape_html(shop)
+    """Everything in a message that does not depend on who reads it. The subject is plain text,
+    the rest is HTML and escaped once."""
+    subject, shop = fill(SUBJECT, shop=shop), escape_html(shop)
     titles = F.array_join(F.transform(cards, _title), ", ")
     return [
-        fill(SUBJECT, shop=shop).alias("subject"),
+        subject.alias("subject"),
         fill(OPENING, shop=shop, titles=titles).alias("opening"),
         F.concat(F.array_join(F.transform(cards, _card_html), ""),
                  fill(CLOSING, shop=shop, phone=escape_html(F.col("phone")),
@@ -61,14 +62,16 @@ def _parts(cards: Column, shop: Column) -> list[Column]:
 
 def render_messages(audience: DataFrame, inventory: DataFrame, shops: DataFrame,
                     k: int = 3) -> DataFrame:
-    """(member_id, subject, html), one row per contact.
+    """(member_id, subject, html), one row per contact with a location; those without get none.
 
     All but the greeting is the same for a whole location, so that text is built once per
     location and a contact's message is one lookup and one concatenation.
     """
     lists, pool = pick_lists(inventory, k)
     tags = audience.select("location_tag").distinct()
-    info = shops.select(F.col("shop_location").alias("location_tag"), "address", "phone", "hours")
+    info = (shops.groupBy(F.col("shop_location").alias("location_tag"))  # one record per shop
+            .agg(F.min(F.struct("address", "phone", "hours")).alias("_shop"))
+            .select("location_tag", "_shop.*"))
     parts = (tags.join(lists, "location_tag", "left").join(info, "location_tag", "left")
              .withColumn("cards", F.coalesce("cards", pool))
              .select("location_tag", *_parts(F.col("cards"), F.col("location_tag"))))
@@ -92,10 +95,17 @@ def delivery_payload(audience: DataFrame, tag_prefix: str = TAG_PREFIX,
 
 def journey_stage(audience: DataFrame, sync: DataFrame, as_of: dt.date) -> DataFrame:
     """Where each contact is: not synced yet, in the welcome days, or on the weekly mail."""
-    synced = sync.groupBy("member_id").agg(F.min("synced_at").alias("synced_at"))
+    synced = sync.groupBy("member_id").agg(F.min("synced_at").alias("synced_at"),
+                                           F.lit(True).alias("_synced"))
     days = F.date_diff(F.lit(as_of), F.col("synced_at").cast("date"))
-    stage = (F.when(F.col("synced_at").isNull(), "pending_onboarding")
+    stage = (F.when(F.col("_synced").isNull(), "pending_onboarding")
              .when(days >= WEEKLY_FROM_DAY, "weekly").otherwise("onboarding"))
     return (audience.select("member_id").join(synced, "member_id", "left")
             .select("member_id", days.cast("bigint").alias("days_in_flow"),
                     stage.alias("stage")))
+
+
+def weekly_recipients(audience: DataFrame, sync: DataFrame, as_of: dt.date) -> DataFrame:
+    """The contacts whose welcome days are over: those who get the weekly mail."""
+    weekly = journey_stage(audience, sync, as_of).filter(F.col("stage") == "weekly")
+    return audience.join(weekly.select("member_id"), "member_id", "left_semi")

@@ -21,13 +21,14 @@ class Tables:
     events: DataFrame
 
     def at_location(self, location: str) -> Tables:
-        """Only the contacts of one location, what was sent to them, and its stock."""
+        """Only the contacts of one location, what was sent to them, and its stock. Events and
+        syncs, which most panels read, are filtered and written once."""
         people = self.audience.filter(F.col("location_tag") == location)
         ids = settle(people.select("member_id"), "location-members")
         return Tables(people,
                       self.inventory.filter(F.col("shop_location") == location),
-                      keyed_join(self.sync, ids, ["member_id"], "left_semi"),
-                      keyed_join(self.events, ids, ["member_id"], "left_semi"))
+                      settle(keyed_join(self.sync, ids, ["member_id"], "left_semi"), "location-syncs"),
+                      settle(keyed_join(self.events, ids, ["member_id"], "left_semi"), "location-events"))
 
     def in_window(self, as_of: dt.datetime, days: int) -> Tables:
         """Contacts, syncs and events of the trailing window; stock is a present state."""

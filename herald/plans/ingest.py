@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,9 @@ from herald.sources.tables import latest_per_key, segment_flag, upsert
 def prepare_contacts(raw: DataFrame, lookup: DataFrame, segment_ids: DataFrame | None = None,
                      now: dt.datetime | None = None) -> DataFrame:
     """Readable contact rows to audience rows: defaults, one row per member, cleaned last
-    name, segment flag, one location tag each."""
+    name, segment flag, one location tag each. Rows without an id are left out, and the A/B
+    group never comes from a contact list."""
+    raw = raw.filter(F.col("member_id").isNotNull()).drop("ab_group")
     rows = schemas.apply_defaults(schemas.conform(raw, schemas.AUDIENCE), "audience", now)
     rows = latest_per_key(rows, "member_id", ["ingested_at"])
     if segment_ids is not None:
@@ -33,10 +36,26 @@ def prepare_contacts(raw: DataFrame, lookup: DataFrame, segment_ids: DataFrame |
     return schemas.conform(tagged, schemas.AUDIENCE)
 
 
+def brought_columns(given: Sequence[str], with_segment: bool) -> list[str]:
+    """The audience columns that a list with the ``given`` columns says something about."""
+    given = set(given) - {"ab_group"}
+    derived = {"member_id", "ingested_at"}
+    if with_segment:
+        derived.add("in_segment")
+    if given & {"first_name", "last_name"}:
+        derived.add("full_name")
+    if "location_raw" in given:
+        derived |= {"location_tag", "std_location"}
+    return [c for c in schemas.AUDIENCE.names if c in given - {"location_tag"} or c in derived]
+
+
 def ingest_audience(raw: DataFrame, lookup: DataFrame, base: DataFrame | None = None,
                     segment_ids: DataFrame | None = None,
                     now: dt.datetime | None = None) -> DataFrame:
-    """The audience after taking in ``raw``. One plan; nothing runs until it is written,
-    but for the size checks of the lookup and the batch."""
+    """The audience after taking in ``raw``. A known member keeps what the list does not
+    bring: columns it lacks, and always the A/B group. Defaults are for new members."""
     prepared = prepare_contacts(raw, lookup, segment_ids, now)
-    return prepared if base is None else upsert(base, prepared)
+    if base is None:
+        return prepared
+    columns = brought_columns(raw.columns, segment_ids is not None)
+    return upsert(base, prepared.select(columns), defaults={"in_segment": F.lit(0)})

@@ -5,20 +5,31 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from herald import schemas
 from herald.functions import predicates as p
-from herald.operators.messages import delivery_payload, render_messages
+from herald.operators.experiments import fill_groups
+from herald.operators.messages import delivery_payload, render_messages, weekly_recipients
 from herald.operators.quality import run_stats
 from herald.plans.ingest import ingest_audience
+from herald.scale import settled_for
 from herald.sources.contacts import checked_contacts, split_contacts
 from herald.sources.listings import normalize_shops, parse_fetched
 from herald.sources.sinks import write_messages, write_payloads
-from herald.sources.tables import current, publish, replace_inventory
+from herald.sources.tables import (
+    current,
+    fill_from_previous,
+    latest_per_key,
+    publish,
+    replace_inventory,
+)
 
 
+# Versions of the audience and the stock that a run leaves behind.
+KEPT_VERSIONS = 4
 AUDIENCE_LAYOUT = ["location_tag", "in_segment", "member_id"]
 
 
@@ -33,49 +44,91 @@ class Store:
 
 
 def take_in_stock(spark: SparkSession, store: Store, fetched: DataFrame | None,
-                  shops: DataFrame, run_id: str, now: dt.datetime) -> DataFrame:
-    """Replace the stock from what was fetched, and keep cars of unknown shops aside. If
-    nothing was fetched, or no known car is in it, the previous stock stays."""
+                  shops: DataFrame, run_id: str, now: dt.datetime, dry_run: bool = False) -> DataFrame:
+    """The stock after a fetch, stored unless it is a dry run. Listings without an id and cars of
+    unknown shops are kept aside. A shop that the fetch has no car of keeps its previous cars, so a
+    partial or missing fetch empties no shop."""
+    stock = current(spark, store.at("inventory"))
     if fetched is not None:
-        known, rejects = normalize_shops(parse_fetched(fetched), shops)
-        rejects.write.mode("overwrite").parquet(store.at(f"rejects/stock/run={run_id}"))
+        cars, unreadable = parse_fetched(fetched)
+        known, unknown = normalize_shops(cars, shops)
+        if not dry_run:
+            unknown.write.mode("overwrite").parquet(store.at(f"rejects/stock/run={run_id}"))
+            unreadable.write.mode("overwrite").parquet(store.at(f"rejects/listings/run={run_id}"))
         known = schemas.apply_defaults(known, "inventory", now)
+        if stock is not None:
+            known = fill_from_previous(known, stock, "shop_location")
+        if dry_run:
+            return latest_per_key(known, "car_id", ["scraped_at"])
         if not known.isEmpty():
-            replace_inventory(known, store.at("inventory"))
-    stock = current(spark, store.at("inventory"))
+            replace_inventory(known, store.at("inventory"), KEPT_VERSIONS)
+            stock = current(spark, store.at("inventory"))
     if stock is None:
         raise FileNotFoundError("no stock from this run or an earlier one")
     return stock
 
 
+def contact_lines(spark: SparkSession, contacts_csv: str) -> DataFrame | None:
+    """The checked lines of a contact list; None if it is missing or empty."""
+    try:
+        lines = checked_contacts(spark, contacts_csv)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return None if lines.isEmpty() else lines
+
+
 def weekly_run(spark: SparkSession, store: Store, contacts_csv: str, lookup: DataFrame,
                shops: DataFrame, pages: DataFrame | None = None,
                segment_ids: DataFrame | None = None, now: dt.datetime | None = None,
-               k: int = 3, dry_run: bool = False) -> dict[str, DataFrame]:
+               k: int = 3, dry_run: bool = False, sync: DataFrame | None = None) -> dict[str, DataFrame]:
     """A failing step ends the run, so nothing after it is written; repeating the run with
-    the same ``now`` replaces what it wrote. ``dry_run`` leaves the messages and payloads
-    unwritten and returns them."""
+    the same ``now`` replaces what it wrote. Without a contact list the stored audience is used
+    as it is. Contacts get an A/B group once and keep it. With ``sync``, the delivery records, the
+    weekly mail goes to contacts past their welcome days; without, to all that qualify.
+
+    ``dry_run`` writes nothing to the store and returns what would be written; what it settled
+    on the way stays until ``clear_settled``. A real run removes that at its end."""
     now = now or dt.datetime.now()
+    args = (spark, store, contacts_csv, lookup, shops, pages, segment_ids, now, k, dry_run, sync)
+    if dry_run:
+        return _run(*args)
+    with settled_for(spark):
+        return _run(*args)
+
+
+def _run(spark, store, contacts_csv, lookup, shops, pages, segment_ids, now, k, dry_run, sync):
     run_id = now.strftime("%Y%m%dT%H%M%S")
-    lines = checked_contacts(spark, contacts_csv)
-    good, rejects = split_contacts(lines)
     known = current(spark, store.at("audience"))
-    audience = ingest_audience(good, lookup, known, segment_ids, now)
-    # The history load is laid out by location; a weekly merge leaves most rows where they are.
-    publish(audience, store.at("audience"), cluster_by=AUDIENCE_LAYOUT if known is None else ())
-    audience = current(spark, store.at("audience"))
-    rejects.write.mode("overwrite").parquet(store.at(f"rejects/contacts/run={run_id}"))
-    stock = take_in_stock(spark, store, pages, shops, run_id, now)
+    lines = contact_lines(spark, contacts_csv)
+    if lines is None and known is None:
+        raise FileNotFoundError(f"no contacts in {contacts_csv} and none from an earlier run")
+    steps, rejects = {}, None
+    if lines is None:
+        audience = known
+    else:
+        good, rejects = split_contacts(lines)
+        steps["contacts"] = (lines, F.col("reject_reason").isNull())
+        audience = fill_groups(ingest_audience(good, lookup, known, segment_ids, now))
+        if not dry_run:
+            # The history load is laid out by location; a weekly merge leaves most rows where they are.
+            publish(audience, store.at("audience"), cluster_by=AUDIENCE_LAYOUT if known is None else (),
+                    keep=KEPT_VERSIONS)
+            audience = current(spark, store.at("audience"))
+            rejects.write.mode("overwrite").parquet(store.at(f"rejects/contacts/run={run_id}"))
+    stock = take_in_stock(spark, store, pages, shops, run_id, now, dry_run)
     ready = audience.filter(p.qualified())
-    messages = render_messages(ready, stock, shops, k)
+    recipients = ready if sync is None else weekly_recipients(ready, sync, now.date())
+    messages = render_messages(recipients, stock, shops, k)
     payloads = delivery_payload(ready)
-    stats = run_stats(run_id, {
-        "contacts": (lines, F.col("reject_reason").isNull()),
-        "qualified": (audience, p.qualified()),
-    })
+    steps["qualified"] = (audience, p.qualified())
+    stats = run_stats(run_id, steps)
     if not dry_run:
         write_messages(messages, store.at(f"messages/run={run_id}"), mode="overwrite")
         write_payloads(payloads, store.at(f"payloads/run={run_id}"), mode="overwrite")
         stats.write.mode("overwrite").parquet(store.at(f"run_stats/run={run_id}"))
+        messages = spark.read.parquet(store.at(f"messages/run={run_id}"))
+        stats = spark.read.parquet(store.at(f"run_stats/run={run_id}"))
     return {"audience": audience, "inventory": stock, "rejects": rejects,
             "messages": messages, "payloads": payloads, "stats": stats}

@@ -20,6 +20,7 @@ from herald import fixtures as fx
 from herald import schemas
 from herald.functions import predicates as p
 from herald.functions.sql import register_last_day, register_region_functions
+from herald.functions.text import HTML_ESCAPES
 from herald.functions.times import moment
 from herald.operators import alerts, experiments, metrics, quality
 from herald.operators.locations import tag_locations, tier_stats
@@ -32,6 +33,7 @@ from herald.operators.messages import (
     delivery_payload,
     journey_stage,
     render_messages,
+    weekly_recipients,
 )
 from herald.operators.names import clean_last_name
 from herald.operators.picks import select_picks
@@ -173,7 +175,7 @@ def _(spark, sf_dir, audience):
 
 @_query("kpi_active", "delivery_sync", """
 SELECT count(*) AS active_in_flow FROM delivery_sync
-WHERE journey_status = 'onboarding_sent' OR journey_status = 'weekly_active'""")
+WHERE journey_status IN ('onboarding_sent', 'weekly_active')""")
 def _(spark, sf_dir, sync):
     return metrics.kpi_active(sync)
 
@@ -193,7 +195,7 @@ def _(spark, sf_dir, events):
 SELECT (SELECT count(*) FROM audience) AS t1_ingested,
        (SELECT count(*) FROM audience WHERE {_QUALIFIED}) AS qualified,
        (SELECT count(*) FROM delivery_sync
-        WHERE journey_status IN ('weekly_active', 'onboarding_sent')) AS active_in_flow,
+        WHERE journey_status IN ('onboarding_sent', 'weekly_active')) AS active_in_flow,
        {_OPEN_RATE.format('email_events')} AS onboarding_open_rate,
        {_CTR.format('email_events')} AS weekly_ctr""")
 def _(spark, sf_dir, audience, sync, events):
@@ -210,7 +212,7 @@ late AS (SELECT * FROM here WHERE ingested_at >= TIMESTAMP '2024-01-17'
 SELECT (SELECT count(*) FROM late) AS t1_ingested,
        (SELECT count(*) FROM late WHERE {_QUALIFIED}) AS qualified,
        (SELECT count(*) FROM delivery_sync
-        WHERE journey_status IN ('weekly_active', 'onboarding_sent')
+        WHERE journey_status IN ('onboarding_sent', 'weekly_active')
           AND member_id IN (SELECT member_id FROM here)
           AND synced_at >= TIMESTAMP '2024-01-17'
           AND synced_at < TIMESTAMP '2024-01-31') AS active_in_flow,
@@ -629,6 +631,61 @@ def _(spark, sf_dir, audience, batch):
     return tables.upsert(audience, schemas.conform(batch, schemas.AUDIENCE)).select(*_CONTACT_COLUMNS)
 
 
+_DIRTY = f"""
+, batch AS (SELECT member_id, email, first_name, last_name, ingested_at FROM contact_batch),
+stored AS (SELECT * FROM dirty_audience WHERE member_id IN (SELECT member_id FROM batch)
+           QUALIFY row_number() OVER (PARTITION BY member_id ORDER BY ingested_at DESC) = 1),
+result AS (
+  SELECT member_id, email, first_name, last_name, ingested_at FROM dirty_audience
+  WHERE member_id IS NULL OR member_id NOT IN (SELECT member_id FROM batch)
+  UNION ALL
+  SELECT b.member_id, CASE WHEN s.ingested_at > b.ingested_at THEN s.email ELSE b.email END,
+         CASE WHEN s.ingested_at > b.ingested_at THEN s.first_name ELSE b.first_name END,
+         CASE WHEN s.ingested_at > b.ingested_at THEN s.last_name ELSE b.last_name END,
+         CASE WHEN s.ingested_at > b.ingested_at THEN s.ingested_at ELSE b.ingested_at END
+  FROM batch AS b LEFT JOIN stored AS s USING (member_id))
+SELECT member_id, email, first_name, last_name, {_STAMP.format('ingested_at')} AS ingested_at FROM result
+"""
+
+
+def _upsert_dirty(spark, dirty, batch):
+    columns = ["member_id", "email", "first_name", "last_name", "ingested_at"]
+    return tables.upsert(dirty.select(columns), batch.select(columns))
+
+
+@_query("upsert_dirty_base", "dirty_audience contact_batch", _DIRTY)
+def _(spark, sf_dir, dirty, batch):
+    return _upsert_dirty(spark, dirty, batch)
+
+
+@_query("upsert_dirty_base_large", "dirty_audience contact_batch", _DIRTY)
+def _(spark, sf_dir, dirty, batch):
+    """The same with nothing broadcast."""
+    fits = tables.fits_broadcast
+    try:
+        tables.fits_broadcast = lambda df: False
+        return _upsert_dirty(spark, dirty, batch)
+    finally:
+        tables.fits_broadcast = fits
+
+
+@_query("ingest_keeps_columns", "audience contact_batch metro_areas", """
+SELECT a.member_id, CASE WHEN newer THEN b.email ELSE a.email END AS email,
+       a.in_segment::BIGINT AS in_segment, a.profile_url, 'B' AS ab_group
+FROM audience AS a LEFT JOIN (SELECT member_id, email FROM contact_batch) AS b USING (member_id)
+LEFT JOIN (SELECT b.member_id, b.ingested_at >= a.ingested_at AS newer
+           FROM contact_batch AS b JOIN audience AS a USING (member_id)) AS n USING (member_id)
+UNION ALL
+SELECT member_id, email, 0, NULL, NULL FROM contact_batch
+WHERE member_id NOT IN (SELECT member_id FROM audience)""")
+def _(spark, sf_dir, audience, batch, metro):
+    """A list without flag and profile, into an audience with A/B groups."""
+    raw = batch.select("member_id", "email", "first_name", "location_raw", "ingested_at",
+                       F.lit("A").alias("ab_group"))
+    merged = ingest_audience(raw, metro, base=audience.withColumn("ab_group", F.lit("B")))
+    return merged.select("member_id", "email", "in_segment", "profile_url", "ab_group")
+
+
 @_query("snapshot_upsert", "audience contact_batch", _MERGED + f"SELECT {_CONTACT} FROM newest")
 def _(spark, sf_dir, audience, batch):
     path = fresh_path(spark, "audience-store")
@@ -666,6 +723,19 @@ def _(spark, sf_dir, audience):
     return good.drop("profile_url").withColumn("last_name", F.trim("last_name"))
 
 
+@_query("contacts_csv_reordered", "audience", f"""
+SELECT member_id, email, first_name, location_raw, {_STAMP.format('ingested_at')} AS ingested_at
+FROM audience WHERE email IS NOT NULL AND first_name IS NOT NULL""")
+def _(spark, sf_dir, audience):
+    """Columns in another order, one that is not known, and two that are absent."""
+    path = fresh_path(spark, "contacts-csv")
+    (audience.select("location_raw", F.lit("x").alias("remark"), "email",
+                     F.date_format("ingested_at", TIME_FORMAT).alias("ingested_at"), "first_name", "member_id")
+     .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    good, _rejects = read_contacts_csv(spark, path)
+    return good.select("member_id", "email", "first_name", "location_raw", "ingested_at")
+
+
 @_query("contacts_csv_rejects", "audience", """
 SELECT CASE WHEN email IS NULL THEN 'missing email' ELSE 'missing first_name' END
          AS reject_reason, count(*) AS n_rows
@@ -739,10 +809,11 @@ def _(spark, sf_dir, inventory):
 @_query("read_with_fallback", "inventory", """
 SELECT make, count(*) AS n_cars, sum(price)::DOUBLE AS total_price FROM inventory GROUP BY 1""")
 def _(spark, sf_dir, inventory):
-    missing, empty, last = (fresh_path(spark, f"stock-{n}") for n in ("none", "empty", "last"))
+    missing, bare, empty, last = (fresh_path(spark, f"stock-{n}") for n in ("none", "bare", "empty", "last"))
+    tables.make_folder(spark, bare)
     inventory.limit(0).write.parquet(empty)
     inventory.write.parquet(last)
-    stock = tables.read_with_fallback(spark, [missing, empty, last])
+    stock = tables.read_with_fallback(spark, [missing, bare, empty, last])
     return stock.groupBy("make").agg(F.count(F.lit(1)).alias("n_cars"),
                                      F.sum("price").alias("total_price"))
 
@@ -754,12 +825,13 @@ _CAR = ("car_id, year::BIGINT AS year, make, model, trim, mileage::BIGINT AS mil
 
 
 def _listing_pages(inventory: DataFrame) -> DataFrame:
-    """Fetched pages of up to twenty cards, in the markup the parser knows."""
+    """Fetched pages of up to twenty cards, in the markup the parser knows. Every seventh car
+    has an ampersand in its name, written as an entity."""
     card = F.concat(
         F.lit('<article class="listing" data-shop="'), "shop_location", F.lit('"><a href="'),
         "product_url", F.lit('"><img alt="" src="'), "photo_url", F.lit('"></a><h2>'),
-        F.concat_ws(" ", "year", "make", "model"), F.lit('</h2><p class="trim">'), "trim",
-        F.lit("</p><p>$"), F.format_number("price", 2), F.lit("</p><p>"),
+        F.concat_ws(" ", "year", "make", "model"), F.when(_seventh(), " &amp; more").otherwise(""),
+        F.lit('</h2><p class="trim">'), "trim", F.lit("</p><p>$"), F.format_number("price", 2), F.lit("</p><p>"),
         F.format_number("mileage", 0), F.lit(" mi</p></article>"))
     number = F.substring("car_id", 2, 12).cast("bigint")
     return (inventory.select(F.floor(number / 20).alias("page_id"), card.alias("card"))
@@ -768,9 +840,45 @@ def _listing_pages(inventory: DataFrame) -> DataFrame:
                                         F.lit("</body></html>")).alias("html")))
 
 
-@_query("parse_listings", "inventory", f"SELECT {_CAR}, photo_url, product_url FROM inventory")
+def _seventh():
+    return F.substring("car_id", 2, 12).cast("bigint") % 7 == 0
+
+
+_LISTED = f"""
+SELECT * REPLACE (CASE WHEN substr(car_id, 2)::BIGINT % 7 = 0 THEN model || ' & more' ELSE model END AS model)
+FROM (SELECT {_CAR}, photo_url, product_url FROM inventory)"""
+
+
+@_query("parse_listings", "inventory", _LISTED)
 def _(spark, sf_dir, inventory):
-    return listings.parse_listings(_listing_pages(inventory)).drop("scraped_at")
+    cars, _rejects = listings.parse_listings(_listing_pages(inventory))
+    return cars.drop("scraped_at")
+
+
+@_query("parse_listings_rejects", "inventory", """
+SELECT 'missing car_id' AS reject_reason, count(*) AS n_rows,
+       sum(CASE WHEN make = 'Brand#1' THEN 1 ELSE 0 END)::BIGINT AS with_brand
+FROM inventory WHERE make IN ('Brand#1', 'Brand#2')""")
+def _(spark, sf_dir, inventory):
+    """Cards of two makes carry no id."""
+    bare = F.col("make").isin("Brand#1", "Brand#2")
+    link = F.when(bare, "https://example.com/contact.html").otherwise(F.col("product_url"))
+    _cars, rejects = listings.parse_listings(_listing_pages(inventory.withColumn("product_url", link)))
+    return rejects.groupBy("reject_reason").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("listing").contains("Brand#1 ").cast("bigint")).alias("with_brand"))
+
+
+@_query("stock_unique", "inventory", """
+SELECT shop_location, count(*) AS n_cars, count(DISTINCT car_id) AS n_ids FROM inventory GROUP BY 1""")
+def _(spark, sf_dir, inventory):
+    """Every page fetched twice: the stock still has one row per car."""
+    pages = _listing_pages(inventory)
+    cars, _rejects = listings.parse_listings(pages.unionByName(pages))
+    path = fresh_path(spark, "stock-store")
+    tables.replace_inventory(schemas.apply_defaults(cars, "inventory", AS_OF), path)
+    return tables.current(spark, path).groupBy("shop_location").agg(
+        F.count(F.lit(1)).alias("n_cars"), F.countDistinct("car_id").alias("n_ids"))
 
 
 @_query("parse_listing_records", "inventory", f"SELECT {_CAR} FROM inventory")
@@ -780,7 +888,7 @@ def _(spark, sf_dir, inventory):
         "trim", F.concat(F.lit("$"), F.format_number("price", 2)).alias("price"),
         F.concat(F.format_number("mileage", 0), F.lit(" mi")).alias("mileage"),
         F.col("shop_location").alias("shop"))
-    parsed = listings.parse_listing_records(inventory.select(F.to_json(record).alias("record")))
+    parsed, _rejects = listings.parse_listing_records(inventory.select(F.to_json(record).alias("record")))
     return parsed.drop("scraped_at", "photo_url", "product_url")
 
 
@@ -866,28 +974,36 @@ def _replaced(template: str, **slots: str) -> str:
     return sql
 
 
-_TITLE = "concat_ws(' ', c.year::VARCHAR, c.make, c.model)"
+def _escaped(value: str) -> str:
+    for raw, safe in HTML_ESCAPES:
+        value = f"replace({value}, '{raw}', '{safe}')"
+    return value
+
+
+_TITLE = _escaped("concat_ws(' ', c.year::VARCHAR, c.make, c.model)")
+_SHOP = _escaped("r.location_tag")
 _MESSAGE = _picks_sql(True) + f"""
 , body AS (
   SELECT c.member_id, string_agg({_TITLE}, ', ' ORDER BY position) AS titles,
          string_agg({_replaced(
-             CARD, number="lpad(position::VARCHAR, 2, '0')", title=_TITLE, trim="c.trim",
+             CARD, number="lpad(position::VARCHAR, 2, '0')", title=_TITLE, trim=_escaped("c.trim"),
              price="format('{:,}', round(c.price, 0)::BIGINT)",
-             mileage="format('{:,}', c.mileage::BIGINT)", photo="c.photo_url",
-             link="c.product_url")}, '' ORDER BY position) AS cards
+             mileage="format('{:,}', c.mileage::BIGINT)", photo=_escaped("c.photo_url"),
+             link=_escaped("c.product_url"))}, '' ORDER BY position) AS cards
   FROM chosen AS c GROUP BY 1)
 SELECT r.member_id, {_replaced(SUBJECT, shop='r.location_tag')} AS subject,
-       concat({_replaced(OPENING, shop='r.location_tag', titles='b.titles')},
-              {_replaced(GREETING, first_name='r.first_name')}, b.cards,
-              {_replaced(CLOSING, shop='r.location_tag', phone='s.phone', address='s.address',
-                         hours='s.hours')}) AS html
+       concat({_replaced(OPENING, shop=_SHOP, titles='b.titles')},
+              {_replaced(GREETING, first_name=_escaped('r.first_name'))}, b.cards,
+              {_replaced(CLOSING, shop=_SHOP, phone=_escaped('s.phone'), address=_escaped('s.address'),
+                         hours=_escaped('s.hours'))}) AS html
 FROM ready AS r JOIN body AS b USING (member_id) JOIN shops AS s ON shop_location = r.location_tag
 """
 
 
 @_query("messages", "audience inventory shops", _MESSAGE)
 def _(spark, sf_dir, audience, inventory, shops):
-    return render_messages(audience.filter(p.qualified()), inventory, shops, PICKS)
+    """Some shops have two records; a contact still has one message."""
+    return render_messages(audience.filter(p.qualified()), inventory, shops.unionByName(shops.limit(5)), PICKS)
 
 
 @_query("delivery_payload", "audience", f"""
@@ -928,6 +1044,25 @@ def _(spark, sf_dir, audience, sync):
     return journey_stage(audience, sync, dt.date(2024, 1, 20))
 
 
+@_query("weekly_recipients", "audience delivery_sync", f"""
+SELECT member_id, email FROM audience WHERE {_QUALIFIED} AND member_id IN (
+  SELECT member_id FROM delivery_sync
+  GROUP BY 1 HAVING date_diff('day', min(synced_at)::DATE, DATE '2024-01-20') >= 3)""")
+def _(spark, sf_dir, audience, sync):
+    ready = audience.filter(p.qualified())
+    return weekly_recipients(ready, sync, dt.date(2024, 1, 20)).select("member_id", "email")
+
+
+@_query("keep_ab_groups", "audience", """
+SELECT member_id, CASE WHEN location_tag IS NULL THEN NULL WHEN right(member_id, 1) = '1' THEN 'A'
+         WHEN right(md5(member_id), 1) IN ('0', '2', '4', '6', '8', 'a', 'c', 'e') THEN 'A' ELSE 'B'
+       END AS ab_group FROM audience""")
+def _(spark, sf_dir, audience):
+    """Some contacts have a group already and keep it."""
+    given = F.when(F.col("member_id").endswith("1") & F.col("location_tag").isNotNull(), "A")
+    return experiments.fill_groups(audience.withColumn("ab_group", given)).select("member_id", "ab_group")
+
+
 # --- elementary operators over whole tables --------------------------------------------
 
 @_query("scalar_text", "audience", r"""
@@ -1035,6 +1170,18 @@ def _(spark, sf_dir, events):
     return streams.sliding_rates(events, days=7)
 
 
+@_query("events_sliding_rates_30", "email_events",
+        _rates_sql(_SHIFTED.replace("range(7)", "range(30)"), "first_day", 30))
+def _(spark, sf_dir, events):
+    return streams.sliding_rates(events, days=30)
+
+
+@_query("events_sliding_rates_90", "email_events",
+        _rates_sql(_SHIFTED.replace("range(7)", "range(90)"), "first_day", 90))
+def _(spark, sf_dir, events):
+    return streams.sliding_rates(events, days=90)
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = fx.base(spark, sf_dir, "events").schema
     raw = streams.file_stream(spark, sf_dir, schema, pattern="events.parquet")
@@ -1066,8 +1213,9 @@ def _(spark, sf_dir, _events):
 def _(spark, sf_dir, audience, batch):
     inbox, store = fresh_path(spark, "inbox"), fresh_path(spark, "contact-store")
     batch = schemas.conform(batch, schemas.AUDIENCE)
-    for arrivals in (audience, batch):
-        arrivals.coalesce(1).write.mode("append").parquet(inbox)
-    stream = streams.file_stream(spark, inbox, schemas.AUDIENCE, files_per_batch=1)
-    merged = streams.ingest_contacts(stream, store, fresh_path(spark, "contact-state"))
+    state = fresh_path(spark, "contact-state")
+    for arrivals in (audience, batch):  # two deliveries, each taken in as it comes
+        arrivals.write.mode("append").parquet(inbox)
+        stream = streams.file_stream(spark, inbox, schemas.AUDIENCE)
+        merged = streams.ingest_contacts(stream, store, state)
     return merged.select(*_CONTACT_COLUMNS)

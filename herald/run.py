@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from herald import schemas
 from herald.plans.weekly import Store, weekly_run
 from herald.session import build_session
+from herald.sources.contacts import csv_by_header
 from herald.sources.lookups import metro_areas
 
 
@@ -20,7 +21,9 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--pages", help="fetched listings as Parquet: html or record column")
     parser.add_argument("--segment-ids", help="member ids of the segment as CSV with a header")
     parser.add_argument("--skip-scrape", action="store_true", help="keep the previous stock")
-    parser.add_argument("--dry-run", action="store_true", help="write no messages or payloads")
+    parser.add_argument("--dry-run", action="store_true", help="write nothing at all: audience, stock and messages stay as they are")
+    parser.add_argument("--sync", help="delivery records as Parquet: weekly mail goes to contacts "
+                        "past their welcome days")
     parser.add_argument("--picks", type=int, default=3)
     parser.add_argument("--shuffle-partitions", type=int, default=4096)
     parser.add_argument("--now", type=dt.datetime.fromisoformat, help="time of the run, for replays")
@@ -32,13 +35,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("herald-weekly", shuffle_partitions=args.shuffle_partitions)
 
     def table(path: str, schema):
-        return spark.read.schema(schema).option("header", True).csv(path)
+        required = [f.name for f in schema.fields if not f.nullable]
+        return schemas.conform(csv_by_header(spark, path, required), schema)
 
     pages = None if args.skip_scrape or not args.pages else spark.read.parquet(args.pages)
     ids = table(args.segment_ids, schemas.SEGMENT_IDS) if args.segment_ids else None
     result = weekly_run(spark, Store(args.store), args.csv, metro_areas(spark),
                         table(args.shops, schemas.SHOPS), pages, ids, args.now, args.picks,
-                        args.dry_run)
+                        args.dry_run, spark.read.parquet(args.sync) if args.sync else None)
     result["stats"].show(truncate=False)
 
 

@@ -35,8 +35,19 @@ def plain_number(text: Column) -> Column:
     return F.regexp_replace(text, r"[^0-9.]", "")
 
 
-def _typed(df: DataFrame) -> DataFrame:
-    """Listing texts to stock columns: title into year, make, model; numbers typed."""
+# The entities of a page's text, ampersand last.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+
+
+def unescape_html(text: Column) -> Column:
+    for safe, raw in ENTITIES:
+        text = F.replace(text, F.lit(safe), F.lit(raw))
+    return text
+
+
+def _typed(df: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
+    """(cars, rejects): listing texts to stock columns, title into year, make, model, numbers
+    typed; and the listings without a readable id, as ``listing`` text with a reason."""
     title = F.col("title")
     typed = df.withColumns({
         "year": _first(title, TITLE).try_cast("int"),
@@ -45,32 +56,36 @@ def _typed(df: DataFrame) -> DataFrame:
         "price": plain_number(F.col("price")).try_cast("decimal(10,2)"),
         "mileage": plain_number(F.col("mileage")).try_cast("int"),
     })
-    return conform(typed.filter(F.col("car_id").isNotNull()), INVENTORY)
+    rejects = df.filter(F.col("car_id").isNull()).select(
+        F.col(source).alias("listing"), F.lit("missing car_id").alias("reject_reason"))
+    return conform(typed.filter(F.col("car_id").isNotNull()), INVENTORY), rejects
 
 
-def parse_listings(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Stock rows from fetched pages; a page may hold any number of cards."""
+def parse_listings(pages: DataFrame, html: str = "html") -> tuple[DataFrame, DataFrame]:
+    """(cars, rejects) from fetched pages; a page may hold any number of cards. A car that is
+    listed twice is two rows here and one in the stock."""
     cards = F.split(F.col(html), CARD_START)
     rest = F.slice(cards, 2, F.greatest(F.size(cards) - 1, F.lit(0)))
     passthrough = [c for c in ("scraped_at",) if c in pages.columns]
     blocks = pages.select(F.explode(rest).alias("card"), *passthrough)
     return _typed(blocks.select(
-        *[_first(F.col("card"), rx).alias(name) for name, rx in CARD_FIELDS.items()],
-        *passthrough))
+        *[unescape_html(_first(F.col("card"), rx)).alias(name) for name, rx in CARD_FIELDS.items()],
+        "card", *passthrough), "card")
 
 
-def parse_listing_records(records: DataFrame, column: str = "record") -> DataFrame:
-    """Stock rows from one JSON record per row."""
+def parse_listing_records(records: DataFrame, column: str = "record") -> tuple[DataFrame, DataFrame]:
+    """(cars, rejects) from one JSON record per row."""
     passthrough = [c for c in ("scraped_at",) if c in records.columns]
-    fields = records.select(F.from_json(column, RECORD_SCHEMA).alias("r"), *passthrough)
+    fields = records.select(F.from_json(column, RECORD_SCHEMA).alias("r"),
+                            F.col(column).alias("_record"), *passthrough)
     return _typed(fields.select(
         F.col("r.id").alias("car_id"), "r.title", "r.trim", "r.price", "r.mileage",
         F.col("r.photo").alias("photo_url"), F.col("r.url").alias("product_url"),
-        F.col("r.shop").alias("shop_location"), *passthrough))
+        F.col("r.shop").alias("shop_location"), "_record", *passthrough), "_record")
 
 
-def parse_fetched(fetched: DataFrame) -> DataFrame:
-    """Stock rows from whichever was fetched: JSON in ``record`` or pages in ``html``."""
+def parse_fetched(fetched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cars, rejects) from whichever was fetched: JSON in ``record`` or pages in ``html``."""
     return (parse_listing_records(fetched) if "record" in fetched.columns
             else parse_listings(fetched))
 

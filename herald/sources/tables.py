@@ -6,10 +6,10 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from herald.scale import fits_broadcast, settle
+from herald.scale import fits_broadcast, remove, settle
 
 SINCE_COLUMNS = ["member_id", "first_name", "last_name", "email", "location_raw", "in_segment"]
 
@@ -73,27 +73,41 @@ def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
             .filter(F.col("_n") == 1).select(*columns))
 
 
-def upsert(base: DataFrame, batch: DataFrame, key: str = "member_id",
-           order: str = "ingested_at") -> DataFrame:
-    """``base`` with the batch merged in: one row per key, the newer one; a tie goes to the
-    batch. Rows without a key are ignored.
+def upsert(base: DataFrame, batch: DataFrame, key: str = "member_id", order: str = "ingested_at",
+           defaults: dict[str, Column] | None = None) -> DataFrame:
+    """``base`` with the batch merged in. Every key the batch brings has one row afterwards: its
+    newest values, a tie going to the batch, and for columns that the batch lacks the stored ones
+    (for a new key the default, or NULL). All other base rows pass as they are, also those that
+    repeat a key or have none; the audit finds such rows. Batch rows without a key are ignored.
 
-    The batch is written down first, as it is read several times. A weekly batch is small
-    next to the base: when its keys fit a broadcast, base rows it does not touch pass through
-    without a shuffle.
+    The meaning is the same whatever the sizes are. The batch's newest row per key is written
+    down first; when its keys fit a broadcast, base rows it does not touch are not shuffled.
     """
-    batch = settle(batch.filter(F.col(key).isNotNull()).select(*base.columns), "batch")
-    keys = batch.select(key).distinct()
-    rank = [order, "_fresh"]
-    incoming = batch.withColumn("_fresh", F.lit(1))
+    given = [c for c in base.columns if c in batch.columns]
+    ranked = [order] if order in given else []
+    fresh = settle(latest_per_key(batch.filter(F.col(key).isNotNull()).select(given), key, ranked), "batch")
+    keys = fresh.select(key)
     if fits_broadcast(keys):
         keys = F.broadcast(keys)
-        untouched = base.join(keys, key, "left_anti")
-        touched = base.join(keys, key, "left_semi").withColumn("_fresh", F.lit(0))
-        merged = latest_per_key(touched.unionByName(incoming), key, rank)
-        return untouched.unionByName(merged.select(*base.columns))
-    everything = base.withColumn("_fresh", F.lit(0)).unionByName(incoming)
-    return latest_per_key(everything, key, rank).select(*base.columns)
+    untouched = base.join(keys, key, "left_anti")
+    stored = latest_per_key(base.join(keys, key, "left_semi"), key, [order])
+    stored = stored.select(F.col(key), *[F.col(c).alias(f"_stored_{c}") for c in base.columns if c != key],
+                           F.lit(True).alias("_known"))
+    both = fresh.join(stored, key, "left")
+    old = F.col(f"_stored_{order}")
+    keep = F.col("_known").isNotNull() & (
+        old.isNotNull() & (F.col(order).isNull() | (old > F.col(order))) if ranked else F.lit(False))
+    defaults = defaults or {}
+
+    def column(c: str) -> Column:
+        if c == key:
+            return F.col(c)
+        if c in given:
+            return F.when(keep, F.col(f"_stored_{c}")).otherwise(F.col(c)).alias(c)
+        missing = defaults.get(c, F.lit(None)).cast(base.schema[c].dataType)
+        return F.when(F.col("_known"), F.col(f"_stored_{c}")).otherwise(missing).alias(c)
+
+    return untouched.unionByName(both.select(*map(column, base.columns)))
 
 
 # --- snapshots -------------------------------------------------------------------------
@@ -108,6 +122,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, location = _open(spark, path)
+    fs.mkdirs(location)
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     fs, root = _open(spark, path)
     if not fs.exists(root):
@@ -127,9 +146,10 @@ def latest_version(spark: SparkSession, path: str) -> int:
     return done[-1] if done else 0
 
 
-def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> str:
+def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = (), keep: int | None = None) -> str:
     """Write the next full version. Readers see it once it is complete; the version being
-    read is never overwritten, so a run may replace the table it reads from.
+    read is never overwritten, so a run may replace the table it reads from. With ``keep``, only
+    so many versions stay, the new one included; unfinished older ones go too.
 
     ``cluster_by`` sorts the files by these columns, so that filters on them skip most row
     groups. End with the key: a hot leading value then spans many files.
@@ -139,6 +159,9 @@ def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> str:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     target = _version_path(path, max(_versions(spark, path), default=0) + 1)
     df.write.parquet(target)
+    if keep:
+        for version in _versions(spark, path)[:-keep]:
+            remove(spark, _version_path(path, version))
     return target
 
 
@@ -148,9 +171,10 @@ def current(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(_version_path(path, version)) if version else None
 
 
-def replace_inventory(df: DataFrame, path: str) -> str:
-    """Stock is replaced as a whole on every run."""
-    return publish(df, path, cluster_by=["shop_location", "car_id"])
+def replace_inventory(df: DataFrame, path: str, keep: int | None = None) -> str:
+    """Stock is replaced as a whole on every run. A car that several pages list is one car."""
+    cars = latest_per_key(df, "car_id", ["scraped_at"])
+    return publish(cars, path, cluster_by=["shop_location", "car_id"], keep=keep)
 
 
 def replace_table(df: DataFrame, table: str) -> None:
@@ -175,8 +199,8 @@ def read_with_fallback(spark: SparkSession, paths: Sequence[str],
             if not df.isEmpty():
                 return df
         except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise  # a folder without files has no schema to read
     raise FileNotFoundError(f"no usable input among {list(paths)}")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from herald.functions import predicates as p
 from herald.functions.rates import pct
 from herald.functions.times import instant, zoneless
-from herald.scale import fresh_path
+from herald.scale import fresh_path, remove
 from herald.sources.tables import current, exists, latest_per_key, latest_version, publish, upsert
 
 
@@ -48,6 +48,7 @@ def ingest_contacts(contacts: DataFrame, store_path: str, checkpoint: str,
         fresh = latest_per_key(arrived, key, [order, "batch"]).drop("batch")
         base = current(spark, store_path)
         publish(fresh if base is None else upsert(base, fresh, key, order), store_path)
+        remove(spark, pending)  # merged: the version has moved on
     return current(spark, store_path)
 
 

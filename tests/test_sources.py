@@ -117,6 +117,17 @@ def test_segment_flag_and_members(spark):
     assert [r.member_id for r in tables.segment_members(df, ids).collect()] == ["b"]
 
 
+def test_csv_columns_go_by_their_names(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("email,extra,member_id,first_name\na@x,1,m1,Ann\nb@x,2,m2\n")
+    good, rejects = read_contacts_csv(spark, str(tmp_path / "c.csv"))
+    assert [tuple(r) for r in good.select("member_id", "email", "first_name").collect()] == [("m1", "a@x", "Ann")]
+    assert "in_segment" not in good.columns and "extra" not in good.columns
+    assert [r.reject_reason for r in rejects.collect()] == ["malformed line"]
+    (tmp_path / "d.csv").write_text("email,first_name\na@x,Ann\n")
+    with pytest.raises(ValueError, match="member_id"):
+        read_contacts_csv(spark, str(tmp_path / "d.csv"))
+
+
 # --- upsert and snapshots --------------------------------------------------------------
 
 def upserted(df):
@@ -134,6 +145,32 @@ def test_upsert(spark, monkeypatch, broadcast_rows):
     want = [("a", "tie"), ("b", "b2"), ("c", "c1"), ("d", "d2"), ("e", "e1")]
     assert upserted(once) == want
     assert upserted(tables.upsert(once, batch)) == want
+    # Rows that repeat a key or have none pass, unless the batch brings the key.
+    dirty = member(spark, [(None, "n1", JAN), (None, "n2", JAN), ("d", "dup1", JAN), ("d", "dup2", JAN),
+                           ("a", "a1", JAN), ("a", "a0", JAN)])
+    got = tables.upsert(dirty, member(spark, [("a", "a2", FEB)]))
+    assert sorted((r.member_id or "", r.email) for r in got.collect()) == [
+        ("", "n1"), ("", "n2"), ("a", "a2"), ("d", "dup1"), ("d", "dup2")]
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_upsert_keeps_columns_the_batch_lacks(spark, monkeypatch, fits):
+    monkeypatch.setattr(tables, "fits_broadcast", lambda df: fits)
+    base = member(spark, [("a", "a1", JAN), ("b", "b1", FEB)]).withColumn("ab_group", F.lit("B"))
+    batch = member(spark, [("a", "a2", FEB), ("b", "old", JAN), ("c", "c1", JAN)])
+    got = tables.upsert(base, batch.select("member_id", "email", "ingested_at"),
+                        defaults={"ab_group": F.lit("new")})
+    assert sorted((r.member_id, r.email, r.ab_group) for r in got.select("member_id", "email", "ab_group").collect()) == [
+        ("a", "a2", "B"), ("b", "b1", "B"), ("c", "c1", "new")]
+
+
+def test_only_the_newest_versions_are_kept(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    for i in range(5):
+        tables.publish(member(spark, [("a", str(i), JAN)]), path, keep=2)
+    assert sorted(f.name for f in (tmp_path / "kept").iterdir() if f.is_dir()) == [
+        "version=000004", "version=000005"]
+    assert upserted(tables.current(spark, path)) == [("a", "4")]
 
 
 def test_latest_per_key_prunes_before_the_shuffle(spark):
@@ -195,7 +232,9 @@ def test_fallback(spark, tmp_path):
     empty, last = str(tmp_path / "empty"), str(tmp_path / "last")
     member(spark, []).write.parquet(empty)
     member(spark, [("a", "1", JAN)]).write.parquet(last)
-    assert tables.read_with_fallback(spark, [str(tmp_path / "none"), empty, last]).count() == 1
+    (tmp_path / "bare").mkdir()
+    bare = str(tmp_path / "bare")
+    assert tables.read_with_fallback(spark, [str(tmp_path / "none"), bare, empty, last]).count() == 1
     with pytest.raises(FileNotFoundError):
         tables.read_with_fallback(spark, [str(tmp_path / "none"), empty])
 
@@ -244,8 +283,11 @@ PAGE = """<html><body><h1>Stock</h1>
 
 def test_parse_listings(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, "<html>empty</html>"), (3, None)], "page_id INT, html STRING")
-    rows = {r.car_id: r for r in listings.parse_listings(pages).collect()}
+    cars, rejects = listings.parse_listings(pages)
+    rows = {r.car_id: r for r in cars.collect()}
     assert set(rows) == {"c1", "c2"}
+    assert [("no id" in r.listing, r.reject_reason) for r in rejects.collect()] == [(True, "missing car_id")]
+    assert rows["c2"].product_url == "https://x/product-details.html?id=c2&r=1"
     one, two = rows["c1"], rows["c2"]
     assert (one.year, one.make, one.model, one.trim) == (2021, "Lexus", "RX 350 AWD", "Premium")
     assert (one.price, one.mileage, one.photo_url) == (Decimal("38900.00"), 32400, "p1.jpg")
@@ -257,7 +299,9 @@ def test_parse_records(spark):
     df = spark.createDataFrame(
         [('{"id":"r1","title":"2020 Tesla Model 3","price":"24800.50","mileage":"41,800 mi","shop":"S"}',),
          ('{"title":"no id"}',), ("not json",)], "record STRING")
-    rows = listings.parse_listing_records(df).collect()
+    cars, rejects = listings.parse_listing_records(df)
+    rows = cars.collect()
+    assert sorted(r.listing for r in rejects.collect()) == ["not json", '{"title":"no id"}']
     assert [(r.car_id, r.model, r.price, r.mileage, r.shop_location) for r in rows] == [
         ("r1", "Model 3", Decimal("24800.50"), 41800, "S")]
 

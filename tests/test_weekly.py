@@ -64,7 +64,52 @@ def test_two_weeks(spark, tmp_path, lookup, shops):
     assert spark.read.text(store.at("payloads")).count() == 3
     assert spark.read.parquet(store.at("run_stats")).count() == 4
     # A location without a shop gets cars from the pool.
-    assert two["messages"].filter("html LIKE '%2021 Lexus RX%'").count() == 2
+    assert again["messages"].filter("html LIKE '%2021 Lexus RX%'").count() == 2
+
+
+def test_a_list_without_columns_keeps_them(spark, tmp_path, lookup, shops):
+    store = Store(str(tmp_path / "store"))
+    first, second = tmp_path / "w1.csv", tmp_path / "w2.csv"
+    first.write_text(HEADER + 'm1,a@x,Ann,Lee,"Dallas, TX",1,http://p,2024-01-01 00:00:00\n')
+    second.write_text('first_name,email,member_id\nAnna,new@x,m1\n')
+    one = weekly_run(spark, store, str(first), lookup, shops, pages(spark, "c1"), now=dt.datetime(2024, 1, 7))
+    group = one["audience"].first().ab_group
+    assert group in ("A", "B")
+    row = weekly_run(spark, store, str(second), lookup, shops, now=dt.datetime(2024, 1, 14))["audience"].first()
+    assert (row.email, row.first_name, row.in_segment, row.profile_url, row.ab_group, row.location_tag) == (
+        "new@x", "Anna", 1, "http://p", group, "Dallas Area")
+
+
+def test_fallbacks_and_journey(spark, tmp_path, lookup, shops):
+    store = Store(str(tmp_path / "store"))
+    csv = tmp_path / "w.csv"
+    csv.write_text(HEADER + 'm1,a@x,Ann,Lee,"Dallas, TX",1,,\nm2,b@x,Bo,Lee,"Dallas, TX",1,,\n')
+    with pytest.raises(FileNotFoundError):
+        weekly_run(spark, store, str(tmp_path / "none.csv"), lookup, shops, pages(spark, "c1"))
+    both = shops.unionByName(shops.replace({"Dallas Area": "Greater Boston", "dallas": "boston"}))
+    fetched = pages(spark, "c1", "c1").unionByName(
+        pages(spark, "b1").replace(PAGE.format(id="b1"), PAGE.format(id="b1").replace("dallas", "boston")))
+    one = weekly_run(spark, store, str(csv), lookup, both, fetched, now=dt.datetime(2024, 1, 7))
+    assert sorted(r.car_id for r in one["inventory"].collect()) == ["b1", "c1"]
+    # Without a list the stored audience is used; a shop that was not fetched keeps its cars.
+    sync = spark.createDataFrame([("m1", dt.datetime(2024, 1, 8)), ("m2", dt.datetime(2024, 1, 13))],
+                                 "member_id STRING, synced_at TIMESTAMP_NTZ")
+    two = weekly_run(spark, store, str(tmp_path / "none.csv"), lookup, both, pages(spark, "c2"),
+                     now=dt.datetime(2024, 1, 14), sync=sync)
+    assert sorted(r.car_id for r in two["inventory"].collect()) == ["b1", "c2"]
+    assert [r.member_id for r in two["messages"].collect()] == ["m1"]
+    assert two["payloads"].count() == 2
+
+
+def test_a_run_leaves_nothing_in_the_shared_folder(spark, tmp_path, lookup, shops):
+    from herald import scale
+    csv = tmp_path / "w.csv"
+    csv.write_text(HEADER + 'm1,a@x,Ann,Lee,"Dallas, TX",1,,\n')
+    before = list(scale._settled)
+    weekly_run(spark, Store(str(tmp_path / "s")), str(csv), lookup, shops, pages(spark, "c1"))
+    with pytest.raises(FileNotFoundError):
+        weekly_run(spark, Store(str(tmp_path / "t")), str(csv), lookup, shops)
+    assert scale._settled == before
 
 
 def test_stock_from_records(spark, tmp_path, lookup, shops):
@@ -84,7 +129,7 @@ def test_dry_run_writes_no_messages(spark, tmp_path, lookup, shops):
     run = weekly_run(spark, store, str(csv), lookup, shops, pages(spark, "c1"),
                      now=dt.datetime(2024, 1, 7), dry_run=True)
     assert run["messages"].count() == 1
-    assert not (tmp_path / "store" / "messages").exists()
+    assert not (tmp_path / "store").exists()
 
 
 def test_a_missing_stock_stops_the_run(spark, tmp_path, lookup, shops):
