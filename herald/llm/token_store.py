@@ -24,6 +24,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,9 +82,20 @@ class PlainWords:
         self.tool = tiktoken.Encoding("words", pat_str=f"[^{self.mark}]*{self.mark}", special_tokens={},
                                       mergeable_ranks={raw: i for i, (raw, _) in enumerate(order)})
 
-    def encode(self, word: str) -> list[int]:
-        marked = self.mark.join([*PARTS.findall(word.lower()), ""])
-        return list(map(self.ids.__getitem__, self.tool.encode_ordinary(marked)))
+        self.table = np.array(self.ids, np.int64).astype("<u4")
+        self.ends = np.array([raw.endswith(mark) for raw, _ in order])
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """The ids of each word as bytes; all words in one call."""
+        if not words:
+            return []
+        parts = list(map(PARTS.findall, map(str.lower, words)))
+        marked = self.mark.join([*chain.from_iterable(parts), ""])
+        ranks = np.array(self.tool.encode_ordinary(marked), np.int64)
+        part_ends = np.flatnonzero(self.ends[ranks]) + 1
+        ends = (4 * part_ends[np.cumsum(list(map(len, parts))) - 1]).tolist()
+        raw = self.table[ranks].tobytes()
+        return [raw[i:j] for i, j in zip([0, *ends], ends)]
 
 
 class WordEncoder:
@@ -108,27 +120,31 @@ class WordEncoder:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known, words = self.known, [t.split() for t in texts_]
-        new = list(set().union(*words).difference(known.keys()))
-        rest, plain = [], PLAIN.fullmatch
+        found = [list(map(known.get, w)) for w in words]
+        new = {w for own, got in zip(words, found) if None in got
+               for w, g in zip(own, got) if g is None}
+        rest, plain, ascii_or_latin = [], [], PLAIN.fullmatch
         for word in new:
             text = word.decode()
-            if plain(text) and "<|" not in text:
-                known[word] = array("I", self.plain.encode(text)).tobytes()
-            else:
-                rest.append(word)
+            (plain if ascii_or_latin(text) and "<|" not in text else rest).append(text)
+        known.update(zip(map(str.encode, plain), self.plain.encode(plain)))
         for start in range(0, len(rest), 4096):
             some = rest[start:start + 4096]
-            found = self.tokenizer.encode_batch_fast([b.decode() for b in some],
-                                                     add_special_tokens=False)
-            for word, encoding in zip(some, found):
-                known[word] = np.array(encoding.ids, "<u4").tobytes()
-        ids = [np.frombuffer(b"".join(map(known.__getitem__, w)) + self.end, "<u4") for w in words]
+            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            for text, encoding in zip(some, encoded):
+                known[text.encode()] = array("I", encoding.ids).tobytes()
+        for i, got in enumerate(found):
+            if None in got:
+                found[i] = map(known.__getitem__, words[i])
+        ids = [np.frombuffer(b"".join([*got, self.end]), "<u4") for got in found]
         for word in new:
             if len(word) > LONGEST:
                 del known[word]
         return ids
 
 
+TABLE_BITS = 20
+_SPREAD, _TABLE_SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - TABLE_BITS)
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -158,7 +174,13 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int):
             break
         often = often[np.argsort(-counts[often], kind="stable")[:PAIRS]]
         chosen = np.sort(ordered[first[often]])
-        at = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
+        # a table by hash finds a pair's rule; of two pairs in one place, one waits for a later round
+        place = ((chosen * _SPREAD) >> _TABLE_SHIFT).astype(np.int64)
+        table = np.zeros(1 << TABLE_BITS, np.int32)
+        table[place] = np.arange(len(chosen), dtype=np.int32)
+        chosen = chosen[table[place] == np.arange(len(chosen))]
+        table[(chosen * _SPREAD) >> _TABLE_SHIFT] = np.arange(len(chosen), dtype=np.int32)
+        at = table[(pairs * _SPREAD) >> _TABLE_SHIFT]
         hits = np.flatnonzero((chosen[at] == pairs) & inside)
         start = np.concatenate(([True], np.diff(hits) > 1))
         run = np.maximum.accumulate(np.where(start, np.arange(len(hits)), 0))
