@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +40,10 @@ from herald.operators.names import clean_last_name
 from herald.operators.picks import select_picks
 from herald.plans.dashboard import Tables, dashboard
 from herald.plans.ingest import ingest_audience
-from herald.scale import fresh_path
+from herald.scale import fresh_path, settle
 from herald.sources import listings, sinks, tables
 from herald.sources.contacts import read_contacts_csv
+from herald.sources.lookups import AREAS, metro_areas
 from herald.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +225,64 @@ def _(spark, sf_dir, audience, inventory, sync, events):
     return dashboard(board, AS_OF, days=14, location=REGION)["cards"]
 
 
+_HERE = f"""
+, here AS (SELECT * FROM audience WHERE location_tag = '{REGION}'),
+sync AS (SELECT * FROM delivery_sync WHERE member_id IN (SELECT member_id FROM here)),
+every AS (SELECT * FROM email_events WHERE member_id IN (SELECT member_id FROM here)),
+mail AS (SELECT * FROM every
+         WHERE event_at >= TIMESTAMP '2024-01-17' AND event_at < TIMESTAMP '2024-01-31'),
+stock AS (SELECT * FROM inventory WHERE shop_location = '{REGION}')
+"""
+
+
+def _panel(name: str, oracle: str):
+    """A panel of the board under its location and window filters."""
+    @_query(f"dashboard_location_{name}", "audience inventory delivery_sync email_events", _HERE + oracle)
+    def _(spark, sf_dir, audience, inventory, sync, events):
+        return dashboard(Tables(audience, inventory, sync, events), AS_OF, days=14, location=REGION)[name]
+
+
+_panel("journeys", f"""
+SELECT {_JOURNEY} AS journey, {_n('sent')} AS sent, {_n('delivered')} AS delivered,
+       {_pct(_n('open'), _n('delivered'))} AS open_rate, {_pct(_n('click'), _n('delivered'))} AS ctr,
+       {_pct(_n('unsub'), _n('delivered'))} AS unsubscribe_rate
+FROM mail WHERE {_JOURNEY} IS NOT NULL GROUP BY 1""")
+_panel("pooled", f"""
+SELECT {_n('delivered')} AS delivered, {_n('open')} AS opens, {_n('click')} AS clicks,
+       {_pct(_n('open'), _n('delivered'))} AS open_rate, {_pct(_n('click'), _n('delivered'))} AS ctr
+FROM mail WHERE {_JOURNEY} IS NOT NULL""")
+_panel("funnel", f"""
+, steps AS (
+  SELECT '01 T1 Ingested' AS stage, count(*) AS n FROM here
+  UNION ALL SELECT '02 Tagged', count(location_tag) FROM here
+  UNION ALL SELECT '03 Qualified', count(*) FROM here WHERE {_QUALIFIED}
+  UNION ALL SELECT '04 Entered Flow', count(journey_status) FROM sync)
+SELECT stage, n AS count, {_pct('n', '(SELECT count(*) FROM here)')} AS share_pct FROM steps""")
+_panel("inventory", f"""
+SELECT count(*) AS cars_in_stock, count(DISTINCT shop_location) AS locations,
+       {_STAMP.format('max(scraped_at)')} AS last_scrape,
+       date_diff('minute', max(scraped_at), TIMESTAMP '2024-01-31') AS minutes_since_scrape,
+       (SELECT count(*) FROM (SELECT shop_location FROM stock GROUP BY 1 HAVING count(*) < 20)) AS low_shops
+FROM stock""")
+_panel("low_inventory", """
+SELECT shop_location, car_count, CASE WHEN car_count < 20 THEN 'CRITICAL' ELSE 'WARNING' END AS alert_level
+FROM (SELECT shop_location, count(*) AS car_count FROM stock GROUP BY 1) WHERE car_count < 50""")
+_panel("locations", f"""
+, cars AS (SELECT shop_location, count(DISTINCT car_id) AS cars FROM stock GROUP BY 1),
+m AS (SELECT member_id, {_n('open')} AS o, {_n('click')} AS c, {_n('delivered')} AS d FROM every GROUP BY 1),
+people AS (SELECT a.location_tag, s.member_id AS synced, coalesce(o, 0) AS o, coalesce(c, 0) AS c,
+                  coalesce(d, 0) AS d
+           FROM here AS a LEFT JOIN m USING (member_id)
+           LEFT JOIN (SELECT DISTINCT member_id FROM sync) AS s ON s.member_id = a.member_id
+           WHERE {_QUALIFIED}),
+summary AS (SELECT location_tag, count(*) AS qualified, count(synced) AS in_flow,
+                   {_pct('sum(o)', 'sum(d)')} AS open_rate, {_pct('sum(c)', 'sum(d)')} AS ctr
+            FROM people GROUP BY location_tag)
+SELECT location_tag, qualified, in_flow, open_rate, ctr, coalesce(cars, 0) AS inventory_count,
+       CASE WHEN coalesce(cars, 0) < 20 THEN 'LOW STOCK' ELSE 'OK' END AS status
+FROM summary LEFT JOIN cars ON shop_location = location_tag""")
+
+
 @_query("pooled_rates", "email_events", f"""
 SELECT {_n('delivered')} AS delivered, {_n('open')} AS opens, {_n('click')} AS clicks,
        {_pct(_n('open'), _n('delivered'))} AS open_rate,
@@ -481,6 +541,12 @@ def _(spark, sf_dir, audience):
     return experiments.region_export(audience, REGION)
 
 
+@_query("ab_stratified_ordered", "audience", _numbered("location_tag IS NOT NULL", _CORE)
+        + "SELECT * EXCLUDE (row_num) FROM labelled")
+def _(spark, sf_dir, audience):
+    return experiments.ab_stratified(audience, ordered=True)
+
+
 @_query("sql_assign_ab_groups", "audience", _numbered(f"location_tag = '{REGION}'", _CORE)
         + "SELECT * EXCLUDE (row_num) FROM labelled")
 def _(spark, sf_dir, audience):
@@ -771,6 +837,55 @@ def _(spark, sf_dir, audience, batch, metro, ids):
                          "in_segment", "location_tag", "ingested_at")
 
 
+_BUILT_IN = ", ".join("('{}', '{}', '{}')".format(*(v.replace("'", "''") for v in a)) for a in AREAS)
+
+
+@_query("location_tag_built_in", "audience", f"""
+, areas AS (SELECT * FROM (VALUES {_BUILT_IN}) AS a(city, state, region)),
+numbered AS (SELECT *, row_number() OVER (ORDER BY city) - 1 AS n FROM areas),
+raw AS (SELECT member_id, length(email) % 9 AS n FROM audience)
+SELECT r.member_id, a.region AS location_tag
+FROM raw AS r LEFT JOIN numbered AS a ON a.n = r.n""")
+def _(spark, sf_dir, audience):
+    """The areas that come with the library, over contacts that name their city."""
+    areas = sorted(AREAS)
+    raw = F.array(*[F.lit(f"{city}, {state}") for city, state, _ in areas])
+    place = F.coalesce(F.try_element_at(raw, (F.length("email") % 9 + 1).cast("int")), F.lit("Remote"))
+    place = F.when(F.length("email") % 9 < len(areas), place).otherwise("Remote")
+    rows = audience.withColumn("location_raw", place)
+    return tag_locations(rows, metro_areas(spark), multi="first", only_reachable_segment=False,
+                         dedupe=False).select("member_id", "location_tag")
+
+
+@_query("quoted_table_name", "audience", "SELECT in_segment::BIGINT AS in_segment, count(*) AS n_rows "
+                                         "FROM audience GROUP BY 1")
+def _(spark, sf_dir, audience):
+    """A table whose name would be SQL if it were not quoted."""
+    name = "batch`; DROP TABLE x --"
+    audience.createOrReplaceTempView("`" + name.replace("`", "``") + "`")
+    return tables.named_table(spark, name).groupBy("in_segment").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@_query("table_defaults_ddl", "contact_batch", """
+SELECT count(*) AS n_rows, 0::BIGINT AS flagged, count(*) AS stamped FROM contact_batch""")
+def _(spark, sf_dir, batch):
+    """Tables made from the stated schemas; rows that leave columns out take their defaults."""
+    database = f"ddl_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        schemas.create_tables(spark, database)
+        spark.sql(f"INSERT INTO {database}.audience (member_id, email, first_name) "
+                  "SELECT member_id, email, first_name FROM {b}", b=batch)
+        stored = spark.table(f"{database}.audience").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("in_segment").alias("flagged"),
+            F.count("ingested_at").alias("stamped"))
+        result = settle(stored, "ddl")
+        schemas.reset_tables(spark, database)
+        return result
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 @_query("run_stats", "audience email_events", f"""
 SELECT '2024-01-31' AS run_id, 'qualified' AS stage, count(*) AS rows_in,
        count(*) FILTER (WHERE {_QUALIFIED}) AS kept,
