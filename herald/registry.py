@@ -659,6 +659,32 @@ def _(spark, sf_dir, audience, events):
     return quality.orphan_events(events, audience)
 
 
+@_query("orphan_events_dirty", "dirty_audience email_events", f"""
+SELECT {_EVENT} FROM email_events
+WHERE member_id NOT IN (SELECT member_id FROM dirty_audience
+                        WHERE member_id IS NOT NULL AND first_name = 'Second')""")
+def _(spark, sf_dir, dirty, events):
+    """Most events name a member that this audience does not have."""
+    return quality.orphan_events(events, dirty.filter(F.col("first_name") == "Second"))
+
+
+@_query("constraint_audit_dirty", "dirty_audience email_events", """
+, keys AS (SELECT member_id, count(*) AS n FROM dirty_audience GROUP BY 1)
+SELECT 'audience' AS table_name, 'primary key member_id' AS constraint_name,
+       (SELECT count(*) FROM keys WHERE n > 1 AND member_id IS NOT NULL) AS violations
+UNION ALL SELECT 'audience', 'not null member_id',
+       (SELECT count(*) FROM dirty_audience WHERE member_id IS NULL)
+UNION ALL SELECT 'audience', 'not null email', 0
+UNION ALL SELECT 'audience', 'not null first_name', 0
+UNION ALL SELECT 'email_events', 'primary key event_id', 0
+UNION ALL SELECT 'email_events', 'not null event_id', 0
+UNION ALL SELECT 'email_events', 'foreign key member_id',
+       (SELECT count(*) FROM email_events WHERE member_id NOT IN (SELECT member_id FROM dirty_audience
+                                                                  WHERE member_id IS NOT NULL))""")
+def _(spark, sf_dir, dirty, events):
+    return quality.audit({"audience": dirty, "email_events": events})
+
+
 @_query("events_without_sync", "delivery_sync email_events",
         f"SELECT {_EVENT} FROM email_events ANTI JOIN delivery_sync USING (member_id)")
 def _(spark, sf_dir, sync, events):
