@@ -40,7 +40,7 @@ BLOCK_IDS = 2_000_000
 #: Pairs replaced per round at most, how often a pair has to occur, and rounds at most. A round
 #: that shortens the block by less than one part in ``WORTH`` is the last.
 PAIRS, FREQUENT, ROUNDS, WORTH = 4096, 32, 8, 25
-REMEMBERED, LONGEST = 250_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 
 BLOCKS = ("part int, block int, n_ids bigint, doc_ids array<bigint>, doc_ids_count array<int>, "
           "doc_symbols array<int>, first_rule int, rules binary, rounds array<int>, lengths binary, "
@@ -98,6 +98,22 @@ class PlainWords:
         return [raw[i:j] for i, j in zip([0, *ends], ends)]
 
 
+#: Closes a text in the list of its words: no word is white space.
+CLOSE = b" "
+
+
+class Codes(dict):
+    """Numbers of words in the order in which they are met."""
+
+    next, new = 0, ()
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = self.next
+        self.next += 1
+        self.new.append(word)
+        return code
+
+
 class WordEncoder:
     """Encodes words, each distinct one once per batch: plain ones by their merges, all others,
     and those that could hold a special token, with the tokenizers library itself."""
@@ -112,35 +128,54 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
-        self.known: dict[bytes, bytes] = {}
-        self.end = np.array([END_ID], "<u4").tobytes()
-
-    def encode(self, texts_: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text with the end id."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, words = self.known, [t.split() for t in texts_]
-        found = [list(map(known.get, w)) for w in words]
-        new = {w for own, got in zip(words, found) if None in got
-               for w, g in zip(own, got) if g is None}
-        rest, plain, ascii_or_latin = [], [], PLAIN.fullmatch
-        for word in new:
+        self.codes = Codes()
+        self.forget()
+
+    def forget(self) -> None:
+        self.codes.clear()
+        self.codes.next, self.codes.new = 1, []
+        self.codes[CLOSE] = 0
+        self.flat, self.ends = np.array([END_ID], "<u4"), np.array([0, 1])
+
+    def learn(self, words: list[bytes]) -> None:
+        """Append the ids of new words, in the order of their codes."""
+        plain, ids = [], [b""] * len(words)
+        rest, simple = [], PLAIN.fullmatch
+        for i, word in enumerate(words):
             text = word.decode()
-            (plain if ascii_or_latin(text) and "<|" not in text else rest).append(text)
-        known.update(zip(map(str.encode, plain), self.plain.encode(plain)))
+            (plain if simple(text) and "<|" not in text else rest).append((i, text))
+        for (i, _), raw in zip(plain, self.plain.encode([t for _, t in plain])):
+            ids[i] = raw
         for start in range(0, len(rest), 4096):
             some = rest[start:start + 4096]
-            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            for text, encoding in zip(some, encoded):
-                known[text.encode()] = array("I", encoding.ids).tobytes()
-        for i, got in enumerate(found):
-            if None in got:
-                found[i] = map(known.__getitem__, words[i])
-        ids = [np.frombuffer(b"".join([*got, self.end]), "<u4") for got in found]
+            encoded = self.tokenizer.encode_batch_fast([t for _, t in some], add_special_tokens=False)
+            for (i, _), encoding in zip(some, encoded):
+                ids[i] = array("I", encoding.ids).tobytes()
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
+        ends = self.ends[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
+        self.ends = np.concatenate([self.ends, ends])
+
+    def encode(self, texts_: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text with the end id: a code per word, then a gather of their ids."""
+        if len(self.codes) > REMEMBERED:
+            self.forget()
+        # the vocabulary is lower case; the strings of special tokens are not
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts_]
+        for own in words:
+            own.append(CLOSE)
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(words)), np.int64, counts.sum())
+        new, self.codes.new = self.codes.new, []
+        if new:
+            self.learn(new)
+        starts = self.ends[codes]
+        sizes = self.ends[codes + 1] - starts
+        until = np.cumsum(sizes)
+        place = np.repeat(starts - (until - sizes), sizes) + np.arange(until[-1] if len(until) else 0)
         for word in new:
             if len(word) > LONGEST:
-                del known[word]
-        return ids
+                del self.codes[word]
+        return np.split(self.flat[place], until[np.cumsum(counts) - 1][:-1]) if texts_ else []
 
 
 TABLE_BITS = 20
