@@ -121,11 +121,11 @@ def _tag_by_text(contacts: DataFrame, areas: DataFrame, multi: str) -> DataFrame
                     F.coalesce("tier", F.lit(UNMATCHED)).alias("match_tier")))
 
 
-def _grams(text: Column, size: int) -> Column:
+def _grams(text: Column, size: Column) -> Column:
     """All distinct pieces of ``size`` characters; a shorter text is its own piece."""
     last = F.greatest(F.length(text) - size + 1, F.lit(1))
     return F.array_distinct(F.transform(F.sequence(F.lit(1), last),
-                                        lambda i: F.substring(text, i, F.lit(size))))
+                                        lambda i: F.substring(text, i, size)))
 
 
 def _texts_containing(texts: DataFrame, regions: DataFrame) -> DataFrame:
@@ -133,27 +133,24 @@ def _texts_containing(texts: DataFrame, regions: DataFrame) -> DataFrame:
 
     A text containing a region contains every piece of it, so any single piece finds the
     pair; the piece fewest regions share keeps wrong candidates rare. ``contains`` decides.
-    Names of different lengths need pieces of different sizes, each handled on its own;
-    there are at most nine sizes.
+    Names of different lengths need pieces of different sizes, at most nine. Every text is cut
+    once into its pieces of all sizes and written, then one join serves them all.
     """
     size = F.least(F.length("region"), F.lit(GRAM_LENGTH))
-    sizes = [r.n for r in regions.select(size.alias("n")).distinct().collect()]
-    found = texts.select("location_raw", F.lit("").alias("region")).filter(F.lit(False))
-    for n in sizes:
-        names = regions.filter(size == n)
-        pieces = names.select("region", F.explode(_grams(F.col("region"), n)).alias("gram"))
-        shared = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
-        index = (keyed_join(pieces, shared, ["gram"], "inner")
-                 .groupBy("region").agg(F.min(F.struct("uses", "gram")).alias("best"))
-                 .select("region", F.col("best.gram").alias("gram")))
-        index = settle(index, f"grams{n}")
-        cut = texts.select("location_raw",
-                           F.explode(_grams(F.col("location_raw"), n)).alias("gram"))
-        found = found.unionByName(
-            keyed_join(cut, index, ["gram"], "inner")
-            .filter(F.contains("location_raw", F.col("region")))
-            .select("location_raw", "region"))
-    return found
+    sizes = sorted(r.n for r in regions.select(size.alias("n")).distinct().collect())
+    if not sizes:
+        return texts.select("location_raw", F.lit("").alias("region")).limit(0)
+    pieces = settle(regions.select("region", F.explode(_grams(F.col("region"), size)).alias("gram")),
+                    "region-pieces")
+    shared = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
+    index = (keyed_join(pieces, shared, ["gram"], "inner")
+             .groupBy("region").agg(F.min(F.struct("uses", "gram")).alias("best"))
+             .select("region", F.col("best.gram").alias("gram")))
+    every = F.flatten(F.array(*[_grams(F.col("location_raw"), F.lit(n)) for n in sizes]))
+    cut = settle(texts.select("location_raw", F.explode(F.array_distinct(every)).alias("gram")),
+                 "text-pieces")
+    return (keyed_join(cut, settle(index, "region-index"), ["gram"], "inner")
+            .filter(F.contains("location_raw", F.col("region"))).select("location_raw", "region"))
 
 
 def tier_stats(tagged: DataFrame) -> DataFrame:
