@@ -20,7 +20,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.scale import fresh_path
+from herald.scale import fresh_path, settle
 
 #: The white space that the contracts name: space, and tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -263,6 +263,13 @@ def write_shard(folder: str, shard: int, **columns: np.ndarray) -> None:
         put(f"{folder}/{name}-{shard:06d}", np.ascontiguousarray(values).tobytes())
 
 
+def settle_narrow(df: DataFrame, name: str) -> DataFrame:
+    """Settle rows of a few numbers each: an eighth of the shuffle partitions is enough for them,
+    and as many files."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settle(df.coalesce(max(1, parts // 8)), name)
+
+
 # --- rows with one key -----------------------------------------------------------------
 
 def runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

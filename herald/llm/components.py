@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herald.scale import settle
+from herald.llm.common import settle_narrow
 
 #: The steps halve the depth; so many rounds are never reached and only guard against a loop.
 ROUNDS = 60
@@ -45,10 +45,10 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (a, b); the label is the smallest node of the
     component. NULL ends are ignored."""
     rows = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    rows = settle(small_star(rows.filter(F.col("a") != F.col("b"))).distinct(), "edges")
+    rows = settle_narrow(small_star(rows.filter(F.col("a") != F.col("b"))).distinct(), "edges")
     for _ in range(ROUNDS):
         if _stars(rows):
             break
-        rows = settle(small_star(large_star(rows)).distinct(), "edges")
+        rows = settle_narrow(small_star(large_star(rows)).distinct(), "edges")
     tied = rows.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return tied.unionByName(rows.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -41,6 +41,7 @@ from herald.llm.common import (
     pack,
     pieces,
     runs,
+    settle_narrow,
     shingles,
     texts,
     unpack,
@@ -234,7 +235,7 @@ def candidate_edges(profile: DataFrame, percent: int) -> DataFrame:
              .groupBy("gram", "print").agg(F.first("n_shingles").alias("n_shingles"),
                                            F.first("histogram").alias("histogram")))
     posts = settle(posts, "ngram-postings")
-    sizes = settle(posts.groupBy("gram").agg(F.count(F.lit(1)).alias("docs"), F.min("print").alias("hub"))
+    sizes = settle_narrow(posts.groupBy("gram").agg(F.count(F.lit(1)).alias("docs"), F.min("print").alias("hub"))
                    .filter(F.col("docs") > POSTINGS).select("gram", "hub"), "ngram-hot")
     if sizes.isEmpty():
         hot, normal = None, posts
@@ -256,7 +257,7 @@ def candidate_edges(profile: DataFrame, percent: int) -> DataFrame:
     edges = by_key(normal, parts, "gram", "n_shingles", "print").mapInArrow(compare, "a binary, b binary")
     if hot is not None:
         edges = edges.unionByName(hot.filter(F.col("a") != F.col("b")))
-    return settle(edges.distinct(), "ngram-candidates")
+    return settle_narrow(edges.distinct(), "ngram-candidates")
 
 
 # --- 4: exact products inside clusters -------------------------------------------------
@@ -351,7 +352,7 @@ def product(members: DataFrame, percent: int) -> DataFrame:
 
 def exact_classes(profile: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """(print, class) of documents that link with another one. ``clusters``: (node, label)."""
-    sized = settle(clusters.groupBy("label").agg(F.count(F.lit(1)).alias("rows")), "ngram-clusters")
+    sized = settle_narrow(clusters.groupBy("label").agg(F.count(F.lit(1)).alias("rows")), "ngram-clusters")
     one = (profile.filter(F.col("grams").isNotNull()).groupBy("print")
            .agg(F.first("grams").alias("grams")))
     of = keyed_join(clusters.withColumnRenamed("node", "print"), sized, ["label"], "inner")
@@ -374,12 +375,12 @@ def exact_classes(profile: DataFrame, clusters: DataFrame, percent: int) -> Data
                        "print", "left").withColumn("class", F.coalesce("class", "print"))
     counts = state.groupBy("label", "class").agg(F.count(F.lit(1)).alias("n"))
     main = counts.groupBy("label").agg(F.max_by("class", F.struct("n", "class")).alias("main"))
-    state = settle(keyed_join(state, settle(main, "ngram-main"), ["label"], "inner"), "ngram-state")
+    state = settle(keyed_join(state, settle_narrow(main, "ngram-main"), ["label"], "inner"), "ngram-state")
     outside = state.filter(F.col("class") != F.col("main"))
     if outside.isEmpty():
         return classes
     per = outside.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("groups"))
-    per = settle(per, "ngram-outside")
+    per = settle_narrow(per, "ngram-outside")
     place = F.struct("label", "group", "block")
     rest = (keyed_join(outside, per, ["label"], "inner")
             .withColumn("group", F.pmod(F.xxhash64("print", F.lit("group")), F.col("groups")).cast("int"))
@@ -406,7 +407,7 @@ def classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     linked = exact_classes(profile, components(edges), percent)
     first = profile.groupBy("print").agg(F.min("doc_id").alias("first"))
     first = first.join(linked.select(F.col("node").alias("print"), "label"), "print", "left")
-    first = settle(first.withColumn("label", F.coalesce("label", "print")), "ngram-classes")
+    first = settle_narrow(first.withColumn("label", F.coalesce("label", "print")), "ngram-classes")
     smallest = first.groupBy("label").agg(F.min("first").alias("component_id"))
     of = first.join(smallest, "label").select("print", "component_id")
     rows = profile.select("doc_id", "tie", "print", "n_shingles")
@@ -424,7 +425,7 @@ def without_near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int =
     """One document of each class, the one with the smallest id, with all its columns. Repeated
     rows (same id and text) are one document; different texts under the class's smallest id all
     stay. Documents without words all stay, repeated or not."""
-    kept = settle(classes(docs, width, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = settle_narrow(classes(docs, width, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
                   .select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"),
                           "tie").distinct(), "ngram-kept")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
