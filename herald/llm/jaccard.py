@@ -132,6 +132,22 @@ def histogram(grams: np.ndarray) -> np.ndarray:
     return np.bincount((mixed(grams) >> np.uint64(59)).astype(np.int64), minlength=BUCKETS)
 
 
+def stored(hist: np.ndarray) -> bytes:
+    """Counts of 16 bits where all fit, else of 32: a text has under 2^32 n-grams."""
+    return hist.astype("<u2" if hist.max() < 1 << 16 else "<u4").tobytes()
+
+
+def histograms(rows: list[bytes]) -> np.ndarray:
+    narrow = np.array([len(r) == 2 * BUCKETS for r in rows], bool)
+    if narrow.all():
+        return np.frombuffer(b"".join(rows), "<u2").reshape(-1, BUCKETS)
+    out = np.empty((len(rows), BUCKETS), np.uint32)
+    for kind, which in (("<u2", narrow), ("<u4", ~narrow)):
+        some = b"".join([rows[i] for i in np.flatnonzero(which)])
+        out[which] = np.frombuffer(some, kind).reshape(-1, BUCKETS)
+    return out
+
+
 def profiles(rows: DataFrame, shared: SortedTable, width: int, percent: int) -> DataFrame:
     """Per document its set's fingerprint and size; where its prefix holds shared n-grams, also
     those, the histogram and the set."""
@@ -157,7 +173,7 @@ def profiles(rows: DataFrame, shared: SortedTable, width: int, percent: int) ->
                         prefix = grams[rest].view(np.int64).tolist()
                 # the set's hash; the empty set needs none, as it meets no other
                 out.append((doc, tie, xxhash.xxh3_128_digest(grams.tobytes()) if n else None, n, prefix,
-                            histogram(grams).astype("<u2").tobytes() if prefix else None,
+                            stored(histogram(grams)) if prefix else None,
                             pack(grams) if prefix else None))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out), (
@@ -211,7 +227,7 @@ def possible_links(table: pa.Table, percent: int) -> Iterator[tuple[bytes, bytes
     rows = np.repeat(ends - first, ends - first)
     stop = np.repeat(ends, ends - first)
     prints = table.column("print").combine_chunks()
-    hists = np.frombuffer(b"".join(table.column("histogram").to_pylist()), "<u2").reshape(-1, BUCKETS)
+    hists = histograms(table.column("histogram").to_pylist())
     for step in range(1, FEW):
         i = np.flatnonzero((rows <= FEW) & (np.arange(len(grams)) + step < stop))
         need = least_overlap(sizes[i], sizes[i + step], percent)

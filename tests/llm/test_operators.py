@@ -3,7 +3,9 @@
 import zlib
 
 import cases
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -209,6 +211,33 @@ def test_near_duplicates_of_the_corpus(spark):
     assert got == cases.classes(rows)
 
 
+def test_histograms_hold_large_buckets():
+    n = 3_000_000
+    grams = np.sort(np.random.default_rng(1).integers(0, 1 << 64, n, np.uint64)) >> np.uint64(16) << np.uint64(16)
+    hist = jaccard.histogram(grams)
+    assert hist.min() > 65_535 and hist.sum() == n
+    narrow = np.arange(32) * 2000
+    stored = [jaccard.stored(hist), jaccard.stored(narrow)]
+    back = jaccard.histograms([stored[1], stored[0], stored[1]])
+    assert (back == [narrow, hist, narrow]).all() and (jaccard.histograms(stored[1:]) == narrow).all()
+    assert jaccard.alike(n, back[1], np.array([n, n]), np.stack([hist, hist // 2]), 85).tolist() == [True, False]
+    for rows in (2, jaccard.FEW + 1):  # compared all at once, and one by one
+        names = [b"%02d" % i for i in range(rows)]
+        table = pa.table({"gram": pa.array([7] * rows, pa.int64()), "n_shingles": pa.array([n] * rows, pa.int64()),
+                          "print": pa.array(names, pa.binary()),
+                          "histogram": pa.array(stored[:1] * rows, pa.binary())})
+        assert {x for pair in jaccard.possible_links(table, 85) for x in pair} == set(names)
+
+
+def test_near_copies_of_very_long_documents(spark):
+    n = 2_300_000  # shingles above 65,535 a bucket
+    text = " ".join(map(str, range(n)))
+    rows = [(1, text), (2, text + " tail"), (3, " ".join(map(str, range(n, n + 50))))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (n - 3, 1), 2: (n - 2, 1), 3: (47, 3)}
+
+
 def test_components_of_chains_and_hubs(spark):
     from herald.llm.components import components
 
