@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from herald.llm.common import settle_narrow
 
-#: The steps halve the depth; so many rounds are never reached and only guard against a loop.
-ROUNDS = 60
-
 
 def large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest of its neighbourhood."""
@@ -46,9 +43,7 @@ def components(edges: DataFrame) -> DataFrame:
     component. NULL ends are ignored."""
     rows = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     rows = settle_narrow(small_star(rows.filter(F.col("a") != F.col("b"))).distinct(), "edges")
-    for _ in range(ROUNDS):
-        if _stars(rows):
-            break
+    while not _stars(rows):
         rows = settle_narrow(small_star(large_star(rows)).distinct(), "edges")
     tied = rows.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return tied.unionByName(rows.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -247,6 +247,15 @@ def test_components_of_chains_and_hubs(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_end_only_at_stars(spark, monkeypatch):
+    from herald.llm import components
+
+    monkeypatch.setattr(components, "ROUNDS", 1, raising=False)  # a cap on rounds, if there is one
+    edges = [(i, i + 1) for i in range(300)]
+    got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted((r.node, r.label) for r in got) == [(i, 0) for i in range(301)]
+
+
 def test_fingerprints_equal_brute_force(spark, rows):
     got = {r.doc_id: r for r in queries.QUERIES["op10_fingerprints"](spark, SMALL).collect()}
     order = sorted(((d, t or "") for d, t in rows), reverse=True)
