@@ -37,9 +37,8 @@ from herald.scale import keyed_join
 
 END_ID = 2
 BLOCK_IDS = 2_000_000
-#: Pairs replaced per round at most, how often a pair has to occur, and rounds at most. A round
-#: that shortens the block by less than one part in ``WORTH`` is the last.
-PAIRS, FREQUENT, ROUNDS, WORTH = 4096, 32, 8, 25
+#: Pairs replaced per round at most, and how often a pair has to occur.
+PAIRS, FREQUENT = 4096, 32
 REMEMBERED, LONGEST = 400_000, 64
 
 BLOCKS = ("part int, block int, n_ids bigint, doc_ids array<bigint>, doc_ids_count array<int>, "
@@ -198,7 +197,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int):
     last = np.zeros(len(seq), bool)
     last[ends - 1] = True
     rules, rounds = np.empty((0, 2), np.uint64), []
-    for _ in range(ROUNDS):
+    while True:  # each round shortens the block
         pairs = (seq[:-1] << np.uint64(32)) | seq[1:]
         inside = ~last[:-1]
         ordered = np.sort(pairs[inside])
@@ -228,8 +227,6 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int):
         rules = np.concatenate([rules, np.stack([chosen >> np.uint64(32),
                                                  chosen & np.uint64(0xFFFFFFFF)], 1)])
         rounds.append(len(rules))
-        if len(hits) * WORTH < len(keep):
-            break
     return (seq.astype("<u4"), np.diff(np.flatnonzero(last), prepend=-1), rules.astype("<u4"),
             rounds, rule_lengths(rules, rounds, first_rule))
 

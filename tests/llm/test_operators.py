@@ -120,6 +120,18 @@ def test_grammar_of_runs():
         assert token_store.lengths_of(symbols, lengths, 100).sum() == len(ids)
 
 
+def test_grammar_leaves_no_frequent_pair():
+    draw = np.random.default_rng(2)
+    for ids in (np.full(40_000, 7), np.minimum(draw.zipf(1.3, 60_000), 90)):
+        seq, ends = ids.astype("<u4"), np.array([len(ids) // 3, len(ids)])
+        symbols, per_doc, rules, rounds, lengths = token_store.compress(seq, ends, 100)
+        assert (token_store.expand(symbols, rules, rounds, 100) == seq).all()
+        inside = np.ones(len(symbols) - 1, bool)
+        inside[per_doc[0] - 1] = False
+        pairs = np.stack([symbols[:-1], symbols[1:]], 1)[inside]
+        assert len(pairs) == 0 or np.unique(pairs, axis=0, return_counts=True)[1].max() < token_store.FREQUENT
+
+
 def test_filter_has_no_false_negatives():
     import numpy as np
 
