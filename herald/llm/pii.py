@@ -28,7 +28,7 @@ from herald.scale import keyed_join, settle
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT, CONFIDENT, ROUNDS = 3, 0.5, 3
-#: Characters in front of a match in which its two words have to lie.
+#: Characters in front of a match that are read for its two words first.
 REACH = 200
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -101,9 +101,12 @@ def left_words(text: str, start: int) -> str | None:
     """The two words in front, lower-cased; None where the match does not follow white space."""
     if not start or text[start - 1] not in SPACES:
         return None
-    words = text[max(0, start - REACH):start].lower().encode().split()[-3:]
-    whole = len(words) > 2 or start <= REACH
-    return b" ".join(words[-2:]).decode() if len(words) > 1 and whole else None
+    reach = REACH
+    words = text[max(0, start - reach):start].lower().encode().split()[-3:]
+    while len(words) < 3 and reach < start:  # the first one may be cut
+        reach *= 2
+        words = text[max(0, start - reach):start].lower().encode().split()[-3:]
+    return b" ".join(words[-2:]).decode() if len(words) > 1 else None
 
 
 def value(kind: str, text: str) -> str:

@@ -193,6 +193,15 @@ def test_pii_frequent_words_are_no_pattern(spark):
     assert all(r.n_found == 0 for r in got)
 
 
+def test_pii_contexts_of_very_long_words(spark):
+    long = "https://" + "a" * 900
+    assert pii.left_words(f"mail VIA {long} x", len(long) + 10) == f"via {long}"
+    assert pii.left_words(f"{long} x", len(long) + 1) is None
+    rows = [(i, f"mail via {long} a{i}@b.co now") for i in range(5)] + [(9, f"mail via {long} joe [at] b.co now")]
+    got = {r.doc_id: r.n_found for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: int(i == 9) for i in [*range(5), 9]}
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_near_duplicates_equal_all_pairs(spark, monkeypatch, small):
     import random
