@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm import bpe, chat, fingerprints, jaccard, line_dedup, mixing, ngram_lm, pii, quality, token_store
+from herald.llm import (bpe, chat, fingerprints, jaccard, line_dedup, mixing, ngram_lm, pii, quality,
+                        token_store, vector_queries)
 from herald.llm.common import new_folder, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,3 +196,8 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+for _f in vector_queries.QUERIES.values():
+    query(_f)
+ORACLES |= vector_queries.ORACLES
