@@ -107,20 +107,19 @@ def plan(n: int, dims: int, cosine: float, recall: float) -> Plan:
 # --- list decoding --------------------------------------------------------------------------
 
 @functools.lru_cache(maxsize=2)
-def code_words(p: Plan) -> list[list[np.ndarray]]:
-    """Per code and block: words (words x dims) as whole numbers, in the space of the vectors."""
+def code_words(p: Plan) -> list[np.ndarray]:
+    """Per block: words (codes x words x dims) as whole numbers, in the space of the vectors."""
     draw = np.random.Generator(np.random.PCG64(SEED))
-    size, out = p.dims // p.blocks, []
-    for _ in range(CODES):
+    size = p.dims // p.blocks
+    out = [np.empty((CODES, p.words, p.dims)) for _ in range(p.blocks)]
+    for c in range(CODES):
         turn, _ = np.linalg.qr(draw.standard_normal((p.dims, p.dims)))
-        blocks = []
         for b in range(p.blocks):
             # the last block takes what is left over
             part = turn[b * size:(b + 1) * size if b + 1 < p.blocks else p.dims]
             words = draw.standard_normal((p.words, len(part)))
             words /= np.linalg.norm(words, axis=1, keepdims=True) * math.sqrt(p.blocks)
-            blocks.append(np.rint(words @ part * (1 << _WORD_BITS)))
-        out.append(blocks)
+            out[b][c] = np.rint(words @ part * (1 << _WORD_BITS))
     return out
 
 
@@ -135,25 +134,29 @@ def units(x: np.ndarray) -> np.ndarray:
 
 
 def decode(unit: np.ndarray, p: Plan) -> tuple[np.ndarray, np.ndarray]:
-    """(row, filter) of every filter that takes a row; in order of the rows within a code."""
+    """(row, filter) of every filter that takes a row, in order of the rows. All codes are
+    walked at once: each row is one row per code."""
     whole = np.rint(unit * (1 << _VECTOR_BITS))
     need = math.ceil(p.threshold * (1 << _VECTOR_BITS + _WORD_BITS))
-    step = max(1, (1 << 22) // max(1, p.words * p.words))
+    step = max(1, (1 << 23) // (CODES * p.words * max(16, p.words // 4)))
     rows, filters = [], []
-    for c, blocks in enumerate(code_words(p)):
-        for start in range(0, len(whole), step):
-            part = whole[start:start + step]
-            dots = [part @ words.T for words in blocks]
-            most = [d.max(axis=1) for d in dots]
-            rest = [sum(most[b + 1:], np.zeros(len(part))) for b in range(p.blocks)]
-            row, code, sofar = np.arange(len(part)), np.full(len(part), c, np.int64), np.zeros(len(part))
-            for b in range(p.blocks):
-                at, word = np.nonzero(dots[b][row] + sofar[:, None] >= (need - rest[b][row])[:, None])
-                sofar = sofar[at] + dots[b][row[at], word]
-                row, code = row[at], code[at] * p.words + word
-            rows.append(row + start)
-            filters.append(code)
-    return np.concatenate(rows), np.concatenate(filters)
+    for start in range(0, len(whole), step):
+        part = whole[start:start + step]
+        dots = [(part @ words.reshape(-1, p.dims).T).reshape(-1, p.words) for words in code_words(p)]
+        rest = np.zeros(len(part) * CODES)  # the most that the blocks to come can add
+        goal = [np.full(len(rest), float(need))]
+        for d in dots[:0:-1]:
+            rest = rest + d.max(axis=1)
+            goal.append(need - rest)
+        row = np.arange(len(rest))
+        code, sofar = row % CODES, np.zeros(len(row))
+        for d, least in zip(dots, goal[::-1]):
+            at, word = np.nonzero(d[row] >= (least[row] - sofar)[:, None])
+            sofar = sofar[at] + d[row[at], word]
+            row, code = row[at], code[at] * p.words + word
+        rows.append(row // CODES + start)
+        filters.append(code)
+    return np.concatenate([np.empty(0, np.int64), *rows]), np.concatenate([np.empty(0, np.int64), *filters])
 
 
 # --- one block of a filter ------------------------------------------------------------------
@@ -262,8 +265,8 @@ def _decoded(each: DataFrame, p: Plan, carry: bool) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
                 row, name = decode(units(matrix(part.column("vector"), p.dims, np.float64)), p)
                 if carry:
                     for some in range(0, len(row), 20_000):
@@ -310,7 +313,7 @@ def links(each: DataFrame, p: Plan, cosine: float) -> DataFrame:
                                                  ["cid", "n", "root"])
 
     dealt = rows.repartition(tasks, *key).sortWithinPartitions(*key)
-    return settle_narrow(dealt.mapInArrow(work, "cid long, n long, root long"), "vector-links")
+    return settle(dealt.mapInArrow(work, "cid long, n long, root long"), "vector-links")
 
 
 def near_vectors(df: DataFrame, cosine: float = 0.9, recall: float = 0.999999) -> DataFrame:

@@ -159,7 +159,7 @@ def test_decoding_finds_all_filters():
     unit = caps.units(np.random.default_rng(2).standard_normal((50, 24)))
     got = set(zip(*(a.tolist() for a in caps.decode(unit, p))))
     want, need = set(), math.ceil(p.threshold * (1 << 34))
-    for c, (first, second) in enumerate(caps.code_words(p)):
+    for c, (first, second) in enumerate(zip(*caps.code_words(p))):
         whole = np.rint(unit * (1 << 20))
         dots = (whole @ first.T)[:, :, None] + (whole @ second.T)[:, None, :]
         want |= {(r, (c * p.words + i) * p.words + j) for r, i, j in np.argwhere(dots >= need).tolist()}
