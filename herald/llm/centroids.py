@@ -28,7 +28,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herald.llm.common import settle_narrow
 from herald.llm.vectors import WORK_BYTES, finite, floors, matrix
 from herald.scale import settle
 
@@ -165,7 +164,7 @@ def cluster(df: DataFrame, k: int = 8, rounds: int = 10, dims: int = 64, scale:
     centroids = fit(rows, k, rounds, seed)
     if not len(centroids):
         return spark.createDataFrame([], SCHEMA)
-    result = settle_narrow(assigned(rows, centroids), "clusters")
+    result = settle(assigned(rows, centroids), "clusters")
     sums = result.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("sum"))
     inertia = {r.cluster: int(r["sum"]) for r in sums.collect()}  # a row per centroid
     about = spark.createDataFrame(
