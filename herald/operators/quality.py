@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from herald import schemas
@@ -80,5 +80,30 @@ def run_stats(run_id: str, stages: dict[str, tuple[DataFrame, Column]]) -> DataF
     return functools.reduce(DataFrame.unionByName, rows)
 
 
+STATS_SCHEMA = "run_id string, stage string, rows_in bigint, kept bigint, rejected bigint"
+
+
+def watched(df: DataFrame, stage: str, keep: Column) -> tuple[DataFrame, Observation]:
+    """The same rows, counted while they are written for another reason.
+
+    Watch the last step before a write: below a range shuffle, which samples its input first,
+    or in a plan that two writes share, rows would be counted more than once. Filters above it
+    no longer reach the scan. Everything read once is counted for free.
+    """
+    seen = Observation(stage)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(keep).alias("kept")), seen
+
+
+def observed_stats(spark: SparkSession, run_id: str, seen: dict[str, Observation]) -> DataFrame:
+    """``run_stats`` of stages that were watched, without a scan. Their writes must be over: asking for
+    the counts of rows that nothing has read waits for ever."""
+    rows = []
+    for stage, observation in seen.items():
+        counts = observation.get
+        n, kept = counts["rows_in"], counts["kept"]
+        rows.append((run_id, stage, n, kept, n - kept))
+    return spark.createDataFrame(rows, STATS_SCHEMA)
+
+
 def append_run_stats(stats: DataFrame, path: str) -> None:
     stats.write.mode("append").parquet(path)

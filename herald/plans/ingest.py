@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from herald import schemas
@@ -49,13 +49,23 @@ def brought_columns(given: Sequence[str], with_segment: bool) -> list[str]:
     return [c for c in schemas.AUDIENCE.names if c in given - {"location_tag"} or c in derived]
 
 
+def new_member() -> dict[str, Column]:
+    """What a new member gets in columns that its list lacks."""
+    return {"in_segment": F.lit(0)}
+
+
+def known_batch(raw: DataFrame, lookup: DataFrame, segment_ids: DataFrame | None = None,
+                now: dt.datetime | None = None) -> DataFrame:
+    """What a list says about an audience that exists: prepared rows, only the columns it brings."""
+    prepared = prepare_contacts(raw, lookup, segment_ids, now)
+    return prepared.select(brought_columns(raw.columns, segment_ids is not None))
+
+
 def ingest_audience(raw: DataFrame, lookup: DataFrame, base: DataFrame | None = None,
                     segment_ids: DataFrame | None = None,
                     now: dt.datetime | None = None) -> DataFrame:
     """The audience after taking in ``raw``. A known member keeps what the list does not
     bring: columns it lacks, and always the A/B group. Defaults are for new members."""
-    prepared = prepare_contacts(raw, lookup, segment_ids, now)
     if base is None:
-        return prepared
-    columns = brought_columns(raw.columns, segment_ids is not None)
-    return upsert(base, prepared.select(columns), defaults={"in_segment": F.lit(0)})
+        return prepare_contacts(raw, lookup, segment_ids, now)
+    return upsert(base, known_batch(raw, lookup, segment_ids, now), defaults=new_member())

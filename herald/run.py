@@ -24,6 +24,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--dry-run", action="store_true", help="write nothing at all: audience, stock and messages stay as they are")
     parser.add_argument("--sync", help="delivery records as Parquet: weekly mail goes to contacts "
                         "past their welcome days")
+    parser.add_argument("--buckets", type=int, help="keep the audience in so many buckets, of which a run "
+                        "rewrites those that its list touches; about 256 MB each")
+    parser.add_argument("--only-changes", action="store_true",
+                        help="payloads only for contacts that changed since the run before")
     parser.add_argument("--picks", type=int, default=3)
     parser.add_argument("--shuffle-partitions", type=int, default=4096)
     parser.add_argument("--now", type=dt.datetime.fromisoformat, help="time of the run, for replays")
@@ -40,9 +44,10 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     pages = None if args.skip_scrape or not args.pages else spark.read.parquet(args.pages)
     ids = table(args.segment_ids, schemas.SEGMENT_IDS) if args.segment_ids else None
-    result = weekly_run(spark, Store(args.store), args.csv, metro_areas(spark),
+    result = weekly_run(spark, Store(args.store, args.buckets), args.csv, metro_areas(spark),
                         table(args.shops, schemas.SHOPS), pages, ids, args.now, args.picks,
-                        args.dry_run, spark.read.parquet(args.sync) if args.sync else None)
+                        args.dry_run, spark.read.parquet(args.sync) if args.sync else None,
+                        args.only_changes)
     result["stats"].show(truncate=False)
 
 

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from herald.scale import fits_broadcast, remove, settle
+from herald.scale import fits_broadcast, keyed_join, remove, settle
 
 SINCE_COLUMNS = ["member_id", "first_name", "last_name", "email", "location_raw", "in_segment"]
 
@@ -30,6 +30,24 @@ def contacts_since(spark: SparkSession, table: str, since: dt.date) -> DataFrame
             .filter((F.col("in_segment") == 1) & after).select(*SINCE_COLUMNS))
 
 
+def append_batch(contacts: DataFrame, table: str) -> None:
+    """Add a batch to one table of all batches, which is partitioned by the day of arrival."""
+    day = F.coalesce(F.col("ingested_at").cast("date").cast("string"), F.lit("none")).alias("arrived")
+    rows = contacts.select("*", day).hint("rebalance", F.col("arrived"))
+    rows.write.mode("append").partitionBy("arrived").format("parquet").saveAsTable(table)
+
+
+def arrived_since(spark: SparkSession, table: str, since: dt.date) -> DataFrame:
+    """``contacts_since`` over the table of all batches: only days after ``since``, and that day itself past
+    midnight, are opened; the rest of the table is not listed as input, let alone read."""
+    if since is None:
+        raise ValueError("since date is missing")
+    later = (F.col("arrived") >= F.lit(since.isoformat())) & (F.col("arrived") != "none")
+    after = F.col("ingested_at") > F.lit(since).cast("timestamp_ntz")
+    return (named_table(spark, table).filter(later)
+            .filter((F.col("in_segment") == 1) & after).select(*SINCE_COLUMNS))
+
+
 def count_rows(spark: SparkSession, table: str) -> int:
     return named_table(spark, table).count()
 
@@ -141,22 +159,24 @@ def _version_path(path: str, version: int) -> str:
 
 def latest_version(spark: SparkSession, path: str) -> int:
     """The newest version that was written to the end; 0 if there is none."""
-    done = [v for v in _versions(spark, path)
-            if exists(spark, f"{_version_path(path, v)}/_SUCCESS")]
-    return done[-1] if done else 0
+    return max(complete_versions(spark, path), default=0)
 
 
-def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = (), keep: int | None = None) -> str:
+def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = (), keep: int | None = None,
+            watch: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Write the next full version. Readers see it once it is complete; the version being
     read is never overwritten, so a run may replace the table it reads from. With ``keep``, only
     so many versions stay, the new one included; unfinished older ones go too.
 
     ``cluster_by`` sorts the files by these columns, so that filters on them skip most row
-    groups. End with the key: a hot leading value then spans many files.
+    groups. End with the key: a hot leading value then spans many files. ``watch`` sees the
+    rows as they are written, each once.
     """
     spark = df.sparkSession
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    if watch:
+        df = watch(df)
     target = _version_path(path, max(_versions(spark, path), default=0) + 1)
     df.write.parquet(target)
     if keep:
@@ -165,10 +185,15 @@ def publish(df: DataFrame, path: str, cluster_by: Sequence[str] = (), keep: int
     return target
 
 
-def current(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete version, or None."""
-    version = latest_version(spark, path)
-    return spark.read.parquet(_version_path(path, version)) if version else None
+def complete_versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions that were written to the end, oldest first."""
+    return [v for v in _versions(spark, path) if exists(spark, f"{_version_path(path, v)}/_SUCCESS")]
+
+
+def current(spark: SparkSession, path: str, back: int = 0) -> DataFrame | None:
+    """The newest complete version, or the one ``back`` versions before it; None if there is none."""
+    done = complete_versions(spark, path)
+    return spark.read.parquet(_version_path(path, done[-1 - back])) if len(done) > back else None
 
 
 def replace_inventory(df: DataFrame, path: str, keep: int | None = None) -> str:
@@ -205,6 +230,8 @@ def read_with_fallback(spark: SparkSession, paths: Sequence[str],
 
 
 def fill_from_previous(now: DataFrame, previous: DataFrame, key: str) -> DataFrame:
-    """For a partial delivery: this run's rows plus earlier rows whose key is absent."""
-    kept = previous.join(now.select(key), key, "left_anti")
+    """For a partial delivery: this run's rows plus earlier rows whose key is absent. Keys such as
+    shops are few and hot, so the earlier rows meet each present key once."""
+    present = now.select(key).filter(F.col(key).isNotNull()).distinct()
+    kept = keyed_join(previous, settle(present, "present-keys"), [key], "left_anti")
     return now.unionByName(kept.select(*now.columns))
