@@ -37,3 +37,52 @@ def register_region_functions(spark: SparkSession, audience: DataFrame | str, pr
     _table_function(spark, f"{prefix}assign_ab_groups", source, "", ASSIGNED)
     ready = " AND in_segment = 1 AND email IS NOT NULL AND first_name IS NOT NULL"
     _table_function(spark, f"{prefix}export_region_audience", source, ready, EXPORTED)
+
+
+# Queries over a table whose name is data. The name is one identifier, whatever it holds, and the
+# values are parameters, so nothing of a call is ever read as SQL. A missing argument is an error.
+_ONE_NAME = "'`' || replace(:table_name, '`', '``') || '`'"
+QUERIES = {
+    "count_rows": f"SELECT count(*) AS n_rows FROM IDENTIFIER({_ONE_NAME})",
+    # without a date there is no name either, so the call fails even on an empty table
+    "contacts_since": (
+        "SELECT member_id, first_name, last_name, email, location_raw, in_segment "
+        f"FROM IDENTIFIER(CASE WHEN :since_date IS NOT NULL THEN {_ONE_NAME} END) "
+        "WHERE in_segment = 1 AND ingested_at > CAST(CAST(:since_date AS DATE) AS TIMESTAMP_NTZ)"),
+}
+
+
+def register_named_table_queries(spark: SparkSession, prefix: str = "") -> None:
+    """Session variables ``count_rows`` and ``contacts_since`` that hold queries over a named table, for SQL users:
+
+        EXECUTE IMMEDIATE contacts_since USING 'batch_2024_06' AS table_name, DATE'2024-05-01' AS since_date;
+        EXECUTE IMMEDIATE count_rows INTO n USING 'batch_2024_06' AS table_name;
+
+    A table function cannot take the name: its body is resolved when it is made.
+    """
+    for name, text in QUERIES.items():
+        literal = text.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"DECLARE OR REPLACE VARIABLE {prefix}{name} STRING DEFAULT '{literal}'")
+
+
+def count_named_tables(spark: SparkSession, names: list[str]) -> DataFrame:
+    """(table_name, n_rows) of tables whose names are data, as one SQL script: a loop over the names,
+    with a row added to the result for each."""
+    register_named_table_queries(spark, "herald_")
+    spark.sql("DECLARE OR REPLACE VARIABLE herald_names ARRAY<STRING>")
+    marks = ", ".join(f":n{i}" for i in range(len(names)))
+    spark.sql(f"SET VAR herald_names = array({marks})", args={f"n{i}": n for i, n in enumerate(names)})
+    spark.sql("DECLARE OR REPLACE VARIABLE herald_counts ARRAY<STRUCT<table_name: STRING, n_rows: BIGINT>> DEFAULT array()")
+    spark.sql("""
+        BEGIN
+          DECLARE i INT DEFAULT 0;
+          DECLARE n BIGINT;
+          DECLARE name STRING;
+          WHILE i < size(herald_names) DO
+            SET name = herald_names[i];
+            EXECUTE IMMEDIATE herald_count_rows INTO n USING name AS table_name;
+            SET herald_counts = array_append(herald_counts, named_struct('table_name', name, 'n_rows', n));
+            SET i = i + 1;
+          END WHILE;
+        END""")
+    return spark.sql("SELECT inline(herald_counts)")

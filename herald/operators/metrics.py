@@ -280,3 +280,51 @@ def _line(metric: str, now: Column, before: Column, delta: Column, unit: str) ->
     return F.struct(F.lit(metric).alias("metric"), now.alias("current_value"),
                     before.alias("previous_value"), delta.alias("delta"),
                     F.lit(unit).alias("unit"))
+
+
+# --- unique openers --------------------------------------------------------------------
+
+#: Registers of a sketch as a power of two: the estimate deviates by about 1.6% (one standard error).
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def daily_openers(audience: DataFrame, events: DataFrame) -> DataFrame:
+    """(day, journey, location_tag, openers, sketch): members who opened on a day, exactly, and a sketch
+    of them that can be united over days, journeys and locations. Repeated opens count once; contacts
+    without a location are a location of NULL.
+
+    Members and days are told apart before the join, so a member who opens all day is one row.
+    """
+    opens = (events.filter(p.is_event("open") & F.col("member_id").isNotNull())
+             .select("member_id", p.campaign_family().alias("journey"), F.col("event_at").cast("date").alias("day"))
+             .filter(F.col("journey").isNotNull() & F.col("day").isNotNull()).distinct())
+    place = audience.select("member_id", "location_tag")
+    return (opens.join(place, "member_id", "left").groupBy("day", "journey", "location_tag")
+            .agg(F.count_distinct("member_id").alias("openers"),
+                 F.hll_sketch_agg("member_id", F.lit(SKETCH_BITS)).alias("sketch")))
+
+
+def trailing_openers(daily: DataFrame, as_of: dt.date, days: tuple[int, ...] = (7, 30, 90)) -> DataFrame:
+    """(days, journey, openers_estimate): different openers of the windows that end before ``as_of``, from the
+    daily sketches alone: one pass over a row per day, journey and location, whatever the events are."""
+    spans = F.explode(F.array(*[F.lit(n) for n in days])).alias("days")
+    rows = daily.select(spans, "day", "journey", "sketch")
+    back = F.date_diff(F.lit(as_of), F.col("day"))
+    rows = rows.filter((back >= 1) & (back <= F.col("days")))
+    return rows.groupBy("days", "journey").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("openers_estimate"))
+
+
+def unique_rates(events: DataFrame) -> DataFrame:
+    """(journey, recipients, openers, clickers, unique_open_rate, unique_ctr): members, not events, so that
+    no rate is above 100. A member counts as recipient of a journey once something was delivered; openers
+    and clickers are counted among them."""
+    per_member = (events.filter(F.col("member_id").isNotNull()).withColumn("journey", p.campaign_family())
+                  .filter(F.col("journey").isNotNull()).groupBy("journey", "member_id")
+                  .agg(*[F.bool_or(p.is_event(kind)).alias(name) for name, kind in
+                         (("got", "delivered"), ("opened", "open"), ("clicked", "click"))]))
+    counts = per_member.filter("got").groupBy("journey").agg(
+        F.count(F.lit(1)).alias("recipients"), _count(F.col("opened"), "openers"), _count(F.col("clicked"), "clickers"))
+    return counts.select("*", pct(F.col("openers"), F.col("recipients")).alias("unique_open_rate"),
+                         pct(F.col("clickers"), F.col("recipients")).alias("unique_ctr"))

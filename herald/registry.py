@@ -329,8 +329,10 @@ def _window(column: str, first: str, end: str) -> str:
     return f"{column} >= TIMESTAMP '{first}' AND {column} < TIMESTAMP '{end}'"
 
 
-def _delta_sql() -> str:
-    now, before = ("2024-01-24", "2024-01-31"), ("2024-01-17", "2024-01-24")
+def _delta_sql(sources: tuple[str, str, str] = ("audience", "delivery_sync", "email_events"),
+               starts: tuple[str, str] = ("2024-01-24", "2024-01-17")) -> str:
+    now, before = (starts[0], "2024-01-31"), (starts[1], starts[0])
+    people, flow, mail = sources
 
     def counted(table: str, column: str, test: str) -> str:
         return ", ".join(
@@ -339,7 +341,7 @@ def _delta_sql() -> str:
 
     def rate(kind: str) -> str:
         return ", ".join(
-            f"(SELECT {_pct(_n(kind), _n('delivered'))} FROM email_events "
+            f"(SELECT {_pct(_n(kind), _n('delivered'))} FROM {mail} "
             f"WHERE {_JOURNEY} IS NOT NULL AND {_window('event_at', *w)}) AS {name}"
             for name, w in (("c", now), ("b", before)))
 
@@ -347,9 +349,9 @@ def _delta_sql() -> str:
     change = (f"(CASE WHEN c < b THEN -1 ELSE 1 END) * ({_tenths('abs(c - b)', 'b')}) "
               "/ 10.0::DOUBLE")
     lines = [
-        ("ingested", counted("audience", "ingested_at", "true"), change, "percent"),
-        ("qualified", counted("audience", "ingested_at", _QUALIFIED), change, "percent"),
-        ("active", counted("delivery_sync", "synced_at", active), change, "percent"),
+        ("ingested", counted(people, "ingested_at", "true"), change, "percent"),
+        ("qualified", counted(people, "ingested_at", _QUALIFIED), change, "percent"),
+        ("active", counted(flow, "synced_at", active), change, "percent"),
         ("open_rate", rate("open"), "(round(10 * c) - round(10 * b)) / 10.0::DOUBLE", "points"),
         ("ctr", rate("click"), "(round(10 * c) - round(10 * b)) / 10.0::DOUBLE", "points"),
     ]
@@ -384,10 +386,10 @@ def _(spark, sf_dir, inventory, shops):
     return alerts.low_inventory(inventory, shops=shops, include_ok=True)
 
 
-def _engagement_sql(threshold: str, label: str) -> str:
+def _engagement_sql(threshold: str, label: str, people: str = "audience", mail: str = "email_events") -> str:
     return f"""
 , opened AS (SELECT location_tag, count(*) AS n, {_n('open')} AS o
-             FROM audience JOIN email_events USING (member_id)
+             FROM {people} JOIN {mail} USING (member_id)
              WHERE location_tag IS NOT NULL GROUP BY 1)
 SELECT location_tag, {_pct('o', 'n')} AS open_rate,
        CASE WHEN o < {threshold} * n THEN 'WARNING: Below {label}%' ELSE 'OK' END AS alert
@@ -1360,3 +1362,6 @@ def _(spark, sf_dir, audience, batch):
         stream = streams.file_stream(spark, inbox, schemas.AUDIENCE)
         merged = streams.ingest_contacts(stream, store, state)
     return merged.select(*_CONTACT_COLUMNS)
+
+
+from herald import registry_updates  # noqa: E402, F401  (registers its queries)

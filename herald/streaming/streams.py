@@ -10,6 +10,7 @@ from herald.functions import predicates as p
 from herald.functions.rates import pct
 from herald.functions.times import instant, zoneless
 from herald.scale import fresh_path, remove
+from herald.sources.buckets import BucketTable
 from herald.sources.tables import current, exists, latest_per_key, latest_version, publish, upsert
 
 
@@ -25,16 +26,21 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: s
 
 
 def ingest_contacts(contacts: DataFrame, store_path: str, checkpoint: str,
-                    key: str = "member_id", order: str = "ingested_at") -> DataFrame | None:
+                    key: str = "member_id", order: str = "ingested_at", keep: int = 4,
+                    buckets: int | None = None) -> DataFrame | None:
     """Take in every contact that has arrived, then merge them into the store once.
 
     Batches are only set aside as they come, one row per key each, under a folder named after
     the version they follow: rewriting a large base per batch would cost the base each time. A
     replayed batch overwrites itself. If a run dies before the merge, the version has not
-    moved on, so the next run merges what was set aside together with its own.
+    moved on, so the next run merges what was set aside together with its own. The newest ``keep``
+    versions stay. With ``buckets`` the store is a table of so many, and the merge rewrites only those
+    that the arrivals touch.
     """
     spark = contacts.sparkSession
-    pending = f"{store_path}/pending/after={latest_version(spark, store_path)}"
+    table = BucketTable(store_path, key, buckets) if buckets else None
+    version = max(table.versions(spark), default=0) if table else latest_version(spark, store_path)
+    pending = f"{store_path}/pending/after={version}"
 
     def set_aside(batch: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(batch.filter(F.col(key).isNotNull()), key, [order])
@@ -46,10 +52,13 @@ def ingest_contacts(contacts: DataFrame, store_path: str, checkpoint: str,
         schema = StructType([*contacts.schema.fields, StructField("batch", LongType())])
         arrived = spark.read.schema(schema).parquet(pending)
         fresh = latest_per_key(arrived, key, [order, "batch"]).drop("batch")
-        base = current(spark, store_path)
-        publish(fresh if base is None else upsert(base, fresh, key, order), store_path)
+        if table:
+            table.merge(fresh, order, keep=keep)
+        else:
+            base = current(spark, store_path)
+            publish(fresh if base is None else upsert(base, fresh, key, order), store_path, keep=keep)
         remove(spark, pending)  # merged: the version has moved on
-    return current(spark, store_path)
+    return table.read(spark) if table else current(spark, store_path)
 
 
 def _with_watermark(events: DataFrame, delay: str) -> DataFrame:
@@ -104,6 +113,36 @@ def sliding_rates(events: DataFrame, days: int = 7, delay: str | None = None) ->
     return _with_rates(counts, delay)
 
 
+# --- deliveries and what became of them -------------------------------------------------
+
+def _kind(events: DataFrame, kind: str, delay: str | None) -> DataFrame:
+    rows = events.filter(p.is_event(kind) & F.col("member_id").isNotNull() & F.col("campaign_id").isNotNull())
+    return _with_watermark(rows, delay) if delay else rows
+
+
+def delivery_opens(events: DataFrame, within: str = "2 days", delay: str | None = None) -> DataFrame:
+    """(delivery_id, member_id, campaign_id, delivered_at, open_id, opened_at): every delivery with each
+    open by the same member of the same campaign in the time ``within`` after it; without one, the open is NULL.
+
+    Works on a table and, with ``delay``, on a stream: a left outer join of two streams that keeps a
+    delivery as state until the watermark of both is past its last possible open. Then an unopened
+    delivery comes out, once, and its state goes; opens go as soon as no delivery can need them. Events later than
+    ``delay`` are dropped. State is dealt out by member and campaign.
+    """
+    sent, opened = _kind(events, "delivered", delay), _kind(events, "open", delay)
+    left = sent.select(F.col("event_id").alias("delivery_id"), "member_id", "campaign_id",
+                       F.col("event_at").alias("delivered_at"))
+    right = opened.select(F.col("event_id").alias("open_id"), F.col("member_id").alias("open_member"),
+                          F.col("campaign_id").alias("open_campaign"), F.col("event_at").alias("opened_at"))
+    same = ((F.col("member_id") == F.col("open_member")) & (F.col("campaign_id") == F.col("open_campaign"))
+            & (F.col("opened_at") >= F.col("delivered_at"))
+            & (F.col("opened_at") <= F.col("delivered_at") + F.expr(f"INTERVAL {within}")))
+    rows = left.join(right, same, "left").drop("open_member", "open_campaign")
+    if delay:
+        rows = rows.withColumns({c: zoneless(F.col(c)) for c in ("delivered_at", "opened_at")})
+    return rows
+
+
 def drain(stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over what has arrived and return what it appended."""
     spark = stream.sparkSession
