@@ -22,24 +22,27 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from herald.llm.bpe import byte_letters
-from herald.llm.common import pieces, texts, utf8
+from herald.llm.common import pieces, texts
 from herald.scale import keyed_join
 
 END_ID = 2
 BLOCK_IDS = 2_000_000
 #: Pairs replaced per round at most, and how often a pair has to occur.
 PAIRS, FREQUENT = 4096, 32
-REMEMBERED, LONGEST = 400_000, 64
+#: Words whose ids are kept from one piece of texts to the next, and what they may take.
+REMEMBERED, REMEMBERED_BYTES = 400_000, 64 << 20
+#: Texts are encoded in pieces of about so many bytes, each distinct word of one once.
+ENCODED_BYTES = 16 << 20
 
 BLOCKS = ("part int, block int, n_ids bigint, doc_ids array<bigint>, doc_ids_count array<int>, "
           "doc_symbols array<int>, first_rule int, rules binary, rounds array<int>, lengths binary, "
@@ -51,6 +54,7 @@ _NAMES = [c.split()[0] for c in BLOCKS.split(", ")]
 
 #: Words that need no Unicode rules: Latin letters up to U+012F, ASCII digits and signs.
 PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+")
+ALL_PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\n]*")
 #: The parts of a lower-cased plain word (the tokenizer's fixed pattern on those characters).
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u012f]+|[0-9]|[!-/:-@\[-`{-~]+")
 
@@ -84,33 +88,19 @@ class PlainWords:
         self.table = np.array(self.ids, np.int64).astype("<u4")
         self.ends = np.array([raw.endswith(mark) for raw, _ in order])
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        """The ids of each word as bytes; all words in one call."""
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after the other, and how many each has. Every part gets its mark
+        in one substitution over the words in lines; how many marks stand before a line's end tells the
+        words apart again."""
         if not words:
-            return []
-        parts = list(map(PARTS.findall, map(str.lower, words)))
-        marked = self.mark.join([*chain.from_iterable(parts), ""])
-        ranks = np.array(self.tool.encode_ordinary(marked), np.int64)
-        part_ends = np.flatnonzero(self.ends[ranks]) + 1
-        ends = (4 * part_ends[np.cumsum(list(map(len, parts))) - 1]).tolist()
-        raw = self.table[ranks].tobytes()
-        return [raw[i:j] for i, j in zip([0, *ends], ends)]
-
-
-#: Closes a text in the list of its words: no word is white space.
-CLOSE = b" "
-
-
-class Codes(dict):
-    """Numbers of words in the order in which they are met."""
-
-    next, new = 0, ()
-
-    def __missing__(self, word: bytes) -> int:
-        code = self[word] = self.next
-        self.next += 1
-        self.new.append(word)
-        return code
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        marked = PARTS.sub(rf"\g<0>{self.mark}", "\n".join(words).lower())
+        points = np.frombuffer(marked.encode("utf-32-le"), "<u4")
+        parts = np.cumsum(points == ord(self.mark))
+        parts = np.append(parts[points == ord("\n")], parts[-1])
+        ranks = np.array(self.tool.encode_ordinary(marked.replace("\n", "")), np.int64)
+        ends = (np.flatnonzero(self.ends[ranks]) + 1)[parts - 1]
+        return self.table[ranks], np.diff(ends, prepend=0)
 
 
 class WordEncoder:
@@ -127,54 +117,85 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
-        self.codes = Codes()
         self.forget()
 
     def forget(self) -> None:
-        self.codes.clear()
-        self.codes.next, self.codes.new = 1, []
-        self.codes[CLOSE] = 0
+        """A word's code is its place among ``words`` and one: 0 closes a text."""
+        self.words = pa.array([], pa.string())
         self.flat, self.ends = np.array([END_ID], "<u4"), np.array([0, 1])
 
-    def learn(self, words: list[bytes]) -> None:
-        """Append the ids of new words, in the order of their codes."""
-        plain, ids = [], [b""] * len(words)
-        rest, simple = [], PLAIN.fullmatch
-        for i, word in enumerate(words):
-            text = word.decode()
-            (plain if simple(text) and "<|" not in text else rest).append((i, text))
-        for (i, _), raw in zip(plain, self.plain.encode([t for _, t in plain])):
-            ids[i] = raw
-        for start in range(0, len(rest), 4096):
-            some = rest[start:start + 4096]
-            encoded = self.tokenizer.encode_batch_fast([t for _, t in some], add_special_tokens=False)
-            for (i, _), encoding in zip(some, encoded):
-                ids[i] = array("I", encoding.ids).tobytes()
-        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
-        ends = self.ends[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
-        self.ends = np.concatenate([self.ends, ends])
-
-    def encode(self, texts_: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text with the end id: a code per word, then a gather of their ids."""
-        if len(self.codes) > REMEMBERED:
+    def learn(self, words: pa.Array) -> None:
+        """Append new words and their ids."""
+        self.words = pa.concat_arrays([self.words, words])
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_py()
+        names = text.split("\n")
+        if ALL_PLAIN.fullmatch(text) and "<|" not in text:
+            ids, counts = self.plain.encode(names)
+        else:
+            simple = np.array([bool(PLAIN.fullmatch(n)) and "<|" not in n for n in names])
+            rest = [names[i] for i in np.flatnonzero(~simple)]
+            own: list[list[int]] = []
+            for start in range(0, len(rest), 4096):
+                encoded = self.tokenizer.encode_batch_fast(rest[start:start + 4096], add_special_tokens=False)
+                own += [e.ids for e in encoded]
+            ids, plain_counts = self.plain.encode([names[i] for i in np.flatnonzero(simple)])
+            ids = np.concatenate([ids, np.fromiter(chain.from_iterable(own), "<u4")])
+            both = np.concatenate([plain_counts, np.fromiter(map(len, own), np.int64, len(own))])
+            order = np.argsort(np.concatenate([np.flatnonzero(simple), np.flatnonzero(~simple)]))
+            starts = (np.cumsum(both) - both)[order]
+            counts = both[order]
+            ids = ids[_ranges(starts, counts)]
+        self.flat = np.concatenate([self.flat, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+
+    def encode(self, texts_: pa.Array | list[bytes]) -> list[np.ndarray]:
+        """The ids of each text with the end id: a code per distinct word, then a gather of their ids."""
+        if not len(texts_):
+            return []
+        if len(self.words) > REMEMBERED or self.words.nbytes > REMEMBERED_BYTES:
             self.forget()
-        # the vocabulary is lower case; the strings of special tokens are not
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts_]
-        for own in words:
-            own.append(CLOSE)
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(words)), np.int64, counts.sum())
-        new, self.codes.new = self.codes.new, []
-        if new:
+        whole = pa.array(texts_, pa.binary()).view(pa.string()) if isinstance(texts_, list) else texts_
+        words, counts = _words(whole)
+        distinct = words.dictionary_encode()
+        names = distinct.dictionary
+        place = pc.index_in(names, value_set=self.words)
+        if place.null_count:
+            new = names.filter(pc.is_null(place))
+            known = place.fill_null(-1).to_numpy().astype(np.int64)
+            known[known < 0] = len(self.words) + np.arange(len(new))
             self.learn(new)
+        else:
+            known = place.to_numpy().astype(np.int64)
+        until = np.cumsum(counts + 1)
+        codes = np.zeros(until[-1], np.int64)
+        inside = np.ones(len(codes), bool)
+        inside[until - 1] = False
+        if len(names):
+            codes[inside] = known[distinct.indices.to_numpy()] + 1
         starts = self.ends[codes]
         sizes = self.ends[codes + 1] - starts
-        until = np.cumsum(sizes)
-        place = np.repeat(starts - (until - sizes), sizes) + np.arange(until[-1] if len(until) else 0)
-        for word in new:
-            if len(word) > LONGEST:
-                del self.codes[word]
-        return np.split(self.flat[place], until[np.cumsum(counts) - 1][:-1]) if texts_ else []
+        return np.split(self.flat[_ranges(starts, sizes)], np.cumsum(sizes)[until - 1][:-1])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each start, as many as its size says."""
+    until = np.cumsum(sizes)
+    return np.repeat(starts - (until - sizes), sizes) + np.arange(until[-1] if len(until) else 0)
+
+
+def _words(whole: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words, and how many each text has. The vocabulary is lower case; the strings of special
+    tokens are not, so texts that could hold one stay as they are."""
+    special = pc.match_substring(whole, "<|")
+    lower = pc.ascii_lower(whole)
+    if pc.any(special).as_py():
+        lower = pc.if_else(special, whole, lower)
+    lists = pc.ascii_split_whitespace(lower)
+    words = lists.flatten()
+    there = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word
+    before = np.concatenate(([0], np.cumsum(there.to_numpy(zero_copy_only=False))))
+    edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    return words.filter(there), np.diff(before[edges])
 
 
 TABLE_BITS = 20
@@ -197,15 +218,24 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int):
     last = np.zeros(len(seq), bool)
     last[ends - 1] = True
     rules, rounds = np.empty((0, 2), np.uint64), []
+    whole, made = True, 0  # whether all pairs are counted, and the first symbol of the last round
     while True:  # each round shortens the block
         pairs = (seq[:-1] << np.uint64(32)) | seq[1:]
-        inside = ~last[:-1]
-        ordered = np.sort(pairs[inside])
+        # A pair of older symbols only gets rarer. Unless some that were frequent had to wait, what is
+        # frequent now has a symbol of the last round.
+        look = ~last[:-1]
+        if not whole:
+            new = seq >= np.uint64(made)
+            look &= new[:-1] | new[1:]
+        where = np.flatnonzero(look)
+        some = pairs[where]
+        ordered = np.sort(some)
         first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))[:len(ordered)])
         counts = np.diff(first, append=len(ordered))
         often = np.flatnonzero(counts >= FREQUENT)
         if not len(often):
             break
+        frequent = len(often)
         often = often[np.argsort(-counts[often], kind="stable")[:PAIRS]]
         chosen = np.sort(ordered[first[often]])
         # a table by hash finds a pair's rule; of two pairs in one place, one waits for a later round
@@ -214,12 +244,15 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int):
         table[place] = np.arange(len(chosen), dtype=np.int32)
         chosen = chosen[table[place] == np.arange(len(chosen))]
         table[(chosen * _SPREAD) >> _TABLE_SHIFT] = np.arange(len(chosen), dtype=np.int32)
-        at = table[(pairs * _SPREAD) >> _TABLE_SHIFT]
-        hits = np.flatnonzero((chosen[at] == pairs) & inside)
+        whole, made = frequent > len(chosen), first_rule + len(rules)
+        at = table[(some * _SPREAD) >> _TABLE_SHIFT]
+        hit = chosen[at] == some
+        hits, at = where[hit], at[hit]
         start = np.concatenate(([True], np.diff(hits) > 1))
         run = np.maximum.accumulate(np.where(start, np.arange(len(hits)), 0))
-        hits = hits[(np.arange(len(hits)) - run) % 2 == 0]  # neighbours overlap: every other one
-        seq[hits] = at[hits].astype(np.uint64) + np.uint64(first_rule + len(rules))
+        every_other = (np.arange(len(hits)) - run) % 2 == 0  # neighbours overlap
+        hits, at = hits[every_other], at[every_other]
+        seq[hits] = at.astype(np.uint64) + np.uint64(made)
         last[hits] = last[hits + 1]
         keep = np.ones(len(seq), bool)
         keep[hits + 1] = False
@@ -247,17 +280,25 @@ def lengths_of(symbols: np.ndarray, rule_len: np.ndarray, first_rule: int) -> np
     return out
 
 
+def expansions(rules: np.ndarray, rounds: list[int], lengths: np.ndarray, first_rule: int):
+    """(ids, where): the expansions of all rules one after the other, behind the ids that stand for
+    themselves, and where each symbol's begins. A round's rules use symbols of earlier rounds only."""
+    where = np.concatenate([np.arange(first_rule), first_rule + np.cumsum(lengths, dtype=np.int64) - lengths])
+    ids = np.empty(first_rule + int(lengths.sum(dtype=np.int64)), "<u4")
+    ids[:first_rule] = np.arange(first_rule)
+    for start, stop in zip([0, *rounds], rounds):
+        parts = rules[start:stop].astype(np.int64).reshape(-1)
+        sizes = lengths_of(parts, lengths, first_rule)
+        at = int(where[first_rule + start])
+        ids[at:at + int(sizes.sum())] = ids[_ranges(where[parts], sizes)]
+    return ids, where
+
+
 def expand(symbols: np.ndarray, rules: np.ndarray, rounds: list[int], first_rule: int) -> np.ndarray:
-    """Symbols back to ids, one round of rules after the other from the last."""
-    for start in [*rounds[:-1][::-1], 0][:len(rounds)]:
-        hit = symbols >= first_rule + start
-        size = np.where(hit, 2, 1)
-        out = np.repeat(symbols, size)
-        at = (np.cumsum(size) - size)[hit]
-        pair = rules[symbols[hit] - np.uint32(first_rule)]
-        out[at], out[at + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
+    """Symbols back to ids."""
+    lengths = rule_lengths(rules, rounds, first_rule)
+    ids, where = expansions(rules, rounds, lengths, first_rule)
+    return ids[_ranges(where[symbols], lengths_of(symbols, lengths, first_rule))]
 
 
 class Block:
@@ -272,13 +313,15 @@ class Block:
 
     def ids(self, start: int = 0, stop: int | None = None) -> np.ndarray:
         """The block's ids from ``start`` to ``stop``: only the symbols there are expanded."""
-        ends = np.cumsum(lengths_of(self.symbols, self.lengths, self.first_rule))
+        sizes = lengths_of(self.symbols, self.lengths, self.first_rule)
+        ends = np.cumsum(sizes)
         stop = int(ends[-1]) if stop is None else min(stop, int(ends[-1]))
         if start >= stop:
             return np.empty(0, "<u4")
         i, j = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
         before = int(ends[i - 1]) if i else 0
-        some = expand(self.symbols[i:j], self.rules, self.rounds, self.first_rule)
+        flat, where = expansions(self.rules, self.rounds, self.lengths, self.first_rule)
+        some = flat[_ranges(where[self.symbols[i:j]], sizes[i:j])]
         return some[start - before:stop - before]
 
 
@@ -308,15 +351,15 @@ def write_tokens(docs: DataFrame, path: str, folder: str) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         docs_, ids, size, number, part = [], [], 0, 0, 0
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=ENCODED_BYTES):
             part = batch.column("part")[0].as_py()
-            docs_ += batch.column("doc_id").to_pylist()
-            more = tool.encode(utf8(batch))
-            ids += more
-            size += sum(map(len, more))
-            if size >= BLOCK_IDS:
-                yield block(part, number, docs_, ids, tool.size)
-                docs_, ids, size, number = [], [], 0, number + 1
+            for doc, own in zip(batch.column("doc_id").to_pylist(), tool.encode(batch.column("text"))):
+                docs_.append(doc)
+                ids.append(own)
+                size += len(own)
+                if size >= BLOCK_IDS:
+                    yield block(part, number, docs_, ids, tool.size)
+                    docs_, ids, size, number = [], [], 0, number + 1
         if docs_:
             yield block(part, number, docs_, ids, tool.size)
 
