@@ -2,20 +2,27 @@
 
 Four kinds have base patterns, whose matches are seeds. A lexical pattern is the two words in
 front of a match. Patterns and the identifiers they introduce are the two sides of a graph:
-a pattern scores the share of its occurrences in the whole corpus that introduce identifiers,
-weighted by the identifiers' scores; an identifier that is no seed scores as its best pattern.
-After ``ROUNDS`` rounds the patterns with ``CONFIDENT`` and ``SUPPORT`` different seeds mark the
-identifier-like strings behind them, which no base pattern matches, as found.
+a pattern scores the share of its occurrences in the whole corpus that introduce known identifiers.
+One with ``CONFIDENT`` behind which ``SUPPORT`` different known identifiers stand is trusted, and
+what stands behind it is as good as a seed in the next round, so patterns grow from identifiers and
+identifiers from patterns until no pattern is trusted that was not before, or for ``ROUNDS`` rounds.
+Trusted patterns mark the identifier-like strings behind them, which no base pattern matches, as found:
+numbers of 6 to 19 digits, spelled-out addresses, and IP addresses with bracketed or spelled dots.
 
 Base spans are never dropped and found ones never overlap them. NULL and empty texts have no
-spans. Every row is judged on its own, also where ids repeat or are NULL.
+spans. Every row is judged on its own, also where ids repeat or are NULL; repeated rows are counted
+as often as they occur. Very long texts, words and runs of digits are read in one pass each. A candidate that could
+be of several kinds is of the surest, a tie going to the later name. An empty table gives no rows. Other
+columns than ``doc_id`` and ``text`` are not looked at.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +34,7 @@ from herald.llm.common import SPACES, mapped, new_folder, pieces, put, texts, ut
 from herald.scale import keyed_join, settle
 
 KINDS = ("email", "ip", "card", "phone")
-SUPPORT, CONFIDENT, ROUNDS = 3, 0.5, 3
+SUPPORT, CONFIDENT, ROUNDS = 3, 0.5, 8
 #: Characters in front of a match that are read for its two words first.
 REACH = 200
 
@@ -41,7 +48,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NUMBER = re.compile(r"(?<![\w@.+-])\(?[0-9](?:[ ().-]{0,2}[0-9])++(?![\w@])")
 _SPELLED = re.compile(r"(?<!\S)[A-Za-z0-9._%+-]++ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]++"
                       r"(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]++)+")
-LEAST_DIGITS = 6
+LEAST_DIGITS, MOST_DIGITS = 6, 19
+_DOT = r" ?(?:[\[({] ?(?:\.|dot|DOT) ?[\])}]| (?:dot|DOT) ) ?"
+_SPELLED_IP = re.compile(rf"(?<![\w.])[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?!\w)")
 
 
 def luhn(digits: str) -> bool:
@@ -51,6 +60,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def octet(digits: str) -> bool:
+    """Whether the number is at most 255; it may have any length."""
+    digits = digits.lstrip("0")
+    return len(digits) < 3 or (len(digits) == 3 and digits <= "255")
+
+
 def only_digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
@@ -74,7 +89,7 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) by start, then kind."""
     found = [(s, "email", e) for s, e in emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(map(octet, m.group().split("."))):
             found.append((m.start(), "ip", m.end()))
     for m in _CARD.finditer(text):
         digits = only_digits(m.group()) if m.end() - m.start() >= 14 else ""
@@ -90,11 +105,18 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
     """Identifier-like strings that overlap no base span, under every kind they could be."""
     found = [(m.start(), m.end(), ("card", "phone")) for m in _NUMBER.finditer(text)
-             if len(only_digits(m.group())) >= LEAST_DIGITS]
+             if LEAST_DIGITS <= len(only_digits(m.group())) <= MOST_DIGITS]
     if "at]" in text or "at)" in text or "AT]" in text or "AT)" in text:
         found += [(m.start(), m.end(), ("email",)) for m in _SPELLED.finditer(text)]
+    if "[" in text or "(" in text or "{" in text or " dot " in text or " DOT " in text:
+        found += [(m.start(), m.end(), ("ip",)) for m in _SPELLED_IP.finditer(text)
+                  if all(map(octet, re.findall("[0-9]+", m.group())))]
+    if not found:
+        return []
+    starts = [b for b, _, _ in base]  # in order
+    reach = list(accumulate((e for _, _, e in base), max, initial=0))  # the furthest end of those before
     return [(s, kind, e) for s, e, kinds in found
-            if not any(s < b_end and b_start < e for b_start, _, b_end in base) for kind in kinds]
+            if reach[bisect_left(starts, e)] <= s for kind in kinds]
 
 
 def left_words(text: str, start: int) -> str | None:
@@ -110,6 +132,9 @@ def left_words(text: str, start: int) -> str | None:
 
 
 def value(kind: str, text: str) -> str:
+    """What makes two spans the same identifier, however they are written."""
+    if kind == "ip":
+        return ".".join(d.lstrip("0") or "0" for d in re.findall("[0-9]+", text))
     return text.lower() if kind == "email" else only_digits(text)
 
 
@@ -184,33 +209,40 @@ def _matching(seen: Counter, wanted: list[np.ndarray]) -> Iterator[pa.RecordBatc
     yield pa.RecordBatch.from_arrays([pa.array(hashes[hit]), pa.array(times[hit])], ["hash", "times"])
 
 
-def learn(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
-          confident: float = CONFIDENT) -> DataFrame:
-    """(left, kind, confidence) of the patterns to be trusted."""
+def learn(docs: DataFrame, found: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT,
+          rounds: int = ROUNDS) -> DataFrame:
+    """(left, kind, confidence) of the trusted patterns.
+
+    Only words in front of ``support`` different identifiers, known or not, can ever be trusted; the corpus is
+    counted once, for these. A round is a pass over the graph that is left.
+    """
     edges = found.select(F.explode("spans").alias("s")).select("s.*").filter(F.col("left").isNotNull())
     edges = edges.groupBy("left", "kind", "value").agg(F.count(F.lit(1)).alias("times"),
                                                        F.max("seed").alias("seed"))
     edges = settle(edges, "pii-edges")
-    supported = (edges.filter("seed").groupBy("left", "kind").agg(F.count(F.lit(1)).alias("seeds"))
-                 .filter(F.col("seeds") >= support).select("left", "kind"))
-    supported = settle(supported, "pii-supported")
-    if supported.isEmpty():
-        return supported.withColumn("confidence", F.lit(1.0)).limit(0)
-    graph = settle(keyed_join(edges, supported, ["left", "kind"], "inner"), "pii-graph")
-    totals = occurrences(docs, supported)
-    scores = None
-    for _ in range(ROUNDS):
-        if scores is None:
-            rows = graph.withColumn("score", F.col("seed").cast("double"))
-        else:
-            best = keyed_join(graph.select("left", "kind", "value"), scores, ["left", "kind"], "inner")
-            best = best.groupBy("kind", "value").agg(F.max("confidence").alias("best"))
-            rows = keyed_join(graph, settle(best, "pii-best"), ["kind", "value"], "left").withColumn(
-                "score", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))))
-        hits = rows.groupBy("left", "kind").agg(F.sum(F.col("times") * F.col("score")).alias("hits"))
-        scores = settle(keyed_join(hits, totals, ["left"], "inner").select(
-            "left", "kind", (F.col("hits") / (F.col("total") + 1)).alias("confidence")), "pii-scores")
-    return scores.filter(F.col("confidence") >= confident)
+    possible = (edges.groupBy("left", "kind").agg(F.count(F.lit(1)).alias("values"))
+                .filter(F.col("values") >= support).select("left", "kind"))
+    possible = settle(possible, "pii-possible")
+    if possible.isEmpty():
+        return possible.withColumn("confidence", F.lit(1.0))
+    # a value that the base finds anywhere is a seed everywhere
+    known = settle(edges.filter("seed").select("kind", "value").distinct(), "pii-known")
+    graph = settle(keyed_join(edges.drop("seed"), possible, ["left", "kind"], "inner"), "pii-graph")
+    totals = occurrences(docs, possible)
+    trusted = None
+    for _ in range(rounds):
+        hits = keyed_join(graph, known, ["kind", "value"], "left_semi").groupBy("left", "kind").agg(
+            F.sum("times").alias("hits"), F.count(F.lit(1)).alias("support")).filter(F.col("support") >= support)
+        patterns = keyed_join(hits, totals, ["left"], "inner").select(
+            "left", "kind", (F.col("hits") / (F.col("total") + 1)).alias("confidence"))
+        patterns = settle(patterns.filter(F.col("confidence") >= confident), "pii-trusted")
+        before, trusted = trusted, patterns
+        # what is trusted stays so, and as many are the same ones
+        if patterns.isEmpty() or before is not None and patterns.count() == before.count():
+            break
+        behind = keyed_join(graph, patterns.select("left", "kind"), ["left", "kind"], "left_semi")
+        known = settle(known.union(behind.select("kind", "value")).distinct(), "pii-known")
+    return trusted
 
 
 def find(docs: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT) -> DataFrame:

@@ -129,3 +129,61 @@ def near(a, b, k=128):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def personal_data(rows, support=3, confident=0.5, rounds=8):
+    """Per row: base spans, and those that learned patterns add, by dictionaries over whole texts."""
+    from herald.llm import pii
+
+    spans, edges, seeds = [], collections.Counter(), set()
+    pairs = collections.Counter()
+    for text in rows:
+        text = text or ""
+        words_ = words(text)
+        pairs.update(zip(words_, words_[1:]))
+        base = pii.base_spans(text)
+        own = [(s, k, e, True) for s, k, e in base] + [(s, k, e, False) for s, k, e in pii.candidates(text, base)]
+        spans.append([])
+        for s, k, e, seed in own:
+            left = None
+            if s and text[s - 1] in " \t\n\x0b\x0c\r":
+                two = text[:s].lower().split()[-2:] if text[:s].isascii() else words(text[:s])[-2:]
+                left = tuple(w.encode() if isinstance(w, str) else w for w in two)
+                left = left if len(left) == 2 else None
+            v = (k, pii.value(k, text[s:e]))
+            spans[-1].append((s, k, e, seed, left, v))
+            if left:
+                edges[left, v] += 1
+                if seed:
+                    seeds.add(v)
+    score = collections.defaultdict(float, dict.fromkeys(seeds, 1.0))
+    trusted = {}
+    for _ in range(rounds):
+        hits, known = collections.Counter(), collections.Counter()
+        for (left, v), n in edges.items():
+            hits[left, v[0]] += n * score[v]
+            known[left, v[0]] += score[v] > 0
+        new = {p: hits[p] / (pairs[p[0]] + 1) for p in hits if known[p] >= support}
+        new = {p: c for p, c in new.items() if c >= confident}
+        stop = not new or (trusted and len(new) == len(trusted))
+        trusted = new
+        if stop:
+            break
+        for left, v in edges:
+            if (left, v[0]) in trusted:
+                score[v] = 1.0
+    out = []
+    for own in spans:
+        base = [(s, k, e) for s, k, e, seed, _, _ in own if seed]
+        best = {}
+        for s, k, e, seed, left, _ in own:
+            if not seed and (left, k) in trusted:
+                best[s, e] = max(best.get((s, e), (0.0, "")), (trusted[left, k], k))
+        out.append((base, [(s, k, e) for (s, e), (_, k) in best.items()]))
+    return out
+
+
+def spans_text(spans):
+    from herald.llm import pii
+
+    return ",".join(f"{k}:{s}:{e}" for s, k, e in sorted(spans, key=lambda x: (x[0], pii.KINDS.index(x[1]), x[2])))

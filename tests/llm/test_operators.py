@@ -202,6 +202,81 @@ def test_pii_contexts_of_very_long_words(spark):
     assert got == {i: int(i == 9) for i in [*range(5), 9]}
 
 
+LOCAL = [f"0{i}1 55{i}0 1{i}23" for i in range(1, 7)]
+
+
+def growing():
+    """Numbers behind "me at" are known by seeds; the same behind "office line:" make that known, and so on."""
+    rows = [f"please ring me at +1 555 010 {1000 + i} today" for i in range(12)]
+    rows += [f"you can ring me at {n} okay" for n in LOCAL]
+    rows += [f"the office line: {n} is new" for n in LOCAL] + ["the office line: 099 111 2222 is new"]
+    rows += [f"our fax is: 08{i} 33{i}1 400{i} also" for i in range(4)] + [f"office line: 08{i} 33{i}1 400{i}" for i in range(4)]
+    rows += ["her fax is: 077 123 9999 then", "score was 123456 points", "fax is: nothing"]
+    rows += [f"server address is 10.0.0.{i} now" for i in range(5)] + ["server address is 10[.]0[.]0[.]77 now",
+             "server address is 10 dot 0 dot 0 dot 78", "server address is 10[.]0[.]0[.]777", "x 10(dot)1(dot)1(dot)1"]
+    return rows
+
+
+def test_pii_patterns_grow(spark):
+    rows = growing()
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.report(df).collect()}
+
+    def found(text):
+        return got[rows.index(text)].n_found
+
+    assert found("you can ring me at " + LOCAL[0] + " okay") == 1
+    assert found("the office line: 099 111 2222 is new") == 1  # two steps from a seed
+    assert found("her fax is: 077 123 9999 then") == 1  # three steps
+    assert found("score was 123456 points") == 0 and found("fax is: nothing") == 0
+    assert got[rows.index("server address is 10[.]0[.]0[.]77 now")].spans == "ip:18:33"
+    assert found("server address is 10 dot 0 dot 0 dot 78") == 1
+    assert found("server address is 10[.]0[.]0[.]777") == 0 and found("x 10(dot)1(dot)1(dot)1") == 0
+    for i, (base, new) in enumerate(cases.personal_data(rows)):
+        assert got[i].spans == cases.spans_text(base + new)
+        assert got[i].base_sha256 == cases.sha(cases.spans_text(base))
+
+
+def test_pii_equals_brute_force(spark, rows):
+    """The whole query over the documents, and over documents with every identifier put in other words."""
+    import random
+
+    draw = random.Random(4)
+    kinds = {"write to": ["a{}@b.co", "joe{} [at] mail.org"], "call me": ["+44 20 7946 0{}", "020 7946 {}1"],
+             "card no": ["4111 1111 1111 1111", "5500 0000 0000 0004", "4012888888881881", "1234 5678 90{} 1"],
+             "host is": ["192.168.{}.4", "192[.]168[.]{}[.]4", "10 dot 0 dot {} dot 4"], "phone of": ["020 7946 {}1"]}
+    made = []
+    for i in range(600):
+        front = draw.choice(list(kinds))
+        what = draw.choice(kinds[front] + ["nobody"] * (i % 4 == 0)).format(draw.randint(10, 60))
+        made.append((10_000 + i, f"{draw.choice('abc')} {front} {what} then"))
+    every = [*rows, *made]
+    df = spark.createDataFrame(every, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.report(df).collect()}
+    n_found = 0
+    for (doc, _), (base, new) in zip(every, cases.personal_data([t for _, t in every])):
+        assert got[doc].spans == cases.spans_text(base + new), doc
+        assert got[doc].base_sha256 == cases.sha(cases.spans_text(base))
+        assert [got[doc][f"n_{k}"] for k in pii.KINDS] == [sum(x[1] == k for x in base) for k in pii.KINDS]
+        n_found += len(new)
+    assert n_found > 20
+
+
+def test_pii_long_runs_and_many_identifiers(spark):
+    import time
+
+    many = " ".join(f"a{i}@b.co 555 01{i:05}" for i in range(8000))
+    start = time.perf_counter()
+    base = pii.base_spans(many)
+    assert len(base) == 8000 and len(pii.candidates(many, base)) == 16_000
+    assert time.perf_counter() - start < 2
+    hard = ["0" * 5001 + "1.2.3.4", "9" * 50_000, "1." * 50_000, "0" * 6000 + "256.1.1.1", "a@" * 50_000, "+1(" * 50_000,
+            "1 " * 100_000, "10[.]" * 50_000]
+    got = pii.report(spark.createDataFrame(list(enumerate(hard)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.n_ip for r in got[:4]] == [1, 0, 12_500, 0] and len(got) == len(hard)
+    assert got[0].spans == f"ip:0:{len(hard[0])}"
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_near_duplicates_equal_all_pairs(spark, monkeypatch, small):
     import random
