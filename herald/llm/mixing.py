@@ -7,11 +7,15 @@ The whole part of that is certain; the fraction is an inclusion probability p. A
 order value is the odds of a random number, taken from its id, over the odds of p; the documents
 with the smallest values get one copy more, until the source's remaining words are used up.
 
-The random number depends on the id and a seed alone, so reruns agree. What a document gets
-depends on its own row and its source's figures, so texts are not shuffled: the cut in the
-order comes from sums over slices of it, and only the slice with the cut is sorted.
+The random number depends on the id and a seed alone, without an id on the text, so reruns agree.
+What a document gets depends on its own row and its source's figures, so texts are not shuffled: the cut in the
+order comes from sums over slices of it, and only the slice with the cut is sorted. Rows that tie in the order
+(repeated ids, repeated rows) are counted as one entry there; of the entry that the cut falls into,
+as many rows as fit are taken, in the order in which the rows were written down.
 NULL and empty texts have size 0 and are taken zero words; in a mix of rows they are left out.
-A NULL source is a source, last in order. Repeated rows each count.
+A NULL source is a source, last in order. Repeated rows each count. Texts of any length are only
+counted. An empty table gives no rows. Columns of other names than the three that are read are carried along
+in a mix, whatever they are called.
 """
 
 from __future__ import annotations
@@ -36,7 +40,8 @@ def word_count(text):
 
 def sized(docs: DataFrame, *keep) -> DataFrame:
     """Id, source key (never NULL, in the order of sources), size, size class and random number."""
-    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    ident = F.coalesce(F.col("doc_id").cast("string"),
+                       F.concat(F.lit("null:"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))))
     rows = docs.select(
         *keep, F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.concat(F.lit("a"), F.col("source").cast("string")), F.lit("b")).alias("src"),
@@ -109,9 +114,13 @@ def placed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("slice", F.floor(F.col("q") / (1 + F.col("q")) * slices).cast("bigint"))
 
 
+#: monotonically_increasing_id() keeps the partition number above this bit.
+_PARTITION_BITS = 33
+
+
 def cuts(rows: DataFrame) -> DataFrame:
-    """Per source: the slice that holds the cut and the last row of it that is taken. A row is
-    taken if the words before it and half its own fit, so the cut is the nearest one."""
+    """Per source: the slice that holds the cut and the last entry of it that is taken, with the last row of
+    that entry. A row is taken if the words before it and half its own fit, so the cut is the nearest one."""
     sums = rows.groupBy("src", "left", "slice").agg(F.sum("size").alias("words"))
     run = Window.partitionBy("src").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
     sums = sums.withColumn("before", F.sum("words").over(run) - F.col("words"))
@@ -119,26 +128,62 @@ def cuts(rows: DataFrame) -> DataFrame:
         F.max("slice").alias("edge"), F.max("before").alias("edge_before"))
     edge = settle(edge, "mix-edges")
     inside = keyed_join(rows, edge, ["src"], "inner").filter(F.col("slice") == F.col("edge"))
-    mark = F.struct("q", "doc_id", "size")
+    entries = inside.groupBy("src", "left", "edge_before", "q", "doc_id", "size").agg(F.count(F.lit(1)).alias("tied"))
     order = (Window.partitionBy("src").orderBy("q", "doc_id", "size")
              .rowsBetween(Window.unboundedPreceding, 0))
-    last = (inside.withColumn("until", F.col("edge_before") + F.sum("size").over(order) - F.col("size") / 2)
-            .filter(F.col("until") <= F.col("left")).groupBy("src").agg(F.max(mark).alias("last")))
-    return settle(edge.select("src", "edge").join(last, "src", "left"), "mix-cuts")
-
-
-def copies(docs: DataFrame, *keep) -> DataFrame:
-    """``keep`` and doc_id, size, source_size, target and copies of every row of ``docs``."""
-    small = settle(sized(docs), "mix-sizes")
+    words = F.col("size") * F.col("tied")
+    entries = entries.withColumn("room", F.col("left") - F.col("edge_before") - F.sum(words).over(order) + words)
+    fit = F.floor((F.col("room") - F.col("size") / 2) / F.nullif(F.col("size"), F.lit(0))) + 1
+    fit = F.coalesce(fit, F.when(F.col("room") >= 0, F.col("tied")).otherwise(0))
+    entries = entries.withColumn("fit", F.greatest(F.lit(0), F.least(fit, F.col("tied"))).cast("bigint"))
+    last = entries.filter(F.col("fit") > 0).groupBy("src").agg(
+        F.max(F.struct("q", "doc_id", "size", "fit", "tied")).alias("m"))
+    last = settle(last.select("src", F.struct("m.q", "m.doc_id", "m.size").alias("last"), "m.fit", "m.tied"), "mix-last")
+    found = edge.select("src", "edge").join(last, "src", "left")
+    return settle(found.join(_last_rows(rows, last), "src", "left").select("src", "edge", "last", "last_row"), "mix-cuts")
+
+
+def _last_rows(rows: DataFrame, last: DataFrame) -> DataFrame:
+    """(src, last_row) of the entries whose rows do not all fit: the number of the last row that does. Rows are
+    counted per partition they were written in; only the one that holds the last row is sorted."""
+    split = settle(last.filter(F.col("fit") < F.col("tied")), "mix-split")
+    if split.isEmpty():
+        return split.select("src", F.lit(0).cast("bigint").alias("last_row"))
+    mark = F.struct("q", "doc_id", "size")
+    tied = keyed_join(rows, split, ["src"], "inner").filter((mark <= F.col("last")) & (mark >= F.col("last")))
+    tied = tied.select("src", "fit", "number", F.shiftright("number", _PARTITION_BITS).alias("part"))
+    parts = tied.groupBy("src", "fit", "part").agg(F.count(F.lit(1)).alias("n"))
+    run = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.withColumn("upto", F.sum("n").over(run)).filter(F.col("upto") >= F.col("fit"))
+    holder = settle(parts.groupBy("src").agg(F.min(F.struct("part", (F.col("fit") - F.col("upto") + F.col("n")).alias("rest")))
+                                             .alias("h")).select("src", "h.*"), "mix-holder")
+    inside = keyed_join(tied.drop("fit"), holder, ["src", "part"], "inner")
+    place = F.row_number().over(Window.partitionBy("src", "part").orderBy("number"))
+    return inside.withColumn("place", place).filter(F.col("place") == F.col("rest")).select(
+        "src", F.col("number").alias("last_row"))
+
+
+def copies(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """doc_id, size, source_size, target and copies of every row of ``docs``, with ``whole`` also the row itself.
+    Rows are written down once with a number, which tells rows apart that are equal."""
+    if whole:
+        kept = settle(docs.select(F.struct(*docs.columns).alias("row"),
+                                  F.monotonically_increasing_id().alias("number")), "mix-rows")
+        read = ["row.doc_id", "row.text", "row.source", "number"]
+        small = settle(sized(kept.select(*read), "number"), "mix-sizes")
+    else:
+        small = settle(sized(docs).withColumn("number", F.monotonically_increasing_id()), "mix-sizes")
     figures = rates(small)
     cut = cuts(placed(keyed_join(small, figures, ["src", "class"], "inner").filter(F.col("p") > 0)))
-    every = figures.join(cut, "src", "left")
-    rows = placed(keyed_join(sized(docs, *keep), settle(every, "mix-figures"), ["src", "class"], "inner"))
-    taken = (F.col("slice") < F.col("edge")) | (
-        (F.col("slice") == F.col("edge")) & (F.struct("q", "doc_id", "size") <= F.col("last")))
+    every = settle(figures.join(cut, "src", "left"), "mix-figures")
+    each = sized(kept.select("row", *read), "row", "number") if whole else small
+    rows = placed(keyed_join(each, every, ["src", "class"], "inner"))
+    mark = F.struct("q", "doc_id", "size")
+    within = (mark <= F.col("last")) & ((mark < F.col("last")) | F.col("last_row").isNull()
+                                        | (F.col("number") <= F.col("last_row")))
+    taken = (F.col("slice") < F.col("edge")) | ((F.col("slice") == F.col("edge")) & within)
     extra = F.coalesce(F.when(F.col("p") > 0, taken), F.lit(False)).cast("bigint")
-    return rows.select(*[k if isinstance(k, str) else "row" for k in keep], "doc_id", "size",
-                       "source_size", "target", (F.col("certain") + extra).alias("copies"))
+    return rows.select(*["row"] * whole, "doc_id", "size", "source_size", "target", (F.col("certain") + extra).alias("copies"))
 
 
 def taken(docs: DataFrame) -> DataFrame:
@@ -149,6 +194,6 @@ def taken(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """The rows of the mix: each document as often as it is taken, with its own columns."""
-    rows = copies(docs, F.struct(*docs.columns).alias("row"))
+    rows = copies(docs, whole=True)
     rows = rows.filter((F.col("copies") > 0) & (F.col("size") > 0))
     return rows.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy")).select("row.*")

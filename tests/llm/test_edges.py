@@ -99,3 +99,17 @@ def test_mixing_prefers_by_odds(spark):
     got = {r["size"]: r.share for r in mixing.copies(df).filter(F.col("size") != 50).groupBy("size").agg(
         F.avg("copies").alias("share")).collect()}
     assert got[200] > got[2]
+
+
+_SAME, _OTHER = "repeat('w ', 20)", "concat('t', id % 50, repeat(' w', 1 + cast(id % 23 as int)))"
+
+
+@pytest.mark.parametrize("ids,text", [("NULL", _SAME), ("NULL", _OTHER), ("id % 3", _OTHER)])
+def test_mixing_of_tied_rows(spark, ids, text):
+    """Repeated ids, no ids, equal texts: the words taken are within a document of the target."""
+    df = spark.range(6000).selectExpr(f"cast({ids} as bigint) doc_id", f"{text} text", "if(id % 5 < 4, 'big', 'small') source")
+    rows = mixing.taken(df.repartition(7)).groupBy("target", "source_size").agg(F.sum("taken").alias("t")).collect()
+    assert len(rows) == 2 and all(abs(r.t - r.target) <= 3 * 24 for r in rows)
+    got = mixing.mix(df).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("t")).collect()
+    targets = sorted(r.target for r in rows)
+    assert all(abs(t - r) <= 3 * 24 for t, r in zip(targets, sorted(r.t for r in got)))
