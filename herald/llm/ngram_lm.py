@@ -16,7 +16,9 @@ where those leave none, half, one and one and a half are used.
 
 NULL and empty texts are the end token alone. NULL ids are hashed as the empty text and so may
 be trained on. Rows are scored one by one, so repeated rows repeat. A corpus without training
-texts gives every token probability one over one.
+texts gives every token probability one over one, an empty table no rows. Texts of any length are counted and scored
+in one piece each. Counts are whole at any size; 2^32 - 1 different words and more stop the training with an error.
+Other columns than ``doc_id`` and ``text`` are not looked at.
 """
 
 from __future__ import annotations
@@ -54,6 +56,10 @@ FOLDS, HELD_OUT = 7, 2
 #: Distinct words and distinct pairs that a scan task holds before it sends them off.
 WORDS_HELD, PAIRS_HELD = 400_000, 2_000_000
 REMEMBERED = 300_000
+#: Pair keys hold two word numbers of 32 bits, the start's among them.
+MOST_WORDS = (1 << 32) - 1
+#: A shard whose pair counts are all smaller keeps them in 32 bits, any other in 64.
+NARROW = 1 << 32
 #: The end token: no word holds white space.
 END = b" end"
 _U32 = np.uint64(32)
@@ -229,8 +235,8 @@ class Pairs:
         for s, at in cut(shard):
             if s in self.present:
                 if s not in self._open:
-                    self._open[s] = (mapped(f"{self.folder}/keys-{s:06d}", "<u8"),
-                                     mapped(f"{self.folder}/count-{s:06d}", "<u4"))
+                    have, raw = (mapped(f"{self.folder}/{c}-{s:06d}", d) for c, d in (("keys", "<u8"), ("count", "u1")))
+                    self._open[s] = have, raw.view("<u4" if len(raw) == 4 * len(have) else "<u8")
                 have, counts = self._open[s]
                 place = np.minimum(np.searchsorted(have, keys[at]), len(have) - 1)
                 found = have[place] == keys[at]
@@ -263,7 +269,9 @@ STATS = "place int, kind array<int>, keys array<binary>, counts array<binary>"
 def count_pairs(rows: DataFrame, words: Words, tokens: int, docs: int) -> tuple[Pairs, DataFrame]:
     """The pairs, and per word range what pairs say about words (to be added up)."""
     spark = rows.sparkSession
-    n, folder = common.shards(spark, 1), common.new_folder(spark, "lm-pairs")
+    n, folder, narrow = common.shards(spark, 1), common.new_folder(spark, "lm-pairs"), NARROW
+    if words.size >= MOST_WORDS:
+        raise OverflowError(f"{words.size} different words do not fit the pair keys")
     pairs = Pairs(folder, n, words.size, tokens)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,7 +301,7 @@ def count_pairs(rows: DataFrame, words: Words, tokens: int, docs: int) -> tuple[
             shard = group.column("shard")[0].as_py()
             keys, counts = received(group)
             write_shard(folder, shard, keys=keys,
-                        count=np.minimum(counts, np.uint64(0xFFFFFFFF)).astype("<u4"))
+                        count=counts.astype("<u4" if counts.max(initial=0) < narrow else "<u8"))
             out = [(-1, shard, np.arange(1, 5, dtype=np.uint64),
                     np.array([(counts == k).sum() for k in range(1, 5)], np.uint64))]
             sides = [(0, np.unique(keys & _LOW, return_counts=True))]
