@@ -1,15 +1,17 @@
 """Repeated lines lose all copies but those in the first document that holds them.
 
 Two Bloom filters find suspects without moving a line: one of hashes seen once, one of hashes
-seen again. Scan tasks send compressed sorted hashes to the shard of the filters they belong
-to; a shard is built by one task and its second filter is written to the shared folder, where
+seen again. Scan tasks send the sorted hashes of their lines, each once and compressed to gaps, to the
+shard of the filters they belong to: hashes of all lines move, lines do not. A shard is built by one task,
+with as many bits as its hashes call for, and its second filter is written to the shared folder, where
 the next scan maps it into memory. Only lines that it suspects are shuffled, as whole keys, so
-that a false alarm of the filter is found out. The filters grow with the shuffle partitions;
-filters that are too full only suspect more.
+that a false alarm of the filter is found out.
 
 A line's key is the line without white space at both ends, A-Z lower-cased; shorter keys than
-``least`` code points are never dropped. NULL and empty texts are one empty line. A NULL
-``doc_id`` counts as one document after all others; rows that share an id are one document.
+``least`` code points are never dropped. NULL and empty texts are one empty line. Rows with a NULL
+``doc_id`` count as one document after all others; rows that share an id are one document; neither keeps more
+than its own text's lines together, so they spread over tasks. Texts of any length are split where they are. An empty
+table gives no rows. Columns of other names are carried along, whatever they are called.
 """
 
 from __future__ import annotations
@@ -27,9 +29,8 @@ from herald.llm.common import by_key, pack, pack_counts, pieces, runs, unpack, u
 from herald.scale import keyed_join, settle
 
 LEAST = 10
-#: 64-bit words per shard of a filter, and hashes held before they are sent off.
-SHARD_WORDS, HELD = 1 << 15, 1_000_000
-_LAST = (1 << 63) - 1  # stands for a NULL id, so that it sorts last
+#: Words of 64 bits that a shard's filter has at least, bits per hash, and hashes held before they are sent off.
+SHARD_WORDS, HASH_BITS, HELD = 1 << 12, 12, 1_000_000
 
 
 def line_keys(text: bytes) -> list[bytes]:
@@ -49,10 +50,10 @@ def hashes(keys) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64)
 
 
-def places(h: np.ndarray, n: int) -> np.ndarray:
-    """Position of the filter word inside its shard."""
+def places(h: np.ndarray, n: int, words: int = SHARD_WORDS) -> np.ndarray:
+    """Position of the filter word inside its shard, which has so many."""
     rest = ((h >> np.uint64(32)) * np.uint64(n)) & np.uint64(0xFFFFFFFF)
-    return ((rest * np.uint64(SHARD_WORDS)) >> np.uint64(32)).astype(np.int64)
+    return ((rest * np.uint64(words)) >> np.uint64(32)).astype(np.int64)
 
 
 def bits(h: np.ndarray) -> np.ndarray:
@@ -64,10 +65,13 @@ def bits(h: np.ndarray) -> np.ndarray:
 
 
 def build(blobs, n: int) -> np.ndarray:
-    """The filter of a shard's hashes that were seen again. ``blobs``: (hashes, documents)."""
-    once, again = np.zeros(SHARD_WORDS, np.uint64), np.zeros(SHARD_WORDS, np.uint64)
+    """The filter of a shard's hashes that were seen again. ``blobs``: (hashes, documents), a number of
+    times; its size follows from theirs."""
+    blobs = list(blobs)
+    words = max(SHARD_WORDS, -(-sum(len(h) for h, _ in blobs) * HASH_BITS // 64))
+    once, again = np.zeros(words, np.uint64), np.zeros(words, np.uint64)
     for h, count in blobs:
-        at, b = places(h, n), bits(h)
+        at, b = places(h, n, words), bits(h)
         seen = ((once[at] & b) == b) | (count > 1)
         for filter_, rows in ((again, np.flatnonzero(seen)), (once, np.arange(len(h)))):
             if len(rows):
@@ -93,8 +97,8 @@ class Suspects:
             if shard in self.present:
                 if shard not in self._open:
                     self._open[shard] = common.mapped(f"{self.folder}/again-{shard:06d}", "<u8")
-                b = bits(h[at])
-                out[at] = (self._open[shard][places(h[at], self.n)] & b) == b
+                b, own = bits(h[at]), self._open[shard]
+                out[at] = (own[places(h[at], self.n, len(own))] & b) == b
         return out
 
 
@@ -138,45 +142,51 @@ def suspects_filter(rows: DataFrame, least: int) -> Suspects:
 
 
 def repeated(rows: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc_id, digest) of every line that the document has to give up: its key's 128-bit hash,
-    so that keys themselves are shuffled once only. ``rows`` has no NULL."""
+    """(doc_id, tie, digest) of every line that the document has to give up: its key's 128-bit hash,
+    so that keys themselves are shuffled once only. ``rows``: doc_id, tie and text, which is never NULL."""
     found = suspects_filter(rows, least)
 
     def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            ids, keys = [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), utf8(batch)):
+            at, keys = [], []
+            for i, text in enumerate(utf8(batch)):
                 own = list(long_keys(line_keys(text), least))
-                ids += [doc] * len(own)
+                at += [i] * len(own)
                 keys += own
             h = hashes(keys)
             order = np.argsort(h)
-            hit = order[found.holds(h[order])].tolist()
+            hit = order[found.holds(h[order])]
+            own = pa.array(np.array(at, np.int64)[hit])
+            some = [keys[i] for i in hit.tolist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i in hit], pa.int64()),
-                 pa.array([keys[i] for i in hit], pa.binary()),
-                 pa.array([digest(keys[i]) for i in hit], pa.binary())], ["doc_id", "key", "digest"])
+                [batch.column("doc_id").take(own), batch.column("tie").take(own), pa.array(some, pa.binary()),
+                 pa.array(list(map(digest, some)), pa.binary())], ["doc_id", "tie", "key", "digest"])
 
-    lines = settle(rows.mapInArrow(suspect, "doc_id bigint, key binary, digest binary"),
+    lines = settle(rows.mapInArrow(suspect, "doc_id bigint, tie bigint, key binary, digest binary"),
                    "suspected-lines")
-    first = (lines.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
-                                      F.first("digest").alias("digest"))
-             .filter(F.col("first") < F.col("last")).select("digest", "first"))
-    held = keyed_join(lines.select("doc_id", "digest"), settle(first, "repeated-lines"),
+    first = lines.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
+                                     F.bool_or(F.col("doc_id").isNull()).alias("none"),
+                                     F.first("digest").alias("digest"))
+    first = first.filter((F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("none")))
+    held = keyed_join(lines.select("doc_id", "tie", "digest"), settle(first.select("digest", "first"), "repeated-lines"),
                       ["digest"], "inner")
-    return held.filter(F.col("doc_id") > F.col("first")).select("doc_id", "digest")
+    return held.filter(F.col("doc_id").isNull() | (F.col("doc_id") > F.col("first"))).select("doc_id", "tie", "digest")
 
 
 def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(row, n_lines, n_dropped, kept): every row of ``docs`` as a struct with all its columns,
     lines before dropping, lines dropped, and the text without them."""
+    text, ident = F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("doc_id").cast("bigint")
     rows = docs.select(
-        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"),
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    drops = repeated(rows.select("doc_id", "text"), least)
-    per_doc = drops.groupBy("doc_id").agg(F.collect_set("digest").alias("drop"))
-    joined = rows.join(per_doc, "doc_id", "left").select("row", "text", "drop")
+        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), ident.alias("doc_id"),
+        # rows without an id are told apart by their texts
+        F.when(ident.isNull(), F.xxhash64(text)).otherwise(F.lit(0).cast("bigint")).alias("tie"), text.alias("text"))
+    drops = repeated(rows.select("doc_id", "tie", "text"), least)
+    key = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("ident"), "tie"]
+    per_doc = drops.select(*key, "digest").groupBy("none", "ident", "tie").agg(F.collect_set("digest").alias("drop"))
+    # Always a shuffle of both sides, as at any size a third of the documents may have something to give
+    # up; an id with very many rows is split by the adaptive skew join.
+    joined = rows.select("row", "text", *key).join(per_doc, ["none", "ident", "tie"], "left").select("row", "text", "drop")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):

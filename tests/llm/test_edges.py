@@ -61,6 +61,17 @@ def test_lines_by_hand(spark):
     assert (3, "") in got and (6, "one") in got
 
 
+def test_lines_of_rows_without_id(spark):
+    """Hot rows without an id, and the largest id there is."""
+    last = (1 << 63) - 1
+    rows = [(None, "a line of some length\nown line of the others", "en", "a", 1)] * 300 + [
+        (last, "a line of some length\nlast id's own line", "en", "a", 1), (5, "A line of some length ", "en", "a", 1),
+        (None, "last id's own line", "en", "a", 1)]
+    got = {(r.doc_id, r.n_dropped, r.kept) for r in OPERATORS["lines"](cases.docs(spark, rows)).collect()}
+    assert got == {(None, 1, "own line of the others"), (None, 1, ""), (last, 1, "last id's own line"),
+                   (5, 0, "A line of some length ")}
+
+
 def test_store_by_hand(spark):
     got = store(cases.docs(spark)).orderBy("start").collect()
     assert got[0].doc_id is None and [r.doc_id for r in got[1:]] == sorted(d[0] for d in cases.DOCS if d[0])

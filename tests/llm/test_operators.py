@@ -81,6 +81,17 @@ def test_language_model_equals_formulas(spark, rows):
         assert got[doc].held_out == (zlib.crc32(str(doc).encode()) % 7 == 2)
 
 
+def test_language_model_with_wide_counts(spark, rows, monkeypatch):
+    """Pair counts beyond 32 bits, with a small number in their place."""
+    monkeypatch.setattr(ngram_lm, "NARROW", 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in ngram_lm.score(docs, ngram_lm.train(docs)).collect()}
+    assert got == {i: pytest.approx(score, rel=1e-9) for i, (_, score) in cases.language_model(rows).items()}
+    monkeypatch.setattr(ngram_lm, "MOST_WORDS", 100)
+    with pytest.raises(OverflowError):
+        ngram_lm.train(docs)
+
+
 def test_language_model_beats_word_counts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = ngram_lm.perplexity(ngram_lm.score(docs, ngram_lm.train(docs))).collect()
@@ -146,6 +157,16 @@ def test_filter_has_no_false_negatives():
     assert hit.mean() < 0.7
 
 
+def test_filter_grows_with_its_hashes():
+    draw = np.random.default_rng(1)
+    h = np.unique(draw.integers(0, 1 << 63, 400_000, np.uint64) * np.uint64(2))
+    again = line_dedup.build([(h, np.ones(len(h))), (h[::10], np.ones(len(h[::10])))], 1)
+    b = line_dedup.bits(h)
+    hit = (again[line_dedup.places(h, 1, len(again))] & b) == b
+    assert hit[::10].all() and hit.mean() < 0.15  # a filter of the least size would be full
+    assert len(again) * 64 >= 12 * len(h)
+
+
 def test_pii_base_equals_the_patterns():
     import random
     import re
