@@ -742,25 +742,20 @@ SELECT member_id, email, first_name, last_name, {_STAMP.format('ingested_at')} A
 """
 
 
-def _upsert_dirty(spark, dirty, batch):
+def _upsert_dirty(dirty: DataFrame, batch: DataFrame, **bound) -> DataFrame:
     columns = ["member_id", "email", "first_name", "last_name", "ingested_at"]
-    return tables.upsert(dirty.select(columns), batch.select(columns))
+    return tables.upsert(dirty.select(columns), batch.select(columns), **bound)
 
 
 @_query("upsert_dirty_base", "dirty_audience contact_batch", _DIRTY)
 def _(spark, sf_dir, dirty, batch):
-    return _upsert_dirty(spark, dirty, batch)
+    return _upsert_dirty(dirty, batch)
 
 
 @_query("upsert_dirty_base_large", "dirty_audience contact_batch", _DIRTY)
 def _(spark, sf_dir, dirty, batch):
     """The same with nothing broadcast."""
-    fits = tables.fits_broadcast
-    try:
-        tables.fits_broadcast = lambda df: False
-        return _upsert_dirty(spark, dirty, batch)
-    finally:
-        tables.fits_broadcast = fits
+    return _upsert_dirty(dirty, batch, max_rows=0)
 
 
 @_query("ingest_keeps_columns", "audience contact_batch metro_areas", """

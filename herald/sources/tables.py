@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from herald.scale import fits_broadcast, keyed_join, remove, settle
+from herald.scale import BROADCAST_ROWS, fits_broadcast, keyed_join, remove, settle
 
 SINCE_COLUMNS = ["member_id", "first_name", "last_name", "email", "location_raw", "in_segment"]
 
@@ -92,20 +92,20 @@ def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 
 def upsert(base: DataFrame, batch: DataFrame, key: str = "member_id", order: str = "ingested_at",
-           defaults: dict[str, Column] | None = None) -> DataFrame:
+           defaults: dict[str, Column] | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``base`` with the batch merged in. Every key the batch brings has one row afterwards: its
     newest values, a tie going to the batch, and for columns that the batch lacks the stored ones
     (for a new key the default, or NULL). All other base rows pass as they are, also those that
     repeat a key or have none; the audit finds such rows. Batch rows without a key are ignored.
 
     The meaning is the same whatever the sizes are. The batch's newest row per key is written
-    down first; when its keys fit a broadcast, base rows it does not touch are not shuffled.
+    down first; when its keys, ``max_rows`` at most, fit a broadcast, base rows it does not touch are not shuffled.
     """
     given = [c for c in base.columns if c in batch.columns]
     ranked = [order] if order in given else []
     fresh = settle(latest_per_key(batch.filter(F.col(key).isNotNull()).select(given), key, ranked), "batch")
     keys = fresh.select(key)
-    if fits_broadcast(keys):
+    if fits_broadcast(keys, max_rows):
         keys = F.broadcast(keys)
     untouched = base.join(keys, key, "left_anti")
     stored = latest_per_key(base.join(keys, key, "left_semi"), key, [order])

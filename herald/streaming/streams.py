@@ -56,7 +56,7 @@ def ingest_contacts(contacts: DataFrame, store_path: str, checkpoint: str,
             table.merge(fresh, order, keep=keep)
         else:
             base = current(spark, store_path)
-            publish(fresh if base is None else upsert(base, fresh, key, order), store_path, keep=keep)
+            publish(fresh if base is None else upsert(base, fresh, key, order), store_path, (), keep)
         remove(spark, pending)  # merged: the version has moved on
     return table.read(spark) if table else current(spark, store_path)
 
