@@ -13,6 +13,7 @@ from herald.functions import predicates as p
 from herald.functions.sql import count_named_tables, register_named_table_queries
 from herald.operators import experiments, metrics, quality
 from herald.operators.messages import delivery_payload
+from herald.operators.typos import tag_typos
 from herald.plans.dashboard import Tables, dashboard
 from herald.plans.maintained import Breakdown
 from herald.registry import (
@@ -414,3 +415,30 @@ FROM (SELECT shop_location, count(*) AS car_count FROM inventory WHERE shop_loca
 WHERE car_count < 50""")
 def _(spark, sf_dir, audience, inventory, sync, events):
     return dashboard(Tables(audience, inventory, sync, events), AS_OF, days=14, location=_LOW_REGION)["low_inventory"]
+
+
+# --- places with a wrong letter ----------------------------------------------------------------------------
+
+_MISSPELT = """
+SELECT member_id, location_tag,
+       CASE WHEN length(member_id) % 2 = 0 AND location_raw LIKE 'NATION%' THEN concat(substr(location_raw, 1, 3), substr(location_raw, 5))
+            WHEN location_raw LIKE 'NATION%' AND in_segment = 1 THEN concat('nx', substr(location_raw, 2))
+            WHEN location_raw LIKE 'Greater%' AND in_segment = 0 THEN replace(location_raw, 'Greater', 'Graeter')
+            ELSE location_raw END AS location_raw
+FROM {audience}"""
+
+
+@_query("location_tag_typos", "audience metro_areas", f"""
+, raw AS ({_MISSPELT.format(audience='audience').strip()}),
+places AS (SELECT name, min(region) AS region FROM (
+    SELECT city AS name, region FROM metro_areas UNION ALL SELECT region, region FROM metro_areas) GROUP BY 1),
+asked AS (SELECT DISTINCT trim(split_part(location_raw, ',', 1)) AS text FROM raw WHERE location_tag IS NULL),
+near AS (SELECT text, region FROM asked, places
+         WHERE length(name) >= 4 AND (levenshtein(lower(text), lower(name)) <= 1 OR (levenshtein(lower(text), lower(name)) = 2
+           AND list_sort(string_split(lower(text), '')) = list_sort(string_split(lower(name), ''))
+           AND damerau_levenshtein(lower(text), lower(name)) = 1))
+         QUALIFY row_number() OVER (PARTITION BY text ORDER BY damerau_levenshtein(lower(text), lower(name)), name) = 1)
+SELECT member_id, coalesce(location_tag, region) AS location_tag
+FROM raw LEFT JOIN near ON location_tag IS NULL AND text = trim(split_part(location_raw, ',', 1))""")
+def _(spark, sf_dir, audience, lookup):
+    return tag_typos(spark.sql(_MISSPELT, audience=audience), lookup).select("member_id", "location_tag")

@@ -134,3 +134,15 @@ def test_tier_stats(spark):
     df = tier_stats(tag_locations(contacts(spark, [c[0] for c in CASES]), metro_areas(spark)))
     got = {r.match_tier: (r.n_rows, r.share_pct) for r in df.collect()}
     assert got["exact_match"] == (2, 15.4) and sum(n for n, _ in got.values()) == len(CASES)
+
+
+def test_near_names(spark):
+    from herald.operators.typos import near_names
+
+    names = spark.createDataFrame([("Dallas",), ("Boston",), ("Rye",), ("Austin",), ("Houston",)], "name STRING")
+    asked = ["dallas", "Dalas", "Dallass", "Dxllas", "Dalals", "Dxlxas", "Bostno", "Rye", "Ry", "", None, "ustin", "Husto", "allasD", "D" * 5000]
+    got = {(r.text, r.name, r.distance) for r in near_names(
+        spark.createDataFrame([(a,) for a in asked], "text STRING"), names).collect()}
+    assert got == {("dallas", "Dallas", 0), ("Dalas", "Dallas", 1), ("Dallass", "Dallas", 1), ("Dxllas", "Dallas", 1),
+                   ("Dalals", "Dallas", 1), ("Bostno", "Boston", 1), ("ustin", "Austin", 1)}
+    assert near_names(spark.createDataFrame([("x",)], "text STRING"), names.limit(0)).count() == 0
