@@ -42,6 +42,7 @@ from herald.registry import (
 from herald.scale import fresh_path, settle
 from herald.sources import changes, sinks, tables
 from herald.sources.buckets import BucketTable
+from herald.sources.drift import drift, feed_fields
 from herald.streaming import streams
 
 BUCKETS = 16
@@ -442,3 +443,44 @@ SELECT member_id, coalesce(location_tag, region) AS location_tag
 FROM raw LEFT JOIN near ON location_tag IS NULL AND text = trim(split_part(location_raw, ',', 1))""")
 def _(spark, sf_dir, audience, lookup):
     return tag_typos(spark.sql(_MISSPELT, audience=audience), lookup).select("member_id", "location_tag")
+
+
+# --- what a feed is made of -----------------------------------------------------------------------------------
+
+_RECORDS = """
+SELECT concat('{{"id":"', car_id, '","year":', CASE WHEN year % 3 = 0 AND {late} THEN concat('"', CAST(year AS VARCHAR(8)), '"')
+              ELSE CAST(year AS VARCHAR(8)) END,
+              CASE WHEN mileage > 20000 THEN concat(',"mileage":', CAST(mileage AS VARCHAR(8)), '.5') ELSE '' END,
+              ',"photo":null,"sold":true,"tags":["a",1],"shop":{{"city":"x"}}',
+              CASE WHEN {late} THEN ',"trim":"t"' ELSE ',"color":"c"' END,
+              CASE WHEN year % 5 = 0 AND {late} THEN '' ELSE '}}' END) AS record FROM {inventory}"""
+
+
+def _fields_sql(records: str) -> str:
+    return f"""
+SELECT field, CASE json_type(record, '$.' || field) WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'flag' WHEN 'NULL' THEN 'null'
+         WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'record' ELSE 'number' END AS kind, count(*) AS records
+FROM (SELECT record, unnest(json_keys(record)) AS field FROM {records} WHERE json_valid(record)) GROUP BY 1, 2
+UNION ALL SELECT NULL, 'unreadable', count(*) FROM {records} WHERE NOT json_valid(record) HAVING count(*) > 0"""
+
+
+def _records(late: str, inventory: str) -> str:
+    return _RECORDS.format(late=late, inventory=inventory)
+
+
+@_query("listing_fields", "inventory", f", recs AS ({_records('true', 'inventory')})" + _fields_sql("recs"))
+def _(spark, sf_dir, inventory):
+    inventory.createOrReplaceTempView("feed_inventory")
+    return feed_fields(spark.sql(_records("true", "feed_inventory")))
+
+
+@_query("listing_drift", "inventory", f"""
+, r1 AS ({_records('false', 'inventory')}), r2 AS ({_records('true', 'inventory')}),
+f1 AS ({_fields_sql('r1')}), f2 AS ({_fields_sql('r2')})
+SELECT coalesce(f1.field, f2.field) AS field, coalesce(f1.kind, f2.kind) AS kind,
+       coalesce(f1.records, 0) AS records_before, coalesce(f2.records, 0) AS records_after
+FROM f1 FULL JOIN f2 ON f1.field IS NOT DISTINCT FROM f2.field AND f1.kind = f2.kind
+WHERE f1.kind IS NULL OR f2.kind IS NULL""")
+def _(spark, sf_dir, inventory):
+    inventory.createOrReplaceTempView("feed_inventory")
+    return drift(*(spark.sql(_records(late, "feed_inventory")) for late in ("false", "true")))

@@ -370,3 +370,19 @@ def test_unique_rates_stay_below_hundred(spark):
         + [("9", "b", "weekly_1", "open")], "event_id STRING, member_id STRING, campaign_id STRING, event_type STRING"),
         schemas.EMAIL_EVENTS)
     assert [tuple(r) for r in metrics.unique_rates(events).collect()] == [("weekly", 1, 1, 0, 100.0, 0.0)]
+
+
+def test_fields_of_a_feed(spark):
+    from herald.sources.drift import drift, feed_fields
+
+    def feed(*texts):
+        return spark.createDataFrame([(t,) for t in texts], "record STRING")
+
+    old = feed('{"a":1,"b":"x"}', '{"a":2.5,"b":null}', "{}", "[1,2]", "7", "{bad", "", None)
+    assert {tuple(r) for r in feed_fields(old).collect()} == {
+        ("a", "number", 2), ("b", "text", 1), ("b", "null", 1), (None, "unreadable", 4)}
+    new = feed('{"a":"1","b":"x","c":{"d":[1]}}', '{"b":null,"e":[],"f":false}')
+    assert {tuple(r) for r in drift(old, new).collect()} == {
+        ("a", "number", 2, 0), ("a", "text", 0, 1), ("c", "record", 0, 1), ("e", "list", 0, 1), ("f", "flag", 0, 1),
+        (None, "unreadable", 4, 0)}
+    assert feed_fields(feed().limit(0)).count() == 0
