@@ -16,6 +16,9 @@ from herald.llm.common import ship
 from herald.scale import settle
 
 POLICY = "v2"
+#: Words per shingle and percent of similarity from which documents are near duplicates. The query
+#: ``op9_ngram_jaccard`` has values of its own.
+WIDTH, PERCENT = 5, 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +33,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each class of near duplicates."""
-    return jaccard.without_near_duplicates(docs)
+    return jaccard.without_near_duplicates(docs, WIDTH, PERCENT)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
