@@ -52,7 +52,7 @@ def test_lines(runs):
 
 
 def test_near_duplicates(runs):
-    found = cases.classes([(r.doc_id, r.text) for r in runs[2].collect()])
+    found = cases.classes([(r.doc_id, r.text) for r in runs[2].collect()], width=5, percent=80)
     assert sorted(r.doc_id for r in runs[3].collect()) == sorted(i for i, (_, c) in found.items() if i == c)
 
 
@@ -90,3 +90,15 @@ def test_repeated_rows_are_one_document(spark):
     assert out.filter("doc_id = 6").count() == 1
     assert out.filter("doc_id in (3, 4, 5)").count() == 3
     assert out.filter(F.col("doc_id").isin(1, 2)).count() == 1
+
+
+def test_near_copies_that_four_words_tell_apart(spark):
+    words = [f"w{i}" for i in range(200)]
+    copy = list(words)
+    for i in (20, 70, 120, 170):
+        copy[i] = "other"
+    longer = [f"v{i}" for i in range(200)]
+    rows = [(1, words), (2, copy), (3, longer), (4, longer + [f"u{i}" for i in range(45)]), (5, longer + words)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    out = STAGES["n-gram Jaccard join"](spark, df, SMALL)
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3, 5]
