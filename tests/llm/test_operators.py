@@ -1,5 +1,7 @@
 """Every operator against SQL, brute force, a round trip or held-out data."""
 
+import collections
+import random
 import zlib
 
 import cases
@@ -7,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import oracle
@@ -433,3 +436,46 @@ def test_chat_prefixes(spark):
         assert text[r.conv_id][r.start:].startswith(r.rendered)
     assert chat.render_maximal(cases.clashing(df)).count() == got.count()
     assert chat.render_maximal(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("chunk, crowd", [(256, 4096), (4, 2), (1, 1)])
+def test_chats_equal_comparing_all_prefixes(spark, monkeypatch, chunk, crowd):
+    from herald.llm import chat
+
+    monkeypatch.setattr(chat, "CHUNK", chunk)
+    monkeypatch.setattr(chat, "CROWD", crowd)
+    rng = random.Random(5)
+    whole = {}
+    for conv in range(60):  # snapshots of others, turns without a number, numbers that repeat
+        if whole and rng.random() < 0.5:
+            told = whole[rng.choice(list(whole))]
+            whole[conv] = told[:rng.randint(1, len(told))]
+        else:
+            turn = rng.choice([lambda i: None, lambda i: 7, lambda i: i, lambda i: i // 3])
+            whole[conv] = [(turn(i), rng.choice(["bot", "user", None]), rng.choice(["", "a", "b", None]))
+                           for i in range(rng.randint(1, 20))]
+    rows = [(conv, *t) for conv, told in whole.items() for t in told]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    turns = chat.positions(df)
+    if crowd < 4096:  # what shares a chunk is what copies a turn, and text hashes that begin alike
+        assert turns.groupBy("conv_id", "chunk").count().agg(F.max("count")).first()[0] <= 12
+    said = collections.defaultdict(list)
+    for r in turns.orderBy("conv_id", "position").collect():
+        assert r.position == len(said[r.conv_id]) + 1 and r.n_turns == len(whole[r.conv_id])
+        said[r.conv_id].append((r.role, r.text))
+    for conv, told in whole.items():
+        assert sorted(said[conv]) == sorted((a or "", b or "") for _, a, b in told)
+    want = {a for a in said if not any(
+        said[b][:len(said[a])] == said[a] and (len(said[b]) > len(said[a]) or b < a) for b in said)}
+    got = {r.conv_id: r.text for r in chat.documents(chat.render_maximal(df)).collect()}
+    assert got == {conv: "".join(f"<|im_start|>{a}\n{b}<|im_end|>\n" for a, b in said[conv]) for conv in want}
+
+
+def test_one_conversation_of_unnumbered_turns_is_dealt_out(spark):
+    from herald.llm import chat
+
+    df = spark.range(30_000).select(F.lit(1).alias("conv_id"), F.lit(None).cast("long").alias("turn"),
+                                    F.lit("user").alias("role"), F.concat(F.lit("text "), "id").alias("text"))
+    sizes = chat.positions(df).groupBy("chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] < 1000
+    assert chat.render_maximal(df).count() == 30_000
