@@ -62,6 +62,8 @@ BUCKETS = 32
 POSTINGS = 4096
 #: Documents per block of the product, and pivots of a cluster that has several blocks.
 BLOCK, PIVOTS = 1024, 64
+#: N-grams per block: blocks of long documents hold fewer of them, and such clusters fewer pivots.
+BLOCK_GRAMS = 1 << 22
 #: Columns of the product that are worked on at once.
 COLUMNS = 4096
 
@@ -368,20 +370,24 @@ def product(members: DataFrame, percent: int) -> DataFrame:
 
 def exact_classes(profile: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """(print, class) of documents that link with another one. ``clusters``: (node, label)."""
-    sized = settle_narrow(clusters.groupBy("label").agg(F.count(F.lit(1)).alias("rows")), "ngram-clusters")
-    one = (profile.filter(F.col("grams").isNotNull()).groupBy("print")
-           .agg(F.first("grams").alias("grams")))
+    posted = profile.filter(F.col("grams").isNotNull())
+    sizes = posted.groupBy("print").agg(F.first("n_shingles").alias("n"))
+    sized = settle_narrow(clusters.join(sizes, F.col("node") == F.col("print")).groupBy("label").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).select(
+        "label", "rows", F.ceil(F.greatest(F.col("rows") / BLOCK, F.col("n") / BLOCK_GRAMS)).cast("int").alias("blocks")),
+        "ngram-clusters")
+    one = posted.groupBy("print").agg(F.first("grams").alias("grams"))
     of = keyed_join(clusters.withColumnRenamed("node", "print"), sized, ["label"], "inner")
     members = settle(of.join(one, "print").withColumn(
-        "blocks", F.ceil(F.col("rows") / BLOCK).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int")), "ngram-members")
     place = F.struct("label", "block")
     own = members.select(place.alias("place"), F.lit(0).alias("side"), "print", "grams")
     large = members.filter(F.col("blocks") > 1)
     if large.isEmpty():
         return components(settle(product(keyed(own), percent), "ngram-links"))
-    # pivots: about so many rows by hash, in every block of their cluster
-    pivots = (large.filter(F.pmod(F.xxhash64("print", F.lit("pivot")), F.col("rows")) < PIVOTS)
+    # pivots: about so many rows by hash, in every block of their cluster, and so small a part of a block
+    some = F.least(F.lit(PIVOTS), F.ceil(F.col("rows") * PIVOTS / (F.col("blocks") * BLOCK)))
+    pivots = (large.filter(F.pmod(F.xxhash64("print", F.lit("pivot")), F.col("rows")) < some)
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select(place.alias("place"), F.lit(0).alias("side"), "print", "grams"))
     first = settle(product(keyed(own.unionByName(pivots)), percent), "ngram-links")
@@ -395,7 +401,8 @@ def exact_classes(profile: DataFrame, clusters: DataFrame, percent: int) -> Data
     outside = state.filter(F.col("class") != F.col("main"))
     if outside.isEmpty():
         return classes
-    per = outside.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("groups"))
+    dense = F.max(F.col("blocks") / F.col("rows"))
+    per = outside.groupBy("label").agg(F.ceil(F.count(F.lit(1)) * dense).cast("int").alias("groups"))
     per = settle_narrow(per, "ngram-outside")
     place = F.struct("label", "group", "block")
     rest = (keyed_join(outside, per, ["label"], "inner")
@@ -424,8 +431,8 @@ def classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     first = profile.groupBy("print").agg(F.min("doc_id").alias("first"))
     first = first.join(linked.select(F.col("node").alias("print"), "label"), "print", "left")
     first = settle_narrow(first.withColumn("label", F.coalesce("label", "print")), "ngram-classes")
-    smallest = first.groupBy("label").agg(F.min("first").alias("component_id"))
-    of = first.join(smallest, "label").select("print", "component_id")
+    smallest = settle_narrow(first.groupBy("label").agg(F.min("first").alias("component_id")), "ngram-smallest")
+    of = keyed_join(first, smallest, ["label"], "inner").select("print", "component_id")
     rows = profile.select("doc_id", "tie", "print", "n_shingles")
     met = keyed_join(rows.filter(F.col("print").isNotNull()), of, ["print"], "inner")
     return met.drop("print").unionByName(

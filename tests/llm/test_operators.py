@@ -301,13 +301,11 @@ def test_pii_long_runs_and_many_identifiers(spark):
     assert got[0].spans == f"ip:0:{len(hard[0])}"
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_near_duplicates_equal_all_pairs(spark, monkeypatch, small):
-    import random
-
-    if small:  # every path for large groups
-        for name, value in (("POSTINGS", 6), ("BLOCK", 4), ("PIVOTS", 1), ("FEW", 3)):
-            monkeypatch.setattr(jaccard, name, value)
+@pytest.mark.parametrize("bounds", [
+    {}, {"POSTINGS": 6, "BLOCK": 4, "PIVOTS": 1, "FEW": 3}, {"POSTINGS": 6, "BLOCK_GRAMS": 400}])
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch, bounds):
+    for name, value in bounds.items():  # every path for large groups, and for blocks of long documents
+        monkeypatch.setattr(jaccard, name, value)
     draw = random.Random(4)
     rows = [(1000 + i, " ".join(f"t{draw.randint(0, 40)}" for _ in range(draw.choice([2, 5, 60]))))
             for i in range(60)]
@@ -479,3 +477,22 @@ def test_one_conversation_of_unnumbered_turns_is_dealt_out(spark):
     sizes = chat.positions(df).groupBy("chunk").count()
     assert sizes.agg(F.max("count")).first()[0] < 1000
     assert chat.render_maximal(df).count() == 30_000
+
+
+def test_a_hub_is_dealt_out(spark, monkeypatch):
+    from herald import scale
+    from herald.llm import components as graph
+
+    monkeypatch.setattr(scale, "fits_broadcast", lambda *_: False)
+    shapes, salted = [], scale._salted_join
+
+    def watched(fact, side, on, how):
+        shapes.append(not scale.hot_keys(fact, on).isEmpty())
+        return salted(fact, side, on, how)
+
+    monkeypatch.setattr(scale, "_salted_join", watched)
+    edges = [(i, 0) for i in range(1, 400)] + [(1000 + i, 999 + i) for i in range(1, 40)] + [(399, 500)]
+    got = {r.node: r.label for r in graph.components(
+        spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(400)}, 500: 0, **{1000 + i: 1000 for i in range(40)}}
+    assert any(shapes)
