@@ -3,10 +3,13 @@ shared folder, and runs of rows with one key."""
 
 from __future__ import annotations
 
+import contextlib
+import fcntl
 import mmap
 import os
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 from urllib.parse import urlparse
@@ -207,21 +210,58 @@ def put(address: str, data: bytes) -> None:
     store.move(part, path)
 
 
-_fetched: dict[str, str] = {}
+#: Bytes of copies from an object store that a machine keeps, and seconds after which an unused one goes.
+COPIES, UNUSED = 32 << 30, 3600
 
 
-def mapped(address: str, dtype: str) -> np.ndarray:
-    """A shared file as a memory-mapped array. Files in an object store or HDFS are copied
-    once per worker process first."""
-    path = _local(address)
-    if path is None:
-        if address not in _fetched:
+def _copy(address: str) -> str:
+    """A machine's one copy of a file in an object store or HDFS. The first process that needs it
+    makes it, the others wait. Then the copies unused for longest go until the rest is within
+    ``COPIES`` bytes; a running task that has mapped one keeps it, as the system frees a file after its last map."""
+    folder = os.path.join(tempfile.gettempdir(), "herald-copies")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, xxhash.xxh3_128_hexdigest(address))
+    with open(os.path.join(folder, "lock-" + path[-2:]), "a") as lock:  # 256 locks: few files wait for each other
+        fcntl.flock(lock, fcntl.LOCK_EX)
+        if not os.path.exists(path):
             store, remote = pafs.FileSystem.from_uri(address)
-            fd, _fetched[address] = tempfile.mkstemp(prefix="herald-")
-            with os.fdopen(fd, "wb") as out, store.open_input_stream(remote) as src:
+            part = f"{path}.{uuid.uuid4().hex}"
+            with open(part, "wb") as out, store.open_input_stream(remote) as src:
                 shutil.copyfileobj(src, out)
-        path = _fetched[address]
-    with open(path, "rb") as f:
+            os.replace(part, path)
+        os.utime(path)
+        _tidy(folder, path)
+        return path
+
+
+def _tidy(folder: str, but: str) -> None:
+    found, old = [], time.time() - UNUSED
+    for entry in os.scandir(folder):
+        with contextlib.suppress(FileNotFoundError):  # another process was faster
+            seen = entry.stat()
+            unfinished = "." in entry.name and seen.st_mtime >= old
+            if not entry.name.startswith("lock-") and entry.path != but and not unfinished:
+                found.append((seen.st_mtime, seen.st_size, entry.path))
+    left = COPIES - os.stat(but).st_size
+    for used, size, path in sorted(found, reverse=True):
+        left -= size
+        if left < 0 or used < old:
+            with contextlib.suppress(FileNotFoundError):
+                os.remove(path)
+
+
+def _opened(address: str):
+    if path := _local(address):
+        return open(path, "rb")
+    while True:
+        path = _copy(address)
+        with contextlib.suppress(FileNotFoundError):  # the copy went before it was opened
+            return open(path, "rb")
+
+
+def mapped(address: str, dtype: str) -> np.ndarray:
+    """A shared file as a memory-mapped array; see ``_copy`` for files in an object store or HDFS."""
+    with _opened(address) as f:
         size = os.fstat(f.fileno()).st_size
         if not size:
             return np.empty(0, dtype)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import oracle
-from herald.llm import bpe, fingerprints, jaccard, line_dedup, ngram_lm, pii, quality, queries, token_store
+from herald.llm import (bpe, common, fingerprints, jaccard, line_dedup, ngram_lm, pii, quality, queries,
+                        token_store)
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -496,3 +497,31 @@ def test_a_hub_is_dealt_out(spark, monkeypatch):
         spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(400)}, 500: 0, **{1000 + i: 1000 for i in range(40)}}
     assert any(shapes)
+
+
+def test_a_machine_holds_one_copy_of_a_remote_file(tmp_path, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    made, copy = [], common.shutil.copyfileobj
+    monkeypatch.setattr(common, "_local", lambda address: None)  # as if it were an object store
+    monkeypatch.setattr(common.tempfile, "gettempdir", lambda: str(tmp_path / "local"))
+    monkeypatch.setattr(common.shutil, "copyfileobj", lambda a, b: (made.append(1), copy(a, b)))
+    (tmp_path / "local").mkdir()
+    for i in range(6):
+        (tmp_path / f"shard-{i}").write_bytes(np.full(100, i, "<u8").tobytes())
+    address = lambda i: f"file://{tmp_path}/shard-{i}"
+    copies = lambda: [p for p in (tmp_path / "local/herald-copies").iterdir()
+                      if not p.name.startswith("lock-")]
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda k: common.mapped(address(k % 2), "<u8"), range(40)))
+    assert len(made) == 2 and len(copies()) == 2
+    assert all((a == k % 2).all() for k, a in enumerate(got))
+    monkeypatch.setattr(common, "COPIES", 1700)  # two copies and a bit
+    for i in range(6):
+        assert (common.mapped(address(i), "<u8") == i).all() and len(copies()) <= 2
+    assert (got[0] == 0).all()  # its copy has gone, its map has not
+    monkeypatch.setattr(common, "UNUSED", -1)
+    common.mapped(address(5), "<u8")
+    assert len(copies()) == 1
+    with pytest.raises(FileNotFoundError):
+        common.mapped(f"file://{tmp_path}/none", "<u8")
