@@ -14,19 +14,37 @@ def register_last_day(spark: SparkSession) -> None:
               "RETURNS DATE RETURN last_day(input_date)")
 
 
+#: Member ids that cut a table's rows into ranges.
+CUTS = 64
+
+
 def _table_function(spark: SparkSession, name: str, source: str, test: str, columns: list[str]) -> None:
+    """Rows are numbered inside ranges of ``member_id``, and a range starts after what the earlier ones of its
+    region hold. The ranges' bounds are the ids with the smallest hashes, so a region with a third of the
+    rows is dealt over about a third of the ranges. A call's region reaches the scans of rows and counts."""
     typed = ", ".join(f"{c} STRING" for c in [*columns, "ab_group"])
-    picked = ", ".join(f"r.{c}" for c in columns)
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(region_name STRING) RETURNS TABLE({typed}) "
-              f"RETURN SELECT {picked}, CASE WHEN r.row_num % 2 = 0 THEN 'A' ELSE 'B' END FROM ("
-              f"SELECT *, row_number() OVER (PARTITION BY location_tag ORDER BY member_id) AS row_num "
-              f"FROM {source} WHERE location_tag = region_name{test}) AS r")
+    picked = ", ".join(f"n.{c}" for c in columns)
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(region_name STRING) RETURNS TABLE({typed}) RETURN
+        WITH ids AS (SELECT member_id FROM {source} WHERE member_id IS NOT NULL
+                     ORDER BY xxhash64(member_id), member_id LIMIT {CUTS}),
+        cuts AS (SELECT collect_set(member_id) AS bounds FROM ids),
+        beside AS (SELECT *, (SELECT bounds FROM cuts) AS bounds FROM {source} WHERE location_tag IS NOT NULL{test}),
+        placed AS (SELECT *, coalesce(size(filter(bounds, b -> b < member_id)), 0) AS id_range FROM beside),
+        counts AS (SELECT location_tag, id_range, count(*) AS n_rows FROM placed GROUP BY location_tag, id_range),
+        starts AS (SELECT location_tag, id_range, sum(n_rows) OVER (PARTITION BY location_tag ORDER BY id_range)
+                          - n_rows AS before FROM counts),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY location_tag, id_range ORDER BY member_id) AS row_num
+                     FROM placed)
+        SELECT {picked}, CASE WHEN (f.before + n.row_num) % 2 = 0 THEN 'A' ELSE 'B' END
+        FROM numbered AS n JOIN starts AS f ON n.location_tag = f.location_tag AND n.id_range = f.id_range
+        WHERE n.location_tag = region_name""")
 
 
 def register_region_functions(spark: SparkSession, audience: DataFrame | str, prefix: str = "") -> None:
     """assign_ab_groups(region) and export_region_audience(region) over a table, by its name, or
-    over a DataFrame. A call reads the table as it is then, and only its region, which it filters
-    before numbering. That is one task per call; ``experiments.ab_region`` splits a huge region.
+    over a DataFrame. A call reads the table as it is then, and numbers only its region, in many tasks
+    if the region is large.
     ``prefix`` tells the functions of several audiences in one session apart.
     """
     if isinstance(audience, str):

@@ -48,3 +48,24 @@ def test_nothing_is_settled_at_registration(spark):
 def test_the_region_is_data(spark, region):
     register_region_functions(spark, people(spark, "a"))
     assert called(spark, "export_region_audience", region) == []
+
+
+def test_a_large_region_is_numbered_in_ranges(spark):
+    ids = [f"m{i:05d}" for i in range(6000)]
+    rows = people(spark, *ids[::2]).unionByName(people(spark, *ids[1::2], tag="Y")).unionByName(
+        people(spark, None, "m00000"))  # an id that is missing, and one that is there twice
+    register_region_functions(spark, rows.repartition(7), "large_")
+    got = called(spark, "large_assign_ab_groups")
+    want = [None, "m00000", *ids[::2]]
+    assert [m for m, _ in got] == want
+    assert sorted(g for _, g in got[1:3]) == ["A", "B"]
+    assert [g for _, g in got[3:]] == ["BA"[i % 2] for i in range(3, len(want))] and got[0][1] == "B"
+    plan = spark.sql("SELECT * FROM large_assign_ab_groups('X')")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan
+    numbering = [line for line in plan.splitlines() if "row_number()" in line]
+    assert numbering and all("id_range" in line for line in numbering)
+
+
+def test_an_empty_audience_has_no_rows(spark):
+    register_region_functions(spark, people(spark, "a").limit(0), "empty_")
+    assert called(spark, "empty_assign_ab_groups") == []
